@@ -50,11 +50,6 @@ def head_count(c) -> Column:
     return F.when((v > 0) & (v < _BIGINT_LIMIT), v).cast("bigint")
 
 
-def nonzero_rate(c) -> Column:
-    """Four-decimal rate where a zero means "no value"."""
-    return F.nullif(rate(c), F.lit(0.0))
-
-
 def flag_one(c) -> Column:
     """1 when the text form of the value is exactly "1", else 0."""
     return (F.coalesce(_col(c).cast("string"), F.lit("0")) == "1").cast("int")

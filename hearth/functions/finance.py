@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hearth.functions.numeric import half_up
+
 
 def _num(x) -> Column:
     if isinstance(x, str):
@@ -23,13 +25,13 @@ def payment_unrounded(price, rate_pct, down=0.20, years=30) -> Column:
 
 
 def monthly_payment(price, rate_pct, down=0.20, years=30) -> Column:
-    return F.round(payment_unrounded(price, rate_pct, down, years), 2)
+    return half_up(payment_unrounded(price, rate_pct, down, years), 2)
 
 
 def ratio(numerator, denominator, digits: int) -> Column:
     """numerator / denominator where the denominator is positive, else NULL."""
     n, d = _num(numerator), _num(denominator)
-    return F.round(n / F.when(d > 0, d), digits)
+    return half_up(n / F.when(d > 0, d), digits)
 
 
 def over(numerator, denominator, limit: float) -> Column:
@@ -39,7 +41,7 @@ def over(numerator, denominator, limit: float) -> Column:
 
 def pressure_score(rti, mti, unemployment, rent_limit=0.30, mortgage_limit=0.28, unemployment_limit=5.0) -> Column:
     """Composite index; 100 when all three inputs sit exactly on their limits."""
-    return F.round(
+    return half_up(
         _num(rti) / rent_limit * 40
         + _num(mti) / mortgage_limit * 40
         + _num(unemployment) / unemployment_limit * 20,
@@ -49,9 +51,9 @@ def pressure_score(rti, mti, unemployment, rent_limit=0.30, mortgage_limit=0.28,
 
 def years_to_save(down_payment, income, savings_rate=0.10) -> Column:
     inc = _num(income)
-    return F.round(_num(down_payment) / (F.when(inc > 0, inc) * savings_rate), 2)
+    return half_up(_num(down_payment) / (F.when(inc > 0, inc) * savings_rate), 2)
 
 
 def growth(current, prior) -> Column:
     cur, old = _num(current), _num(prior)
-    return F.round((cur - old) / F.nullif(old, F.lit(0.0)), 4)
+    return half_up((cur - old) / F.nullif(old, F.lit(0.0)), 4)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions import dates, finance, stats
+from hearth.functions.numeric import half_up
 from hearth.operators.lookup import latest_per_key, with_prior
 from hearth.operators.ranking import rank_desc
 from hearth.seeds import ALL_HOMES
@@ -131,7 +132,7 @@ def rent_income_divergence(rent: DataFrame, income: DataFrame, base_year: int |
     )
     return grown.select(
         "geo_id", "year", "base_year", "rent_growth", "income_growth",
-        F.round(F.col("rent_growth") - F.col("income_growth"), 4).alias("divergence"),
+        half_up(F.col("rent_growth") - F.col("income_growth"), 4).alias("divergence"),
     )
 
 
@@ -141,9 +142,9 @@ def growth_gap_by_year(rent: DataFrame, income: DataFrame) -> DataFrame:
     rents = rents.select("geo_id", "year", finance.growth("rent", "prior").alias("rent_growth"))
     incomes = with_prior(_annual_income(income), ["geo_id"], "year", 1, "income", "prior")
     incomes = incomes.select("geo_id", "year", finance.growth("income", "prior").alias("income_growth"))
-    per_year = lambda df, c: df.groupBy("year").agg(F.round(stats.exact_mean(c, 4), 4).alias(f"avg_{c}"))
+    per_year = lambda df, c: df.groupBy("year").agg(half_up(stats.exact_mean(c, 4), 4).alias(f"avg_{c}"))
     out = per_year(rents, "rent_growth").join(per_year(incomes, "income_growth"), ["year"], "left")
-    return out.withColumn("growth_gap", F.round(F.col("avg_rent_growth") - F.col("avg_income_growth"), 4))
+    return out.withColumn("growth_gap", half_up(F.col("avg_rent_growth") - F.col("avg_income_growth"), 4))
 
 
 def zscore(metrics: DataFrame, unusual: float = 2.0, population: bool = False) -> DataFrame:
@@ -163,8 +164,8 @@ def zscore(metrics: DataFrame, unusual: float = 2.0, population: bool = False) -
     # A constant series can show a spread of the order of rounding errors.
     z = (F.col("current_rti") - F.col("__mean")) / F.when(F.col("__sd") > 1e-9, F.col("__sd"))
     return per_city.select(
-        *CITY, "current_rti", F.round("__mean", 4).alias("mean_rti"), F.round("__sd", 4).alias("sd_rti"), "months",
-        F.round(z, 4).alias("zscore"), F.when(z > unusual, 1).otherwise(0).alias("is_unusual"),
+        *CITY, "current_rti", half_up("__mean", 4).alias("mean_rti"), half_up("__sd", 4).alias("sd_rti"), "months",
+        half_up(z, 4).alias("zscore"), F.when(z > unusual, 1).otherwise(0).alias("is_unusual"),
     )
 
 
@@ -183,7 +184,7 @@ def annual_zscore(metrics: DataFrame) -> DataFrame:
     sd = F.sqrt(F.greatest((sq - s * s / F.nullif(n, F.lit(0))) / F.nullif(n - 1, F.lit(0)), F.lit(0.0)))
     return yearly.select(
         "geo_id", "year",
-        F.round((F.col("rti") - s / F.nullif(n, F.lit(0))) / F.when(sd > 1e-9, sd), 4).alias("zscore"),
+        half_up((F.col("rti") - s / F.nullif(n, F.lit(0))) / F.when(sd > 1e-9, sd), 4).alias("zscore"),
     )
 
 
@@ -191,7 +192,7 @@ def signals(metrics: DataFrame, rent: DataFrame, income: DataFrame) -> DataFrame
     """Z-score, divergence and mean pressure score of each city and year."""
     pressure = (
         with_pressure(metrics).filter(F.col("bedroom_type") == ALL_HOMES)
-        .groupBy(*CITY, "year").agg(F.round(stats.exact_mean("pressure_score"), 2).alias("pressure_score"))
+        .groupBy(*CITY, "year").agg(half_up(stats.exact_mean("pressure_score"), 2).alias("pressure_score"))
     )
     return (
         pressure.join(annual_zscore(metrics), ["geo_id", "year"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import dates, finance
+from hearth.functions.numeric import half_up
 from hearth.operators.lookup import asof_left, exact_or_latest, exact_or_latest_scalar, latest_per_key, latest_rows
 
 RENT_LIMIT, SEVERE_LIMIT, DOWN_PAYMENT, TERM_YEARS = 0.30, 0.50, 0.20, 30
@@ -79,14 +80,14 @@ def add_metrics(df: DataFrame, down: float = DOWN_PAYMENT, years: int = TERM_YEA
     return df.withColumns(
         {
             "rent_to_income_ratio": finance.ratio("annual_rent", inc, 4),
-            "affordable_monthly_rent": F.round(affordable, 2),
-            "monthly_rent_gap": F.round(F.col("monthly_rent").cast("double") - affordable, 2),
+            "affordable_monthly_rent": half_up(affordable, 2),
+            "monthly_rent_gap": half_up(F.col("monthly_rent").cast("double") - affordable, 2),
             "is_cost_burdened": finance.over("annual_rent", inc, RENT_LIMIT),
             "is_severely_burdened": finance.over("annual_rent", inc, SEVERE_LIMIT),
             "home_price_to_income_ratio": finance.ratio("median_home_price", inc, 2),
-            "est_monthly_mortgage": F.round(payment, 2),
+            "est_monthly_mortgage": half_up(payment, 2),
             "mortgage_to_income_ratio": finance.ratio(payment * 12, inc, 4),
-            "down_payment_required": F.round(F.col("median_home_price").cast("double") * down, 2),
+            "down_payment_required": half_up(F.col("median_home_price").cast("double") * down, 2),
         }
     )
 

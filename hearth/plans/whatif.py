@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearth import seeds
 from hearth.functions import finance
+from hearth.functions.numeric import half_up
 from hearth.plans.indicators import CITY, classify, latest_city_rows
 from hearth.plans.metrics import RENT_LIMIT
 
@@ -39,8 +40,8 @@ def scenario_payment(metrics: DataFrame, scenarios: Sequence[tuple] = tuple(seed
     return rows.select(
         *CITY, "full_date", "bedroom_type", "scenario_id", "scenario_name",
         income.alias("scenario_income"),
-        F.round(price * share, 2).alias("down_payment"),
-        F.round(payment, 2).alias("scenario_payment"),
+        half_up(price * share, 2).alias("down_payment"),
+        half_up(payment, 2).alias("scenario_payment"),
         finance.ratio(payment * 12, income, 4).alias("scenario_mti"),
     )
 
@@ -66,7 +67,7 @@ def rate_sensitivity(metrics: DataFrame, low: float, step: float, count: int) ->
     at_low = finance.payment_unrounded("median_home_price", F.lit(low))
     return rows.select(
         *CITY, "full_date", "bedroom_type", "rate",
-        F.round(at_rate, 2).alias("payment"), F.round(at_rate - at_low, 2).alias("extra_payment"),
+        half_up(at_rate, 2).alias("payment"), half_up(at_rate - at_low, 2).alias("extra_payment"),
     )
 
 
@@ -93,7 +94,7 @@ def compare_to(metrics: DataFrame, city: str, others: Sequence[str] | None = Non
         *CITY, "full_date", "bedroom_type", F.lit(city).alias("base_city"),
         *[F.col(c).cast("double").alias(c) for c in COMPARED],
         *[F.col(f"base_{c}") for c in COMPARED],
-        *[F.round(F.col(c).cast("double") - F.col(f"base_{c}"), 4).alias(f"diff_{c}") for c in COMPARED],
+        *[half_up(F.col(c).cast("double") - F.col(f"base_{c}"), 4).alias(f"diff_{c}") for c in COMPARED],
     )
 
 
@@ -116,8 +117,8 @@ def relocation_savings(metrics: DataFrame, destination: str | None = None, incom
     there = F.col("__to.rent")
     return cities.withColumn("__to", target).select(
         *CITY, rent.alias("monthly_rent"), F.col("__to.city").alias("destination"),
-        F.round(rent - there, 2).alias("monthly_saving"),
-        F.round((rent - there) * 12, 2).alias("annual_saving"),
+        half_up(rent - there, 2).alias("monthly_saving"),
+        half_up((rent - there) * 12, 2).alias("annual_saving"),
         finance.ratio(rent * 12, F.lit(income), 4).alias("burden_here"),
         finance.ratio(there * 12, F.lit(income), 4).alias("burden_there"),
     )

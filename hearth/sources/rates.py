@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hearth import schemas, seeds
 from hearth.functions import clean, dates, stats
+from hearth.functions.numeric import half_up
 from hearth.sources.landing import first_available
 
 NO_VALUE = "."
@@ -45,7 +46,7 @@ def weekly_rates(raw: DataFrame, since: date = seeds.SINCE) -> DataFrame:
 def monthly_rates(weekly: DataFrame) -> DataFrame:
     """Mean per calendar month, four decimals; a zero mean becomes NULL."""
     return weekly.groupBy(dates.month_of("report_date").alias("report_date")).agg(
-        clean.nonzero_rate(stats.exact_mean("rate_30yr_fixed", 4)).alias("rate_30yr_fixed")
+        F.nullif(half_up(stats.exact_mean("rate_30yr_fixed", 4), 4), F.lit(0.0)).alias("rate_30yr_fixed")
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions import dates, stats
+from hearth.functions.numeric import half_up
 from hearth.seeds import ALL_HOMES, NATIONAL_CITY
 from hearth.session import materialize
 
@@ -84,7 +85,7 @@ def rent(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFra
         .groupBy("geo_id", "full_date", "bedroom_type")
         .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     )
-    value = F.round(mean() / 130, 2).cast("decimal(10,2)")
+    value = half_up(mean() / 130, 2).cast("decimal(10,2)")
     return rows.select("geo_id", "full_date", value.alias("monthly_rent"), (value * 12).alias("annual_rent"), "bedroom_type")
 
 
@@ -97,8 +98,8 @@ def income(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataF
     )
     return rows.select(
         "geo_id", "survey_year",
-        F.round(mean() * 0.3, 2).cast("decimal(12,2)").alias("median_household_income"),
-        F.round(mean() * 0.12, 2).cast("decimal(12,2)").alias("per_capita_income"),
+        half_up(mean() * 0.3, 2).cast("decimal(12,2)").alias("median_household_income"),
+        half_up(mean() * 0.12, 2).cast("decimal(12,2)").alias("per_capita_income"),
         (F.col("n") * 1000).alias("population"),
     )
 
@@ -132,7 +133,7 @@ def home(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFra
         sums = line_sums(spark, sf)
     rows = sums.filter(F.col("geo_id").isNotNull() & (F.col("full_date") < F.lit(HOME_END.date())))
     return rows.select(
-        "geo_id", "full_date", F.round(mean("price") * 8, 2).cast("decimal(12,2)").alias("median_home_price"),
+        "geo_id", "full_date", half_up(mean("price") * 8, 2).cast("decimal(12,2)").alias("median_home_price"),
         F.lit(ALL_HOMES).alias("home_type"),
     )
 
@@ -153,7 +154,7 @@ def labor(spark: SparkSession, sf: str) -> DataFrame:
     )
     return sums.select(
         "geo_id", "full_date",
-        F.round((F.col("r") * 100).cast("double") / F.col("n") / 6, 2).cast("decimal(5,2)").alias("unemployment_rate"),
+        half_up((F.col("r") * 100).cast("double") / F.col("n") / 6, 2).cast("decimal(5,2)").alias("unemployment_rate"),
         (F.col("n") * 1000).alias("employment_level"),
         (F.col("n") * 1060).alias("labor_force"),
     )
@@ -171,14 +172,14 @@ def rates(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFr
             sums.filter(F.col("full_date") < F.lit(RATE_END.date()))
             .groupBy("full_date").agg(F.sum("discount").alias("discount"), F.sum("n").alias("n"))
         )
-    return sums.select("full_date", F.round(mean("discount") * 130, 4).cast("decimal(6,4)").alias("rate_30yr_fixed"))
+    return sums.select("full_date", half_up(mean("discount") * 130, 4).cast("decimal(6,4)").alias("rate_30yr_fixed"))
 
 
 def weekly_rates(spark: SparkSession, sf: str) -> DataFrame:
     line = read(spark, sf, "lineitem").select("l_shipdate", "l_discount")
     week = F.date_trunc("week", F.col("l_shipdate").cast("date")).cast("date")
     sums = line.groupBy(week.alias("report_date")).agg(stats.exact_sum("l_discount").alias("s"), F.count("*").alias("n"))
-    return sums.select("report_date", F.round(mean() * 130, 2).cast("decimal(6,2)").alias("rate"))
+    return sums.select("report_date", half_up(mean() * 130, 2).cast("decimal(6,2)").alias("rate"))
 
 
 def cpi(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,7 +191,7 @@ def cpi(spark: SparkSession, sf: str) -> DataFrame:
         sums.withColumn("series_id", F.explode(series))
         .groupBy("series_id", F.col("full_date").alias("report_date"))
         .agg(F.sum("tax").alias("s"), F.sum("n").alias("n"))
-        .select("series_id", "report_date", F.round(mean() * 100 + 250, 4).cast("decimal(10,4)").alias("cpi_index"))
+        .select("series_id", "report_date", half_up(mean() * 100 + 250, 4).cast("decimal(10,4)").alias("cpi_index"))
     )
 
 
@@ -212,7 +213,7 @@ def fmr(spark: SparkSession, sf: str) -> DataFrame:
     )
     factors = [("fmr_0br", 0.75), ("fmr_1br", 0.85), ("fmr_2br", 1.0), ("fmr_3br", 1.25), ("fmr_4br", 1.4)]
     return sums.select(
-        "geo_id", "fmr_year", *[F.round(mean() / 40 * f, 2).cast("decimal(10,2)").alias(name) for name, f in factors]
+        "geo_id", "fmr_year", *[half_up(mean() / 40 * f, 2).cast("decimal(10,2)").alias(name) for name, f in factors]
     )
 
 
