@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +29,8 @@ def build(master: str | None = None, app: str = "hearth", **extra) -> SparkSessi
 
 
 @functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="hearth-")
+def _local_base() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="hearth-", ignore_cleanup_errors=True)  # goes with the process
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -42,7 +43,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_base()
+        base = _local_base().name
     return f"{base.rstrip('/')}/hearth/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -56,3 +57,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Materialize independent frames, their jobs running side by side."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return dict(zip(frames, pool.map(materialize, frames.values(), frames.keys())))

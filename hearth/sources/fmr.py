@@ -23,10 +23,6 @@ def _text(v, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
-def _amount(text: Column) -> Column:
-    return clean.money(text)
-
-
 def parse(responses: DataFrame) -> DataFrame:
     """Rows of (entity_id, requested_year, payload) -> one row per response with usable amounts.
 
@@ -51,16 +47,20 @@ def parse(responses: DataFrame) -> DataFrame:
         .otherwise(F.col("__d"))
     )
     year_text = _text("__d", "$.year")
-    out = base.withColumn("__r", row).select(
-        "entity_id",
+    found = F.struct(
         F.coalesce(_text("__d", "$.metro_name"), F.lit("")).alias("metro_name"),
         F.when(year_text.isNull(), F.col("requested_year")).otherwise(year_text.try_cast("int")).alias("fmr_year"),
-        *[_amount(_text("__r", f'$["{key}"]')).alias(name) for name, key in BEDROOMS],
+        *[clean.money(_text("__r", f'$["{key}"]')).alias(name) for name, key in BEDROOMS],
         F.try_variant_get("__d", '$["FMR Percentile"]', "int").alias("fmr_percentile"),
         clean.flag_one(_text("__d", "$.smallarea_status")).alias("smallarea_flag"),
     )
-    some_amount = F.greatest(*[F.coalesce(F.abs(name), F.lit(0.0)) for name, _ in BEDROOMS]) > 0
-    return out.filter(some_amount & F.col("fmr_year").isNotNull())
+    # Unusable rows are dropped inside the generator. A filter above it would be
+    # pushed down and parse every document again for each amount it tests.
+    usable = F.filter(
+        F.array(found),
+        lambda r: r["fmr_year"].isNotNull() & (F.greatest(*[F.coalesce(F.abs(r[n]), F.lit(0.0)) for n, _ in BEDROOMS]) > 0),
+    )
+    return base.withColumn("__r", row).select("entity_id", F.inline(usable))
 
 
 def newest_year(parsed: DataFrame) -> DataFrame:

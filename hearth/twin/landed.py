@@ -111,14 +111,15 @@ def _response(docs: DataFrame, status: Column) -> DataFrame:
     )
 
 
-def labor_responses(spark: SparkSession, sf: str, first: int, last: int) -> DataFrame:
+def labor_responses(spark: SparkSession, sf: str, first: int, last: int, labor: DataFrame | None = None) -> DataFrame:
     """One answered request per city for a window of years, and a refused one with the same content.
 
     Every measure carries an annual average (M13), and each request asks for a
     series nobody knows.
     """
     geo = t.geography(spark, sf)
-    rows = t.labor(spark, sf).filter(F.year("full_date").between(first, last)).join(geo.select("geo_id", "city_display"), ["geo_id"])
+    labor = t.labor(spark, sf) if labor is None else labor
+    rows = labor.filter(F.year("full_date").between(first, last)).join(geo.select("geo_id", "city_display"), ["geo_id"])
     measures = [("03", "unemployment_rate"), ("05", "employment_level"), ("06", "labor_force"), ("99", "labor_force")]
     area = F.concat(F.lit("LAUMT"), F.lpad(F.col("geo_id").cast("string"), 2, "0"), metro_code("geo_id"), F.lit("000000"))
     one = lambda code, c: F.struct(F.concat(area, F.lit(code)).alias("seriesID"), F.col(c).cast("string").alias("value"))

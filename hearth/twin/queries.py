@@ -130,19 +130,25 @@ def src_cpi_json(spark, sf):
     return plain(named.drop("load_date"))
 
 
+def landed_fmr(spark, sf):
+    path = landed.write_json(landed.fmr_responses(spark, sf), "fmr_json")
+    return spark.read.schema("entity_id string, requested_year int, payload string").json(path)
+
+
 @query
 def src_fmr_variant(spark, sf):
-    return fmr.parse(landed.fmr_responses(spark, sf))
+    return fmr.parse(landed_fmr(spark, sf))
 
 
 @query
 def fmr_newest_year(spark, sf):
-    return fmr.staged_fmr(landed.fmr_responses(spark, sf), landed.fmr_crosswalk(places(spark, sf)), LOAD_DATE).drop("load_date")
+    return fmr.staged_fmr(landed_fmr(spark, sf), landed.fmr_crosswalk(places(spark, sf)), LOAD_DATE).drop("load_date")
 
 
 @query
 def union_windows(spark, sf):
-    windows = [landed.labor_responses(spark, sf, a, b) for a, b in ((1995, 1997), (1998, 2001), (2002, 2004))]
+    labor = materialize(t.labor(spark, sf), "labor")
+    windows = [landed.labor_responses(spark, sf, a, b, labor) for a, b in ((1995, 1997), (1998, 2001), (2002, 2004))]
     obs = series.union_windows(windows)
     return obs.groupBy("series_id", F.year("report_date").alias("year")).agg(
         F.count("*").alias("months"), stats.exact_sum(clean.rate("value_text")).cast("double").alias("value_sum")

@@ -11,11 +11,12 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.functions import dates, stats
 from hearth.functions.numeric import half_up
 from hearth.seeds import ALL_HOMES, NATIONAL_CITY
-from hearth.session import materialize
+from hearth.session import materialize_all
 
 HOME_END, LABOR_END, RATE_END, INCOME_END = (
     datetime(2001, 5, 1), datetime(2001, 6, 1), datetime(2001, 7, 1), datetime(2001, 1, 1),
@@ -26,8 +27,15 @@ NATION_KEYS = [f"NATION_{i} Metro" for i in range(25)]
 UNKNOWN_SERIES = "SERIES_X"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is read from the files once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def before(c: str, end: datetime) -> Column:
@@ -224,13 +232,15 @@ def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     labor counts; these small results are written, so that the view, which needs
     most facts twice, never goes back to the raw tables.
     """
-    orders = materialize(order_sums(spark, sf), "order_sums")
-    lines = materialize(line_sums(spark, sf), "line_sums")
+    sums = materialize_all(
+        {"order_sums": order_sums(spark, sf), "line_sums": line_sums(spark, sf), "labor": labor(spark, sf)}
+    )
+    orders, lines = sums["order_sums"], sums["line_sums"]
     return {
         "rent": rent(spark, sf, orders),
         "income": income(spark, sf, orders),
         "home": home(spark, sf, lines),
         "rates": rates(spark, sf, lines),
-        "labor": materialize(labor(spark, sf), "labor"),
+        "labor": sums["labor"],
         "geography": geography(spark, sf),
     }
