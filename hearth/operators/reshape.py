@@ -18,10 +18,10 @@ def _as_date(name: str) -> date | None:
         return None
 
 
-def date_columns(names: Sequence[str], since: date | None = None) -> list[str]:
-    """Column names that are dates, on or after ``since``."""
-    found = [(n, _as_date(n)) for n in names]
-    return [n for n, d in found if d is not None and (since is None or d >= since)]
+def date_columns(names: Sequence[str], since: date | None = None) -> dict[str, date]:
+    """The column names that are dates, on or after ``since``, with their dates."""
+    found = {n: _as_date(n) for n in names}
+    return {n: d for n, d in found.items() if d is not None and (since is None or d >= since)}
 
 
 def unpivot_dates(wide: DataFrame, ids: Sequence[str], value: str, name: str = "report_date", since: date | None = None) -> DataFrame:
@@ -33,10 +33,11 @@ def unpivot_dates(wide: DataFrame, ids: Sequence[str], value: str, name: str = "
     months = date_columns([c for c in wide.columns if c not in ids], since)
     if not months:
         raise ValueError("no date columns found")
-    quoted = [F.col(f"`{c}`") for c in months]
-    long = wide.select(*ids, *quoted).unpivot(list(ids), quoted, "__name", "__text")
+    iso = [d.isoformat() for d in months.values()]
+    renamed = wide.select(*ids, *[F.col(f"`{c}`").alias(i) for c, i in zip(months, iso)])
+    long = renamed.unpivot(list(ids), [F.col(f"`{i}`") for i in iso], "__name", "__text")
     return long.select(
-        *ids, F.col("__name").try_cast("date").alias(name), clean.money("__text").alias(value)
+        *ids, F.col("__name").cast("date").alias(name), clean.money("__text").alias(value)
     ).filter(F.col(value).isNotNull())
 
 

@@ -12,6 +12,8 @@ from hearth.operators.ranking import rank_desc
 from hearth.seeds import ALL_HOMES
 
 CITY = ["geo_id", "city_display"]
+# A constant series can show a spread of the order of rounding errors.
+NO_SPREAD = 1e-9
 
 
 def latest_city_rows(metrics: DataFrame, cols: list[str]) -> DataFrame:
@@ -161,8 +163,7 @@ def zscore(metrics: DataFrame, unusual: float = 2.0, population: bool = False) -
         spread.alias("__sd"),
         F.count(rti).alias("months"),
     )
-    # A constant series can show a spread of the order of rounding errors.
-    z = (F.col("current_rti") - F.col("__mean")) / F.when(F.col("__sd") > 1e-9, F.col("__sd"))
+    z = (F.col("current_rti") - F.col("__mean")) / F.when(F.col("__sd") > NO_SPREAD, F.col("__sd"))
     return per_city.select(
         *CITY, "current_rti", half_up("__mean", 4).alias("mean_rti"), half_up("__sd", 4).alias("sd_rti"), "months",
         half_up(z, 4).alias("zscore"), F.when(z > unusual, 1).otherwise(0).alias("is_unusual"),
@@ -184,7 +185,7 @@ def annual_zscore(metrics: DataFrame) -> DataFrame:
     sd = F.sqrt(F.greatest((sq - s * s / F.nullif(n, F.lit(0))) / F.nullif(n - 1, F.lit(0)), F.lit(0.0)))
     return yearly.select(
         "geo_id", "year",
-        half_up((F.col("rti") - s / F.nullif(n, F.lit(0))) / F.when(sd > 1e-9, sd), 4).alias("zscore"),
+        half_up((F.col("rti") - s / F.nullif(n, F.lit(0))) / F.when(sd > NO_SPREAD, sd), 4).alias("zscore"),
     )
 
 

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearth.functions import dates, finance, stats
+from hearth.functions.numeric import half_up
 from hearth.operators import quality
 from hearth.operators.lookup import with_prior
 from hearth.operators.upsert import replace_table
-from hearth.functions import dates, finance
 from hearth.plans import indicators
 from hearth.plans.metrics import latest_snapshot
 
@@ -23,17 +24,36 @@ GRAINS = {
 }
 
 
-def affordability_final(metrics: DataFrame) -> DataFrame:
-    """The view plus pressure score, years to save, rent growth and city class, one row per view row."""
-    rows = indicators.with_years_to_save(indicators.with_pressure(metrics))
-    keyed = rows.withColumns({"__m": dates.month_index("full_date"), "__rent": F.col("monthly_rent").cast("double")})
-    prior = with_prior(keyed.select("geo_id", "bedroom_type", "__m", "__rent"), ["geo_id", "bedroom_type"], "__m", 12, "__rent", "__prior")
+def affordability_final(metrics: DataFrame, income: DataFrame) -> DataFrame:
+    """One row per row of the view, with every indicator that has a value for it.
+
+    Adds pressure score, years to save, growth of rent and income over one year,
+    the z-score of the row's rent burden within its metro and bedroom type, the
+    year's rent-income divergence, and the city class. ``metrics`` is read
+    several times, so pass a stored table. Each indicator comes back by an
+    equi-join on its own grain.
+    """
+    kind = ["geo_id", "bedroom_type"]
+    rows = indicators.with_years_to_save(indicators.with_pressure(metrics)).withColumn("__m", dates.month_index("full_date"))
+    rent = metrics.select(*kind, dates.month_index("full_date").alias("__m"), F.col("monthly_rent").cast("double").alias("__rent"))
+    prior = with_prior(rent, kind, "__m", 12, "__rent", "__prior").select(
+        *kind, "__m", finance.growth("__rent", "__prior").alias("rent_growth_yoy")
+    )
+    earned = indicators.income_yoy(income).select("geo_id", F.col("survey_year").alias("year"), "income_growth_yoy")
+    history = metrics.groupBy(*kind).agg(
+        stats.exact_mean("rent_to_income_ratio", 4).alias("__mean"), F.stddev_samp("rent_to_income_ratio").alias("__sd")
+    )
+    diverged = indicators.rent_income_divergence(metrics, income).select("geo_id", "year", "divergence")
     classes = indicators.classify(metrics).select("geo_id", "city_classification")
+    z = (F.col("rent_to_income_ratio") - F.col("__mean")) / F.when(F.col("__sd") > indicators.NO_SPREAD, F.col("__sd"))
     return (
-        keyed.join(prior.drop("__rent"), ["geo_id", "bedroom_type", "__m"], "left")
-        .withColumn("rent_growth_yoy", finance.growth("__rent", "__prior"))
+        rows.join(prior, [*kind, "__m"], "left")
+        .join(earned, ["geo_id", "year"], "left")
+        .join(history, kind, "left")
+        .withColumn("zscore", half_up(z, 4))
+        .join(diverged, ["geo_id", "year"], "left")
         .join(classes, ["geo_id"], "left")
-        .drop("__m", "__rent", "__prior")
+        .drop("__m", "__mean", "__sd")
     )
 
 

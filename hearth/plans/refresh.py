@@ -94,9 +94,9 @@ def build_all(spark: SparkSession, landing: str, warehouse: str, load_date: date
     for name, df in staged.items():
         quality.require_rows(df, name)
     tables = {name: replace_table(df, f"{warehouse}/{name}") for name, df in facts(spark, staged, warehouse).items()}
-    metrics = metrics_of(tables, **options)
+    metrics = replace_table(metrics_of(tables, **options), f"{warehouse}/affordability_metrics")
     checks = publish.standard_checks(tables, tables["dim_geography"])
-    final = publish.affordability_final(metrics)
+    final = publish.affordability_final(metrics, tables["fact_income"])
     _, status = publish.publish(final, f"{warehouse}/affordability_final", checks)
     publish.register_views(tables, metrics)
     return {**tables, "metrics": metrics, "status": status}

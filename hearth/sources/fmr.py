@@ -60,18 +60,18 @@ def parse(responses: DataFrame) -> DataFrame:
         F.array(found),
         lambda r: r["fmr_year"].isNotNull() & (F.greatest(*[F.coalesce(F.abs(r[n]), F.lit(0.0)) for n, _ in BEDROOMS]) > 0),
     )
-    return base.withColumn("__r", row).select("entity_id", F.inline(usable))
+    return base.withColumn("__r", row).select("entity_id", "requested_year", F.inline(usable))
 
 
 def newest_year(parsed: DataFrame) -> DataFrame:
-    """One row per entity: its newest response with usable amounts."""
-    cols = [c for c in parsed.columns if c != "entity_id"]
-    return latest_per_key(parsed, ["entity_id"], "fmr_year", cols)
+    """One row per entity: the answer to its newest request that has usable amounts."""
+    cols = [c for c in parsed.columns if c not in ("entity_id", "requested_year")]
+    return latest_per_key(parsed, ["entity_id"], ["requested_year", "fmr_year"], cols)
 
 
 def staged_fmr(responses: DataFrame, crosswalk: DataFrame, load_date, newest_only: bool = True) -> DataFrame:
     rows = parse(responses)
-    rows = newest_year(rows) if newest_only else rows
+    rows = newest_year(rows) if newest_only else rows.drop("requested_year")
     return rows.join(crosswalk, ["entity_id"], "inner").withColumn("load_date", F.lit(load_date).cast("date"))
 
 

@@ -23,7 +23,8 @@ def read_responses(spark: SparkSession, paths: str | Sequence[str], multi_line:
 def observations(responses: DataFrame, window: int = 0) -> DataFrame:
     """(series_id, report_date, value_text, seq) of the monthly observations of answered requests.
 
-    ``seq`` numbers observations in reading order within their response.
+    ``seq`` orders the readings of one series: by window, then by place in the
+    response, then by text, so that the first one is the same in every run.
     """
     series = responses.filter(F.col("status") == SUCCEEDED).select(F.posexplode("Results.series").alias("s_no", "s"))
     obs = series.select("s_no", F.col("s.seriesID").alias("series_id"), F.posexplode("s.data").alias("o_no", "o"))
@@ -31,7 +32,7 @@ def observations(responses: DataFrame, window: int = 0) -> DataFrame:
         "series_id",
         dates.period_date("o.year", "o.period").alias("report_date"),
         F.col("o.value").alias("value_text"),
-        F.struct(F.lit(window).alias("window"), F.col("s_no"), F.col("o_no")).alias("seq"),
+        F.struct(F.lit(window).alias("window"), F.col("s_no"), F.col("o_no"), F.col("o.value").alias("text")).alias("seq"),
     ).filter(F.col("report_date").isNotNull())
 
 

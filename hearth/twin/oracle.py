@@ -257,7 +257,7 @@ BODIES = {
         FROM (SELECT * FROM cpi UNION ALL SELECT 'SERIES_X', report_date, cpi_index FROM cpi WHERE series_id = 'SERIES_US') c
         LEFT JOIN bridge b ON b.series_id = c.series_id""",
     "src_fmr_variant": """
-        SELECT entity_id, city AS metro_name, fmr_year, fmr_0br, fmr_1br, fmr_2br, fmr_3br, fmr_4br,
+        SELECT entity_id, fmr_year AS requested_year, city AS metro_name, fmr_year, fmr_0br, fmr_1br, fmr_2br, fmr_3br, fmr_4br,
                CAST(40 AS INT) AS fmr_percentile, CAST(1 AS INT) AS smallarea_flag FROM fmr_read""",
     "fmr_newest_year": """
         SELECT entity_id, city AS metro_name, fmr_year, fmr_0br, fmr_1br, fmr_2br, fmr_3br, fmr_4br,
@@ -339,12 +339,20 @@ BODIES = {
     "quarantine_rows": """
         SELECT o_orderpriority, o_orderstatus, COUNT(*) AS row_count, CASE WHEN x >= 0 THEN 'good' ELSE 'quarantined' END AS outcome
         FROM num GROUP BY 1, 2, 4""",
-    "affordability_final": f"""
+    "affordability_final": """
         SELECT a.geo_id, a.full_date, a.bedroom_type, a.monthly_rent, a.rent_to_income_ratio, a.mortgage_to_income_ratio,
                a.unemployment_rate, a.pressure_score, ROUND(a.down_payment_required / (a.median_household_income * 0.10), 2) AS years_to_save,
-               ROUND((a.monthly_rent - b.monthly_rent) / NULLIF(b.monthly_rent, 0), 4) AS rent_growth_yoy, c.city_classification
+               ROUND((a.monthly_rent - b.monthly_rent) / NULLIF(b.monthly_rent, 0), 4) AS rent_growth_yoy,
+               ROUND((i.median_household_income - j.median_household_income) / j.median_household_income, 4) AS income_growth_yoy,
+               ROUND((a.rent_to_income_ratio - h.mu) / CASE WHEN h.sd > 1e-9 THEN h.sd END, 4) AS zscore,
+               d.divergence, c.city_classification
         FROM mp a
         LEFT JOIN rent b ON b.geo_id = a.geo_id AND b.bedroom_type = a.bedroom_type AND b.full_date = a.full_date - INTERVAL 1 YEAR
+        LEFT JOIN income i ON i.geo_id = a.geo_id AND i.survey_year = a.year
+        LEFT JOIN income j ON j.geo_id = a.geo_id AND j.survey_year = a.year - 1
+        LEFT JOIN (SELECT geo_id, bedroom_type, CAST(SUM(CAST(rent_to_income_ratio AS DECIMAL(18,4))) AS DOUBLE) / COUNT(rent_to_income_ratio) AS mu,
+                          STDDEV_SAMP(rent_to_income_ratio) AS sd FROM m GROUP BY 1, 2) h ON h.geo_id = a.geo_id AND h.bedroom_type = a.bedroom_type
+        LEFT JOIN divergence d ON d.geo_id = a.geo_id AND d.year = a.year
         LEFT JOIN classes c ON c.geo_id = a.geo_id""",
     "publish_gate": """
         SELECT step, CASE WHEN failed_rows = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, failed_rows FROM (

@@ -340,11 +340,14 @@ def quarantine_rows(spark, sf):
 
 @query
 def affordability_final(spark, sf):
-    final = publish.affordability_final(stored_metrics(spark, sf))
+    star = t.star(spark, sf)
+    m = materialize(view.affordability_metrics(**star), "metrics")
+    final = publish.affordability_final(m, star["income"])
     stored = replace_table(final, scratch_path(spark, "affordability_final"))
     return plain(stored.select(
         "geo_id", "full_date", "bedroom_type", "monthly_rent", "rent_to_income_ratio", "mortgage_to_income_ratio",
-        "unemployment_rate", "pressure_score", "years_to_save", "rent_growth_yoy", "city_classification",
+        "unemployment_rate", "pressure_score", "years_to_save", "rent_growth_yoy", "income_growth_yoy",
+        "zscore", "divergence", "city_classification",
     ))
 
 
@@ -360,7 +363,7 @@ def publish_gate(spark, sf):
     checks = publish.standard_checks(tables, geo)
     # A check that fails: labor months without a home price. It holds back the table.
     checks["price of every labor month"] = quality.orphans(tables["fact_labor"], tables["fact_home_prices"], ["geo_id", "date_id"])
-    final = publish.affordability_final(view.affordability_metrics(**star))
+    final = publish.affordability_final(view.affordability_metrics(**star), star["income"])
     _, status = publish.publish(final, scratch_path(spark, "gated"), checks)
     return status
 

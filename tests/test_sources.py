@@ -49,8 +49,8 @@ def test_no_file_and_no_dates(spark, tmp_path):
 
 def test_date_columns():
     names = ["RegionName", "State", "2014-12-31", "2015-01-31", "2015-13-01", "Metro"]
-    assert date_columns(names) == ["2014-12-31", "2015-01-31"]
-    assert date_columns(names, date(2015, 1, 1)) == ["2015-01-31"]
+    assert list(date_columns(names)) == ["2014-12-31", "2015-01-31"]
+    assert date_columns(names, date(2015, 1, 1)) == {"2015-01-31": date(2015, 1, 31)}
 
 
 def test_rates_json_first_then_csv(spark, tmp_path, rows):
@@ -166,11 +166,13 @@ def test_fmr_shapes(spark):
 
 def test_fmr_newest_usable_year(spark, rows):
     doc = lambda v: json.dumps({"data": {"basicdata": {"Two-Bedroom": v}}})
-    data = [("METRO16980M16980", 2026, doc(0)), ("METRO16980M16980", 2025, doc(1500)), ("METRO16980M16980", 2024, doc(1400)), ("other", 2026, doc(1))]
+    late = json.dumps({"data": {"year": 2019, "basicdata": {"Two-Bedroom": 1600}}})
+    data = [("METRO19100M19100", 2026, late), ("METRO19100M19100", 2025, doc(1)), ("METRO16980M16980", 2026, doc(0)), ("METRO16980M16980", 2025, doc(1500)), ("METRO16980M16980", 2024, doc(1400)), ("other", 2026, doc(1))]
     responses = spark.createDataFrame(data, "entity_id string, requested_year int, payload string")
     got = fmr.staged_fmr(responses, seeds.fmr_crosswalk(spark), date(2026, 5, 1))
-    assert rows(got, "city", "fmr_year", "fmr_2br") == [("Chicago", 2025, 1500.0)]
-    assert rows(fmr.by_bedroom(got)) == [("METRO16980M16980", "Chicago", 2025, "fmr_2br", 1500.0)]
+    # The newest request with amounts wins, whatever year its answer carries.
+    assert rows(got, "city", "fmr_year", "fmr_2br") == [("Chicago", 2025, 1500.0), ("Dallas", 2019, 1600.0)]
+    assert rows(fmr.by_bedroom(got.filter("city = 'Chicago'"))) == [("METRO16980M16980", "Chicago", 2025, "fmr_2br", 1500.0)]
 
 
 def test_pivot_drops_keys_without_any_value(spark, rows):
