@@ -48,6 +48,20 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return not_null(df, keys).withColumn("__rank", F.rank().over(w)).filter("__rank = 1").drop("__rank")
 
 
+def join_per_key(df: DataFrame, per_key: DataFrame, keys: Sequence[str], spread_by, copies: int = 8) -> DataFrame:
+    """Left join to a table of one row per key, safe for keys that hold much of ``df``.
+
+    Rows of a key are spread by a hash of ``spread_by``, and ``per_key``, which is
+    small, is repeated for each share. It is usually the result of an aggregation
+    over the same keys; joined directly it would bring along that partitioning,
+    and adaptive execution could then not split a hot key. A small ``per_key`` is
+    broadcast as ever.
+    """
+    shares = per_key.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    spread = F.pmod(F.hash(*([spread_by] if isinstance(spread_by, str) else spread_by)), F.lit(copies))
+    return df.withColumn("__share", spread).join(shares, [*keys, "__share"], "left").drop("__share")
+
+
 def exact_or_latest(spine: DataFrame, src: DataFrame, keys: Sequence[str], period: str, cols: Sequence[str]) -> DataFrame:
     """Add ``cols`` of ``src``: the row of the same key and period, else the key's newest row.
 
@@ -57,7 +71,7 @@ def exact_or_latest(spine: DataFrame, src: DataFrame, keys: Sequence[str], perio
     src = not_null(src, [*keys, period]).select(*keys, period, *cols)
     exact = src.select(*keys, period, *[F.col(c).alias(f"__exact_{c}") for c in cols])
     newest = latest_per_key(src, keys, period, cols).select(*keys, *[F.col(c).alias(f"__newest_{c}") for c in cols])
-    joined = spine.join(exact, [*keys, period], "left").join(newest, list(keys), "left")
+    joined = join_per_key(spine.join(exact, [*keys, period], "left"), newest, keys, period)
     return joined.select(
         *spine.columns, *[F.coalesce(f"__exact_{c}", f"__newest_{c}").alias(c) for c in cols]
     )

@@ -35,7 +35,7 @@ def orphans(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def missing_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Expected keys that never occur in ``found``."""
-    return expected.select(key).distinct().join(found.select(key), [key], "left_anti")
+    return expected.select(key).distinct().join(found.select(key).distinct(), [key], "left_anti")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from hearth.functions import dates, finance
 from hearth.functions.numeric import half_up
-from hearth.operators.lookup import asof_left, exact_or_latest, exact_or_latest_scalar, latest_per_key, latest_rows
+from hearth.operators.lookup import (
+    asof_left, exact_or_latest, exact_or_latest_scalar, join_per_key, latest_per_key, latest_rows,
+)
 
 RENT_LIMIT, SEVERE_LIMIT, DOWN_PAYMENT, TERM_YEARS = 0.30, 0.50, 0.20, 30
 INCOME_COLS = ["median_household_income", "per_capita_income", "population"]
@@ -41,7 +43,7 @@ def with_income(df: DataFrame, income: DataFrame, mode: str) -> DataFrame:
     src = income.select("geo_id", F.col("survey_year").alias("income_year"), *INCOME_COLS)
     if mode == "latest":
         newest = latest_per_key(src, ["geo_id"], "income_year", [*INCOME_COLS, "income_year"])
-        return df.join(newest, ["geo_id"], "left")
+        return join_per_key(df, newest, ["geo_id"], "full_date")
     if mode == "exact":
         src = src.withColumn("year", F.col("income_year"))
         return df.join(src, ["geo_id", "year"], "left")

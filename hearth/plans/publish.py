@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hearth.functions import dates, finance, stats
 from hearth.functions.numeric import half_up
 from hearth.operators import quality
-from hearth.operators.lookup import with_prior
+from hearth.operators.lookup import join_per_key, with_prior
 from hearth.operators.upsert import replace_table
 from hearth.plans import indicators
 from hearth.plans.metrics import latest_snapshot
@@ -46,15 +46,9 @@ def affordability_final(metrics: DataFrame, income: DataFrame) -> DataFrame:
     diverged = indicators.rent_income_divergence(metrics, income).select("geo_id", "year", "divergence")
     classes = indicators.classify(metrics).select("geo_id", "city_classification")
     z = (F.col("rent_to_income_ratio") - F.col("__mean")) / F.when(F.col("__sd") > indicators.NO_SPREAD, F.col("__sd"))
-    return (
-        rows.join(prior, [*kind, "__m"], "left")
-        .join(earned, ["geo_id", "year"], "left")
-        .join(history, kind, "left")
-        .withColumn("zscore", half_up(z, 4))
-        .join(diverged, ["geo_id", "year"], "left")
-        .join(classes, ["geo_id"], "left")
-        .drop("__m", "__mean", "__sd")
-    )
+    rows = rows.join(prior, [*kind, "__m"], "left").join(earned, ["geo_id", "year"], "left").join(diverged, ["geo_id", "year"], "left")
+    rows = join_per_key(rows, history, kind, "__m").withColumn("zscore", half_up(z, 4))
+    return join_per_key(rows, classes, ["geo_id"], "__m").drop("__m", "__mean", "__sd")
 
 
 def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame) -> dict[str, DataFrame]:

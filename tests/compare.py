@@ -75,7 +75,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
     from hearth.session import build
 
-    sf = f"/root/testdata/sf{sys.argv[1]}"
+    sf = sys.argv[1] if "/" in sys.argv[1] else f"/root/testdata/sf{sys.argv[1]}"
     wanted = sys.argv[2:]
     extra = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     spark = build("local[8]", **extra)

@@ -74,3 +74,33 @@ def test_entry_points(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.columns[0] == "city_display"
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_hot_key_is_split(spark):
+    """A third of the rows share one key; the join on it is divided over tasks and stays complete."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        spine = spark.range(0, 300000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50000).cast("int").alias("k"), (F.col("id") % 5).alias("t"), "id"
+        )
+        src = spark.range(50000).select(F.col("id").cast("int").alias("k"), (F.col("id") % 5).alias("t"), (F.col("id") * 2).alias("v"))
+        df = lookup.exact_or_latest(spine, src, ["k"], "t", ["v"])
+        out = df.agg(F.count("*").alias("n"), F.sum((F.col("v") == F.col("k") * 2).cast("int")).alias("ok"), F.count_distinct("id").alias("ids"))
+        assert tuple(out.first()) == (300000, 300000, 300000)
+        df = df.groupBy("t").agg(F.sum("v").alias("v"), F.max("id").alias("id"))
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        joins = [line for line in final.splitlines() if "SortMergeJoin" in line]
+        assert len(joins) == 2 and all("skew=true" in line for line in joins), final
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
