@@ -315,7 +315,7 @@ BODIES = {
     "cpi_fanout": """
         SELECT s.geo_id, s.full_date AS report_date, COALESCE(c.cpi_index, u.cpi_index) AS cpi_index
         FROM (SELECT DISTINCT geo_id, full_date FROM rent) s JOIN geo g ON g.geo_id = s.geo_id
-        LEFT JOIN cpi_city c ON c.city_display = g.city_display AND c.report_date = s.full_date AND c.series_id <> 'SERIES_0'
+        LEFT JOIN cpi_city c ON c.city_display = g.city_display AND c.report_date = s.full_date
         LEFT JOIN cpi u ON u.series_id = 'SERIES_US' AND u.report_date = s.full_date""",
     "fact_fmr": """
         SELECT entity_id, city, metro_name, fmr_year, fmr_0br, fmr_1br, fmr_2br, fmr_3br, fmr_4br, CAST(40 AS INT) AS fmr_percentile,
@@ -426,8 +426,7 @@ BODIES = {
                i.survey_year AS income_year FROM rent r LEFT JOIN newest_income i ON i.geo_id = r.geo_id""",
     "asof_income": """
         SELECT r.geo_id, r.full_date, r.bedroom_type, i.survey_year AS income_year, i.median_household_income
-        FROM rent r ASOF LEFT JOIN (SELECT * FROM income WHERE survey_year IN (1996, 1998, 2000)) i
-             ON i.geo_id = r.geo_id AND YEAR(r.full_date) >= i.survey_year""",
+        FROM rent r ASOF LEFT JOIN income i ON i.geo_id = r.geo_id AND YEAR(r.full_date) >= i.survey_year""",
     "cross_scalar": """
         SELECT r.geo_id, r.full_date, r.bedroom_type, COALESCE(q.rate_30yr_fixed, (SELECT rate_30yr_fixed FROM newest_rate)) AS rate_30yr_fixed
         FROM rent r LEFT JOIN rates q ON q.full_date = r.full_date""",

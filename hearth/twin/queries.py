@@ -283,8 +283,7 @@ def fact_cpi(spark, sf):
 def cpi_fanout(spark, sf):
     facts = materialize(conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY)), "fact_cpi")
     spine = t.rent(spark, sf).select("geo_id", F.col("full_date").alias("report_date")).distinct()
-    # One region's own index is withheld, so that its cities fall back to the national one.
-    return plain(conform.cpi_or_national(spine, facts.filter(F.col("series_id") != "SERIES_0")))
+    return plain(conform.cpi_or_national(spine, facts))
 
 
 @query
@@ -514,9 +513,7 @@ def latest_income_join(spark, sf):
 def asof_income(spark, sf):
     sums = materialize(t.order_sums(spark, sf), "order_sums")
     rents = t.rent(spark, sf, sums).select("geo_id", "full_date", "bedroom_type", F.year("full_date").alias("year"))
-    # Only even-numbered survey years are published here, so most rents carry an earlier value forward.
-    surveys = t.income(spark, sf, sums).filter(F.col("survey_year").isin(1996, 1998, 2000))
-    return plain(view.with_income(rents, surveys, "asof").select("geo_id", "full_date", "bedroom_type", "income_year", "median_household_income"))
+    return plain(view.with_income(rents, t.income(spark, sf, sums), "asof").select("geo_id", "full_date", "bedroom_type", "income_year", "median_household_income"))
 
 
 @query
