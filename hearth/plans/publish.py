@@ -51,13 +51,15 @@ def affordability_final(metrics: DataFrame, income: DataFrame) -> DataFrame:
     return join_per_key(rows, classes, ["geo_id"], "__m").drop("__m", "__mean", "__sd")
 
 
-def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame) -> dict[str, DataFrame]:
-    """Failing rows per check: uniqueness on the grain, and geography keys that do not exist."""
+def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
+    """Failing rows per check: uniqueness on the grain, and place or date keys that do not exist."""
     checks = {}
     for name, grain in GRAINS.items():
         checks[f"unique {name}"] = quality.duplicate_keys(tables[name], grain)
         if "geo_id" in grain:
             checks[f"geography of {name}"] = quality.orphans(tables[name], geography, ["geo_id"])
+        if "date_id" in grain:
+            checks[f"calendar of {name}"] = quality.orphans(tables[name], calendar, ["date_id"])
     return checks
 
 

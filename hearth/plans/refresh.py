@@ -95,8 +95,9 @@ def build_all(spark: SparkSession, landing: str, warehouse: str, load_date: date
         quality.require_rows(df, name)
     tables = {name: replace_table(df, f"{warehouse}/{name}") for name, df in facts(spark, staged, warehouse).items()}
     metrics = replace_table(metrics_of(tables, **options), f"{warehouse}/affordability_metrics")
-    checks = publish.standard_checks(tables, tables["dim_geography"])
+    checks = publish.standard_checks(tables, tables["dim_geography"], tables["dim_date"])
     final = publish.affordability_final(metrics, tables["fact_income"])
     _, status = publish.publish(final, f"{warehouse}/affordability_final", checks)
     publish.register_views(tables, metrics)
-    return {**tables, "metrics": metrics, "status": status}
+    counts = quality.row_counts({**{f"staging.{k}": v for k, v in staged.items()}, **tables})
+    return {**tables, "metrics": metrics, "status": status, "row_counts": counts}

@@ -365,6 +365,10 @@ BODIES = {
             UNION ALL SELECT 'geography of fact_home_prices', COUNT(*) FROM home WHERE geo_id NOT IN (SELECT geo_id FROM geo)
             UNION ALL SELECT 'geography of fact_income', COUNT(*) FROM income WHERE geo_id NOT IN (SELECT geo_id FROM geo)
             UNION ALL SELECT 'geography of fact_labor', COUNT(*) FROM labor WHERE geo_id NOT IN (SELECT geo_id FROM geo)
+            UNION ALL SELECT 'calendar of fact_rent', COUNT(*) FROM rent WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+            UNION ALL SELECT 'calendar of fact_home_prices', COUNT(*) FROM home WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+            UNION ALL SELECT 'calendar of fact_labor', COUNT(*) FROM labor WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+            UNION ALL SELECT 'calendar of fact_mortgage_rates', COUNT(*) FROM rates WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
             UNION ALL SELECT 'price of every labor month', COUNT(*) FROM labor l
                       WHERE NOT EXISTS (SELECT 1 FROM home h WHERE h.geo_id = l.geo_id AND h.full_date = l.full_date))
         UNION ALL SELECT 'publish', 'SKIPPED', 0""",

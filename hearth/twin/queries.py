@@ -359,7 +359,7 @@ def publish_gate(spark, sf):
         "fact_rent": dated(star["rent"]), "fact_home_prices": dated(star["home"]), "fact_income": star["income"],
         "fact_labor": dated(star["labor"]), "fact_mortgage_rates": dated(star["rates"]),
     }
-    checks = publish.standard_checks(tables, geo)
+    checks = publish.standard_checks(tables, geo, dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY))
     # A check that fails: labor months without a home price. It holds back the table.
     checks["price of every labor month"] = quality.orphans(tables["fact_labor"], tables["fact_home_prices"], ["geo_id", "date_id"])
     final = publish.affordability_final(view.affordability_metrics(**star), star["income"])

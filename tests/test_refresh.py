@@ -63,6 +63,8 @@ def built(spark, tmp_path_factory):
 def test_row_counts(built):
     _, t = built
     n = {k: v.count() for k, v in t.items()}
+    listed = {r.table_name: r.row_count for r in t["row_counts"].collect()}
+    assert listed["staging.rent"] == 900 and listed["staging.labor"] == 900 and listed["fact_cpi"] == n["fact_cpi"]
     assert n["fact_rent"] == n["fact_home_prices"] == n["fact_labor"] == n["metrics"] == 25 * 36
     assert n["fact_income"] == 75 and n["fact_mortgage_rates"] == 36 and n["fact_hud_fmr"] == 25
     assert n["fact_cpi"] == 26 * 36 and n["dim_date"] == 4383 and n["dim_geography"] == 25 and n["dim_scenario"] == 7
