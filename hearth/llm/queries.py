@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hearth.llm import quality
+from hearth.llm import bpe, quality, simhash
 from hearth.llm.common import table
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -18,6 +22,28 @@ def query(fn):
     return fn
 
 
+def hex64(col: str) -> Column:
+    """A signed 64-bit number as 16 lowercase hex digits of its unsigned value."""
+    return F.lower(F.lpad(F.hex(col), 16, "0"))
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
+    both = bpe.decode(ids, VOCABULARY)
+    return both.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = simhash.classes(table(spark, sf_dir, "documents"))
+    return c.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
