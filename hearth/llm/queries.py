@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, quality, simhash
+from hearth.llm import bpe, neighbours, packing, quality, sharding, simhash
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,12 @@ def hex64(col: str) -> Column:
     return F.lower(F.lpad(F.hex(col), 16, "0"))
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing.tokens(VOCABULARY, end=2))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
@@ -38,12 +44,28 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.encode("text", "UTF-8")
+    rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))
+    return sharding.shard(rows, 8, key="doc_id", size="size").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash.classes(table(spark, sf_dir, "documents"))
     return c.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 50 == 0, k=5, id_col="vec_id", vector_col="embedding")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
