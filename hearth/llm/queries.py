@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, neighbours, packing, quality, sharding, simhash
+from hearth.llm import bpe, neighbours, packing, quality, sharding, simhash, suffixes
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("id").alias("doc_id"), hex64("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove(docs).select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"]).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
