@@ -132,4 +132,7 @@ def assess(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
 
 def keep(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
-    return assess(docs, text, sample_rows).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the partition number makes the verdict nondeterministic to the optimizer, which then leaves the filter above
+    # the measures; pushed below them it would repeat their expressions many times over
+    verdict = (F.col("kept") & (F.spark_partition_id() >= 0)).alias("__kept")
+    return assess(docs, text, sample_rows).select(*[F.col(f"`{c}`") for c in docs.columns], verdict).where("__kept").drop("__kept")

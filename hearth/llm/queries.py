@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, neighbours, packing, quality, sharding, simhash, suffixes
+from hearth.llm import bpe, lines, neighbours, packing, quality, sharding, simhash, suffixes
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,18 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0, k=5, id_col="vec_id", vector_col="embedding")
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines in classes of near-equal lines, each with the first occurrence of its class, and the text that stays."""
+    done = lines.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.filter("dups", lambda d: ~d["is_first"])
+    return done.select(
+        "doc_id", F.col("n_lines").cast("bigint").alias("n_lines"), F.col("n_removed").cast("bigint").alias("n_removed"),
+        F.transform(removed, lambda d: d["line"]).alias("removed_lines"), F.transform(removed, lambda d: d["first_id"]).alias("first_doc_ids"),
+        F.transform(removed, lambda d: d["first_line"]).alias("first_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -417,3 +417,21 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
 def _id(text_col: str):
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return F.unhex(F.substring(F.sha2(t, 256), 1, 32)).alias("id")
+
+
+def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` without strings that occurred before, cut at whole characters, and without documents of which nothing is left."""
+    done = remove(docs, text_col, length, keep_first=True)
+    names = docs.columns
+    at = names.index(text_col)
+
+    def make():
+        def step(b: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(b.column(i).to_pylist() for i in (at, len(names), len(names) + 1)), strict=True)]
+            return pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(texts, pa.string()), *b.columns[at + 1 : len(names)]], names=names)
+
+        return step
+
+    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
+    some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
+    return map_batches(done.where(some), make, schema)
