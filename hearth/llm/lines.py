@@ -197,7 +197,9 @@ def remove(
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_share: float = 0.8, **options) -> DataFrame:
     """``docs`` without repeated lines, and without documents that lose ``drop_share`` or more of their characters so."""
-    done = remove(docs, id_col, text_col, **options)
-    left = F.char_length(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    boxed = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))  # names cannot clash
+    done = remove(boxed, "id", "text", **options)
+    left = F.char_length(F.coalesce("text", F.lit("")))
     gone = F.col("removed_chars") >= (left + F.col("removed_chars")) * drop_share
-    return done.where((F.col("n_removed") == 0) | ~gone).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return done.where((F.col("n_removed") == 0) | ~gone).select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

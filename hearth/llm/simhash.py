@@ -56,16 +56,22 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp) of every document."""
+    """(id, fp, k1, k2) of every document; k1 and k2 hash its id and text."""
 
     def make():
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
             fps = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
+            return pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2), b.column(3)], names=["id", "fp", "k1", "k2"])
 
         return step
 
-    return map_batches(docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text")), make, "id bigint, fp bigint")
+    source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"), *_keys(id_col, text_col))
+    return map_batches(source, make, "id bigint, fp bigint, k1 bigint, k2 bigint")
+
+
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    both = [F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`")]
+    return [F.xxhash64(F.lit(i), *both, F.lit(i)).alias(f"k{i}") for i in (1, 2)]
 
 
 def _differing(a: str, b: str) -> Column:
@@ -145,19 +151,20 @@ def links(fps: DataFrame, distance: int, pair_limit: int = PAIR_LIMIT) -> DataFr
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """(id, fp, component_id) of every document; the component is the smallest id that links reach."""
+    """(id, fp, k1, k2, root, component_id) of every document; the component is the smallest id that links reach."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), distance), "simhash-links")
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = linked.join(lows, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("id", "fp", "component_id")
+    named = linked.join(lows, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("id", "fp", "k1", "k2", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 2) -> DataFrame:
-    """One document of every component: that with the smallest id, and of repeated rows with that id the first by text."""
-    c = classes(docs, id_col, text_col, shingle, distance)
-    first = c.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__id")).distinct()
-    kept = docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    """One document of every component: that with the smallest id, nulls last; of several with that id or of repeated rows, one."""
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2")
+    first = classes(docs, id_col, text_col, shingle, distance).groupBy("root").agg(F.min(order).alias("f")).select("f.k1", "f.k2")
+    named = dict(zip(("__k1", "__k2"), _keys(id_col, text_col), strict=True))
+    kept = docs.withColumns(named).join(first.toDF("__k1", "__k2"), ["__k1", "__k2"], "left_semi")
+    return kept.dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")

@@ -421,17 +421,16 @@ def _id(text_col: str):
 
 def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` without strings that occurred before, cut at whole characters, and without documents of which nothing is left."""
-    done = remove(docs, text_col, length, keep_first=True)
-    names = docs.columns
-    at = names.index(text_col)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    done = remove(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, keep_first=True)  # names cannot clash
 
     def make():
         def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(b.column(i).to_pylist() for i in (at, len(names), len(names) + 1)), strict=True)]
-            return pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(texts, pa.string()), *b.columns[at + 1 : len(names)]], names=names)
+            texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+            return pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
         return step
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
     some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
-    return map_batches(done.where(some), make, schema)
+    left = map_batches(done.where(some), make, f"row {done.schema['row'].dataType.simpleString()}, text string")
+    return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
