@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, html, lines, neighbours, packing, quality, sharding, simhash, suffixes
+from hearth.llm import bpe, html, licenses, lines, neighbours, packing, quality, sharding, simhash, suffixes
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0, k=5, id_col="vec_id", vector_col="embedding")
 
 
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "license", "word", "containment")
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines in classes of near-equal lines, each with the first occurrence of its class, and the text that stays."""
