@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BIGINT_LIMIT = 9.2e18
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,14 +37,13 @@ def survey_amount(c) -> Column:
 
 def integer(c) -> Column:
     """Whole number, truncated toward zero."""
-    v = finite(c)
-    return F.when(F.abs(v) < _BIGINT_LIMIT, v).cast("bigint")
+    return finite(c).try_cast("bigint")
 
 
 def head_count(c) -> Column:
     """Positive whole number; zero, negative and unparseable become NULL."""
     v = finite(c)
-    return F.when((v > 0) & (v < _BIGINT_LIMIT), v).cast("bigint")
+    return F.when(v > 0, v).try_cast("bigint")
 
 
 def flag_one(c) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,9 +36,14 @@ def ratio(numerator, denominator, digits: int) -> Column:
     return half_up(n / F.when(d > 0, d), digits)
 
 
+def _exact(x) -> Column:
+    return (F.col(x) if isinstance(x, str) else x if isinstance(x, Column) else F.lit(x)).cast("decimal(28,6)")
+
+
 def over(numerator, denominator, limit: float) -> Column:
-    """1 when the unrounded ratio is above the limit; 0 otherwise, also when it is NULL."""
-    return F.when(_num(numerator) / F.nullif(_num(denominator), F.lit(0.0)) > limit, 1).otherwise(0)
+    """1 when the ratio is above the limit, compared in DECIMAL; 0 otherwise, also when it is NULL or the denominator is not positive."""
+    n, d = _exact(numerator), _exact(denominator)
+    return F.when((d > 0) & (n > d * F.lit(Decimal(str(limit)))), 1).otherwise(0)
 
 
 def pressure_score(rti, mti, unemployment, rent_limit=0.30, mortgage_limit=0.28, unemployment_limit=5.0) -> Column:

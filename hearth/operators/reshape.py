@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from hearth.functions import clean
 
 def _as_date(name: str) -> date | None:
     try:
-        return date.fromisoformat(name.strip()[:10])
+        return datetime.fromisoformat(name.strip()).date()  # a date, or one with a time; nothing may follow
     except ValueError:
         return None
 

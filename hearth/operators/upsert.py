@@ -28,8 +28,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Overwrite ``path`` with ``df``, also when ``df`` reads from ``path``.
 
-    The new files are complete before the old ones go, so a failed job leaves
-    the table as it was.
+    The new files are complete before the old ones are moved aside, and those go
+    only when the new ones are in their place. A run that was cut off between the
+    two moves is put right by the next one.
     """
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
@@ -37,9 +38,15 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(fresh)
     fs, new = _fs(spark, fresh)
     _, old = _fs(spark, path)
-    fs.delete(old, True)
+    _, aside = _fs(spark, f"{path.rstrip('/')}__old")
+    if fs.exists(old):
+        fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise OSError(f"could not move {path} aside")
     if not fs.rename(new, old):
+        fs.rename(aside, old)
         raise OSError(f"could not move {fresh} to {path}")
+    fs.delete(aside, True)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 

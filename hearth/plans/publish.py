@@ -51,6 +51,10 @@ def affordability_final(metrics: DataFrame, income: DataFrame) -> DataFrame:
     return join_per_key(rows, classes, ["geo_id"], "__m").drop("__m", "__mean", "__sd")
 
 
+#: Tables that the view joins by month, and what else makes a row of them unique.
+MONTHLY = {"fact_home_prices": ["geo_id", "home_type"], "fact_labor": ["geo_id"], "fact_mortgage_rates": []}
+
+
 def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame, calendar: DataFrame) -> dict[str, DataFrame]:
     """Failing rows per check: uniqueness on the grain, and place or date keys that do not exist."""
     checks = {}
@@ -60,6 +64,9 @@ def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame, calen
             checks[f"geography of {name}"] = quality.orphans(tables[name], geography, ["geo_id"])
         if "date_id" in grain:
             checks[f"calendar of {name}"] = quality.orphans(tables[name], calendar, ["date_id"])
+    for name, others in MONTHLY.items():  # a second row in a month would multiply the rows of the view
+        by_month = tables[name].withColumn("month_id", F.floor(F.col("date_id") / 100))
+        checks[f"one row a month in {name}"] = quality.duplicate_keys(by_month, [*others, "month_id"])
     return checks
 
 

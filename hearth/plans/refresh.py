@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearth import seeds
 from hearth.operators import quality
@@ -13,21 +15,26 @@ from hearth.operators.upsert import path_exists, replace_table, upsert
 from hearth.plans import conform, dims, publish
 from hearth.plans.metrics import affordability_metrics
 from hearth.sources import fmr, income, rates, series, wide
+from hearth.sources.landing import files
 
 # Landed file of each source below the landing folder, in order of preference.
 RENT_FILES = ["rent/Metro_zori.csv", "rent/Metro_zori_*.csv"]
 HOME_FILES = ["home/Metro_zhvi.csv", "home/Metro_zhvi_*.csv"]
 RATE_JSON, RATE_CSV = ["rates/observations.json"], ["rates/rates.csv"]
-INCOME_FILE = "income/{year}.json"
-INCOME_YEARS = range(2015, 2025)
-LABOR_FILES = ["labor/2015-2019/*.json", "labor/2020-2025/*.json"]
-CPI_FILES = ["cpi/2015-2019/*.json", "cpi/2020-2026/*.json"]
+INCOME_FILES, LABOR_FILES, CPI_FILES = "income/*.json", "labor/*/*.json", "cpi/*/*.json"
 FMR_TABLE = "fmr"
 
 
-def _windows(spark: SparkSession, landing: str, files: Sequence[str]) -> list[DataFrame]:
-    """The request windows that have landed; the others are skipped."""
-    return [series.read_responses(spark, f"{landing}/{f}") for f in files if path_exists(spark, f"{landing}/{f}")]
+def _windows(spark: SparkSession, pattern: str) -> list[DataFrame]:
+    """The request windows that have landed, one folder each, in order of their names."""
+    folders = sorted({p.rsplit("/", 1)[0] for p in files(spark, pattern)})
+    return [series.read_responses(spark, f"{f}/*.json") for f in folders]
+
+
+def _surveys(spark: SparkSession, pattern: str) -> dict[int, str]:
+    """The landed survey years, by the names of their files."""
+    named = {p.rsplit("/", 1)[1].removesuffix(".json"): p for p in files(spark, pattern)}
+    return {int(n): p for n, p in named.items() if n.isdigit()}
 
 
 def stage(spark: SparkSession, landing: str, load_date: date, since: date = seeds.SINCE) -> dict[str, DataFrame]:
@@ -36,11 +43,11 @@ def stage(spark: SparkSession, landing: str, load_date: date, since: date = seed
         return [f"{landing}/{f}" for f in files]
 
     listing, cbsa = seeds.listing_crosswalk(spark), seeds.cbsa_crosswalk(spark)
-    labor, cpi = _windows(spark, landing, LABOR_FILES), _windows(spark, landing, CPI_FILES)
+    labor, cpi = _windows(spark, f"{landing}/{LABOR_FILES}"), _windows(spark, f"{landing}/{CPI_FILES}")
     if not labor or not cpi:
         raise FileNotFoundError("labor or consumer-price responses have not landed")
     ids = series.series_ids(seeds.labor_areas(spark), seeds.LABOR_MEASURES)
-    surveys = income.read_years(spark, {y: f"{landing}/{INCOME_FILE.format(year=y)}" for y in INCOME_YEARS})
+    surveys = income.read_years(spark, _surveys(spark, f"{landing}/{INCOME_FILES}"))
     responses = spark.read.schema("entity_id string, requested_year int, payload string").json(f"{landing}/{FMR_TABLE}")
     return {
         "hud_fmr": fmr.staged_fmr(responses, seeds.fmr_crosswalk(spark), load_date),
@@ -75,6 +82,16 @@ def facts(spark: SparkSession, staged: Mapping[str, DataFrame], warehouse: str)
     }
 
 
+def missing_metros(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, geo_id, city_display) of the active metros for which a source has nothing."""
+    geo = tables["dim_geography"].where("is_active")
+    parts = [
+        quality.missing_keys(geo, tables[name], "geo_id").join(geo.select("geo_id", "city_display"), "geo_id").select(F.lit(name).alias("table_name"), "geo_id", "city_display")
+        for name in ("fact_rent", "fact_home_prices", "fact_income", "fact_labor")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def metrics_of(tables: Mapping[str, DataFrame], **options) -> DataFrame:
     return affordability_metrics(
         tables["fact_rent"], tables["fact_home_prices"], tables["fact_income"], tables["fact_labor"],
@@ -88,11 +105,10 @@ def build_all(spark: SparkSession, landing: str, warehouse: str, load_date: date
     Staging and facts are written as tables, so every later step reads files that
     survive the loss of executors; the flat table follows only if the checks pass.
     """
-    staged = {
-        name: replace_table(df, f"{warehouse}/staging/{name}") for name, df in stage(spark, landing, load_date).items()
-    }
-    for name, df in staged.items():
-        quality.require_rows(df, name)
+    fresh = stage(spark, landing, load_date)
+    for name, df in fresh.items():
+        quality.require_rows(df, name)  # before anything is overwritten
+    staged = {name: replace_table(df, f"{warehouse}/staging/{name}") for name, df in fresh.items()}
     tables = {name: replace_table(df, f"{warehouse}/{name}") for name, df in facts(spark, staged, warehouse).items()}
     metrics = replace_table(metrics_of(tables, **options), f"{warehouse}/affordability_metrics")
     checks = publish.standard_checks(tables, tables["dim_geography"], tables["dim_date"])
@@ -100,4 +116,4 @@ def build_all(spark: SparkSession, landing: str, warehouse: str, load_date: date
     _, status = publish.publish(final, f"{warehouse}/affordability_final", checks)
     publish.register_views(tables, metrics)
     counts = quality.row_counts({**{f"staging.{k}": v for k, v in staged.items()}, **tables})
-    return {**tables, "metrics": metrics, "status": status, "row_counts": counts}
+    return {**tables, "metrics": metrics, "status": status, "row_counts": counts, "missing_metros": missing_metros(tables)}

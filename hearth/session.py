@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -41,7 +42,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_base().name
     return f"{base.rstrip('/')}/hearth/{name}-{uuid.uuid4().hex[:12]}"

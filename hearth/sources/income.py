@@ -37,7 +37,7 @@ def matrix_rows(responses: DataFrame, payload: str = "payload") -> DataFrame:
     others = [c for c in responses.columns if c != payload]
     table = responses.select(*others, F.from_json(payload, schemas.MATRIX).alias("m"))
     return table.select(
-        *others, F.get("m", F.lit(0)).alias("header"), F.explode(F.slice("m", 2, 2**30)).alias("row")
+        *others, F.get("m", F.lit(0)).alias("header"), F.explode(F.slice("m", 2, F.greatest(F.size("m") - 1, F.lit(0)))).alias("row")
     ).filter(F.size("header") == F.size("row"))
 
 

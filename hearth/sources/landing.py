@@ -9,6 +9,13 @@ from pyspark.sql import SparkSession
 from hearth.operators.upsert import path_exists
 
 
+def files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the landed files that match a pattern, in order of their names; their content is not read."""
+    if not path_exists(spark, pattern):
+        return []
+    return sorted(r[0] for r in spark.read.format("binaryFile").load(pattern).select("path").collect())
+
+
 def first_available(spark: SparkSession, candidates: Sequence[str]) -> str:
     """The first path of an ordered list that exists."""
     for path in candidates:

@@ -54,8 +54,9 @@ def read_rates(spark: SparkSession, json_candidates: Sequence[str], csv_candidat
     """Monthly rates from the JSON file, or from the CSV when that is missing or empty."""
     try:
         found = observed_rates(read_observations(spark, first_available(spark, json_candidates)))
+        found = found.filter(F.col("report_date") >= F.lit(since))
         if not found.isEmpty():
-            return found
+            return monthly_rates(found)
     except FileNotFoundError:
         pass
     return monthly_rates(weekly_rates(read_rate_csv(spark, first_available(spark, csv_candidates)), since))

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from hearth import seeds
 from hearth.operators.reshape import unpivot_dates
-from hearth.sources.landing import first_available
+from hearth.sources.landing import files, first_available
 
 
 def read_wide(spark: SparkSession, candidates: Sequence[str]) -> DataFrame:
-    """All columns as text; the header names the months."""
-    path = first_available(spark, candidates)
+    """All columns as text; the header names the months. Of several files that match, the one with the last name counts."""
+    path = files(spark, first_available(spark, candidates))[-1]
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 

@@ -112,8 +112,8 @@ FORMULAS = f"""
     CASE WHEN median_household_income > 0 THEN ROUND(annual_rent / median_household_income, 4) END AS rent_to_income_ratio,
     ROUND(median_household_income * 0.30 / 12, 2) AS affordable_monthly_rent,
     ROUND(monthly_rent - median_household_income * 0.30 / 12, 2) AS monthly_rent_gap,
-    CAST(CASE WHEN annual_rent / NULLIF(median_household_income, 0) > 0.30 THEN 1 ELSE 0 END AS INT) AS is_cost_burdened,
-    CAST(CASE WHEN annual_rent / NULLIF(median_household_income, 0) > 0.50 THEN 1 ELSE 0 END AS INT) AS is_severely_burdened,
+    CAST(COALESCE(median_household_income > 0 AND CAST(annual_rent AS DECIMAL(28,6)) > CAST(median_household_income AS DECIMAL(28,6)) * 0.30, FALSE) AS INT) AS is_cost_burdened,
+    CAST(COALESCE(median_household_income > 0 AND CAST(annual_rent AS DECIMAL(28,6)) > CAST(median_household_income AS DECIMAL(28,6)) * 0.50, FALSE) AS INT) AS is_severely_burdened,
     CASE WHEN median_household_income > 0 THEN ROUND(median_home_price / median_household_income, 2) END AS home_price_to_income_ratio,
     CASE WHEN rate_30yr_fixed > 0 AND median_home_price > 0 THEN ROUND({VIEW_PAY}, 2) END AS est_monthly_mortgage,
     CASE WHEN median_household_income > 0 AND rate_30yr_fixed > 0 AND median_home_price > 0
@@ -369,6 +369,9 @@ BODIES = {
             UNION ALL SELECT 'calendar of fact_home_prices', COUNT(*) FROM home WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
             UNION ALL SELECT 'calendar of fact_labor', COUNT(*) FROM labor WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
             UNION ALL SELECT 'calendar of fact_mortgage_rates', COUNT(*) FROM rates WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+            UNION ALL SELECT 'one row a month in fact_home_prices', COUNT(*) FROM (SELECT 1 FROM home GROUP BY geo_id, date_trunc('month', full_date) HAVING COUNT(*) > 1)
+            UNION ALL SELECT 'one row a month in fact_labor', COUNT(*) FROM (SELECT 1 FROM labor GROUP BY geo_id, date_trunc('month', full_date) HAVING COUNT(*) > 1)
+            UNION ALL SELECT 'one row a month in fact_mortgage_rates', COUNT(*) FROM (SELECT 1 FROM rates GROUP BY date_trunc('month', full_date) HAVING COUNT(*) > 1)
             UNION ALL SELECT 'price of every labor month', COUNT(*) FROM labor l
                       WHERE NOT EXISTS (SELECT 1 FROM home h WHERE h.geo_id = l.geo_id AND h.full_date = l.full_date))
         UNION ALL SELECT 'publish', 'SKIPPED', 0""",
@@ -560,7 +563,7 @@ BODIES = {
     "scenario_payment": "SELECT * FROM paid",
     "scenario_rent_burden": """
         SELECT geo_id, city_display, full_date, bedroom_type, CAST(x AS DOUBLE) AS input_income, ROUND(annual_rent / x, 4) AS rent_burden,
-               CAST(CASE WHEN annual_rent / x > 0.30 THEN 1 ELSE 0 END AS INT) AS is_cost_burdened
+               CAST(COALESCE(x > 0 AND CAST(annual_rent AS DECIMAL(28,6)) > CAST(x AS DECIMAL(28,6)) * 0.30, FALSE) AS INT) AS is_cost_burdened
         FROM m CROSS JOIN (VALUES (50000.0::DOUBLE), (75000.0::DOUBLE), (100000.0::DOUBLE)) AS v(x)""",
     "rate_sensitivity": f"""
         SELECT geo_id, city_display, full_date, bedroom_type, rate, ROUND(p, 2) AS payment, ROUND(p - p0, 2) AS extra_payment FROM (

@@ -1,5 +1,7 @@
 """Worked cases and edge cases of the formulas."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +120,14 @@ def test_exact_sum_matches_decimal_sum(spark):
     assert a == b and m == float(b) / n
     empty = df.filter("x is null").agg(stats.exact_sum("x"), stats.exact_mean("x")).first()
     assert tuple(empty) == (None, None)
+
+
+def test_burden_flag_on_the_limit(spark):
+    """Rents at exactly 30 % of income are not above the limit, one cent more is."""
+    incomes = spark.range(10000, 40000, 10).select(F.col("id").cast("decimal(12,2)").alias("income"))
+    rents = incomes.withColumn("rent", (F.col("income") * Decimal("0.30")).cast("decimal(12,2)"))
+    flags = rents.select(finance.over("rent", "income", 0.30).alias("at"), finance.over(F.col("rent") + Decimal("0.01"), "income", 0.30).alias("above"))
+    r = flags.agg(F.sum("at"), F.min("above")).first()
+    assert tuple(r) == (0, 1)
+    odd = spark.createDataFrame([(1.0, 0.0), (1.0, None), (1.0, -1.0), (-1.0, -10.0)], "n double, d double")
+    assert {x[0] for x in odd.select(finance.over("n", "d", 0.3)).collect()} == {0}

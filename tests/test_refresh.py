@@ -107,3 +107,34 @@ def test_missing_source_stops_the_refresh(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         refresh.build_all(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), date(2026, 5, 1))
     assert not (tmp_path / "wh" / "affordability_final").exists()
+
+
+def test_landed_years_and_windows_all_count(spark, tmp_path):
+    land(tmp_path / "landing")
+    rows = [[f"{m[1]} Metro Area", "70000", "30000", "1000000", m[8]] for m in seeds.METROS[1:]]
+    write(tmp_path / "landing" / "income" / "2031.json", json.dumps([["NAME", "B19013_001E", "B19301_001E", "B01003_001E", "statistical area"], *rows]))
+    late = {"seriesID": f"LAUMT{seeds.METROS[0][7]}{seeds.METROS[0][8]}00000003", "data": [{"year": "2026", "period": "M01", "value": "4.5"}]}
+    write(tmp_path / "landing" / "labor" / "2026-2030" / "a.json", json.dumps({"status": "REQUEST_SUCCEEDED", "message": [], "Results": {"series": [late]}}))
+    staged = refresh.stage(spark, str(tmp_path / "landing"), date(2026, 5, 1))
+    assert staged["income"].agg({"survey_year": "max"}).first()[0] == 2031
+    assert staged["labor"].where("report_date = DATE'2026-01-01'").count() == 1
+
+
+def test_empty_source_leaves_staging_as_it_was(spark, built, tmp_path):
+    root, _ = built
+    before = spark.read.parquet(str(root / "wh" / "staging" / "rent")).count()
+    land(tmp_path / "landing")
+    write(tmp_path / "landing" / "rent" / "Metro_zori.csv", "RegionID,SizeRank,RegionName,RegionType,StateName,2020-01-01\n0,0,Nowhere,msa,XX,1")
+    with pytest.raises(ValueError, match="no rows"):
+        refresh.build_all(spark, str(tmp_path / "landing"), str(root / "wh"), date(2026, 5, 1))
+    assert spark.read.parquet(str(root / "wh" / "staging" / "rent")).count() == before == 900
+
+
+def test_a_repeated_month_fails_the_gate(spark, built):
+    from hearth.plans import publish
+
+    root, t = built
+    t = {k: spark.read.parquet(str(root / "wh" / k)) for k in t if k.startswith(("fact_", "dim_"))}  # as the last refresh left them
+    twice = t["fact_mortgage_rates"].union(t["fact_mortgage_rates"].selectExpr("date_id + 7", "rate_30yr_fixed", "data_source"))
+    checks = publish.standard_checks({**t, "fact_mortgage_rates": twice}, t["dim_geography"], t["dim_date"])
+    assert checks["one row a month in fact_mortgage_rates"].count() == 36 and checks["one row a month in fact_labor"].isEmpty()
