@@ -104,3 +104,24 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality.assess(table(spark, sf_dir, "documents")).select(*cols)
+
+
+SQL["op8_quality_rules"] = r"""
+WITH t AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, COALESCE(text, '') AS s FROM documents),
+w AS (SELECT r, doc_id, s, list_filter(string_split_regex(s, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(s, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+g AS (SELECT r, i, COUNT(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS n
+      FROM (SELECT r, ws, UNNEST(generate_series(1, len(ws) - 2)) AS i FROM w)),
+c AS (SELECT r, COUNT(DISTINCT j) AS n FROM (SELECT r, UNNEST([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY r),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(s, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(s, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(COALESCE(c.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
+             length(regexp_replace(s, '[^\p{Lu}]', '', 'g')) AS upper_n, length(regexp_replace(s, '[^\p{Ll}]', '', 'g')) AS lower_n,
+             length(regexp_replace(s, '[^!]', '', 'g')) AS bangs
+      FROM w LEFT JOIN c USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols > n_words * CAST(0.3 AS DOUBLE) OR n_dup_lines > n_lines * CAST(0.5 AS DOUBLE)
+            OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words OR upper_n > (upper_n + lower_n) * CAST(0.6 AS DOUBLE)
+            OR bangs > n_words * CAST(0.2 AS DOUBLE)) AS kept
+FROM b"""
