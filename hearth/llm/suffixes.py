@@ -35,7 +35,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import map_batches, materialize
@@ -43,7 +44,7 @@ from hearth.llm.common import map_batches, materialize
 LENGTH = 400
 #: Bytes of a text whose k-grams are hashed at once; parts by which a range of starts is cut, in turn.
 STRETCH = 1 << 20
-PARTS = (16, 4)
+PARTS = (2, 4, 4, 2)
 #: Suffixes in a sorted run, suffixes in a merge range, and sampled suffixes for each range.
 RUN = 20_000
 RANGE = 50_000
@@ -117,7 +118,7 @@ def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         if len(place):
             last = int(place[-1]) + low
             left, right = np.minimum(place + low, reach), np.minimum(n - low - place, length)
-            yield place + low, left, right, grams[place - first], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1)
+            yield place + low, left, right, grams[place - first], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1) ^ (left * 65536 + right).astype(np.uint64)
 
 
 def common(a: bytes, b: bytes, start: int) -> int:
@@ -249,8 +250,9 @@ def repeated(suffixes: DataFrame, length: int, keep_first: bool) -> DataFrame:
 
         def settle():
             if len(equal) > 1:
-                first = min(x[:2] for x in equal) if keep_first else None
-                out.extend(x[:2] for x in equal if x[2] and x[:2] != first)
+                place = [(int.from_bytes(i[:8]) >> 4 >> 28, p) for i, p, _ in equal]  # as _place() orders them
+                first = min(place) if keep_first else None
+                out.extend(x[:2] for x, at in zip(equal, place, strict=True) if x[2] and at != first)
             equal.clear()
 
         tree = LoserTree([list(zip(r["shared"], r["rest"], strict=True)) for r in rows])
@@ -266,6 +268,28 @@ def repeated(suffixes: DataFrame, length: int, keep_first: bool) -> DataFrame:
     return runs.groupBy("range").applyInArrow(merge, "id binary, p int")
 
 
+def _place(id_: str | Column, pos: str | Column) -> Column:
+    """A number that orders places by the text's hash and the position; a tie, at odds of 1 in 2 ** 32, keeps both."""
+    high = F.conv(F.substring(F.hex(id_), 1, 15), 16, 10).cast("bigint")
+    return F.shiftleft(F.shiftright(high, 28), 31).bitwiseOR(F.col(pos).cast("bigint") if isinstance(pos, str) else pos.cast("bigint"))
+
+
+def _squeezed(df: DataFrame, text_col: str) -> DataFrame:
+    """The text column as compressed bytes, for the way through a shuffle; null stays null."""
+    at, names = df.columns.index(text_col), df.columns
+
+    def make():
+        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+
+        def step(b: pa.RecordBatch) -> pa.RecordBatch:
+            z = [None if x is None else pack(x.encode("utf-8", "surrogatepass")) for x in b.column(at).to_pylist()]
+            return pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(z, pa.binary()), *b.columns[at + 1 :]], names=names)
+
+        return step
+
+    return map_batches(df, make, ", ".join(f"`{x.name}` {'binary' if x.name == text_col else x.dataType.simpleString()}" for x in df.schema))
+
+
 def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     return docs.select(F.unhex(F.substring(F.sha2(t, 256), 1, 32)).alias("id"), t.alias("text"))
@@ -295,44 +319,52 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
         return step
 
     found = materialize(map_batches(texts, scan, "id binary, pos int, left int, right int, g bigint, c bigint, d bigint"), "suffix-anchors")
-    key = ["g", "c", "d", "left", "right"]
-    class_of = found.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("one"))
+    # most k-grams occur once, and their anchors go no further
+    often = found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g")
+    found = materialize(found.join(often, "g").withColumn("at", _place("id", "pos")), "suffix-frequent")
+    key = ["g", "c", "d"]
+    class_of = found.groupBy(*key).agg(F.count("*").alias("n"), F.min("at").alias("one"))
     single = (F.col("n") == 1) | F.lit(keep_first)
-    grams = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.sum("n").alias("all"), F.max(single).alias("open")).where("all > 1")
-    shared = materialize(class_of.join(grams, "g"), "suffix-classes")
-    whole = found.join(shared.where("n > 1").select(*key, "one"), key)
-    if keep_first:
-        whole = whole.where(F.struct("id", "pos") != F.col("one"))
+    grams = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.max(single).alias("open"))
+    shared = materialize(found.join(class_of.join(grams, "g"), key), "suffix-classes")
+    whole = shared.where((F.col("n") > 1) & ((F.col("at") != F.col("one")) | F.lit(not keep_first)))
     spans = [whole.select("id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))]
 
-    members = shared.where("classes > 1 and open").select("one.id", F.struct("one.pos", "left", "right", single.alias("need")).alias("m"))
-    listed = members.groupBy("id").agg(F.collect_list("m").alias("m"))  # bounded by the text's own length
-    held = texts.join(listed, "id").groupBy("id").agg(F.first("text").alias("text"), F.first("m").alias("m"))
+    members = shared.where((F.col("at") == F.col("one")) & F.expr("classes > 1 and open")).select("id", F.struct("pos", "left", "right", single.alias("need")).alias("m"))
+    listed = members.groupBy("id").agg(F.collect_set("m").alias("m"))  # bounded by the text's own length; copies of a text list the same
+    held = _squeezed(texts, "text").join(listed, "id").groupBy("id").agg(F.first("text").alias("text"), F.first("m").alias("m"))
 
     def cut():
+        unpack = zstandard.ZstdDecompressor().decompress
+
         def step(b: pa.RecordBatch):
             for i, t, ms in zip(*(b.column(c).to_pylist() for c in ("id", "text", "m")), strict=True):
-                data = t.encode("utf-8", "surrogatepass")
+                data = unpack(t)
                 rows = [(i, m["pos"], m["left"], m["right"], m["need"], data[m["pos"] - m["left"] : m["pos"] + m["right"]]) for m in ms]
                 arrays = [pa.array(x, y) for x, y in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()), strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "need", "around"])
 
         return step
 
-    contexts = materialize(map_batches(held, cut, "id binary, pos int, left int, right int, need boolean, around binary"), "suffix-contexts")
+    contexts = map_batches(held, cut, "id binary, pos int, left int, right int, need boolean, around binary")
+    contexts = materialize(contexts.select("*", _place("id", "pos").alias("at"), F.monotonically_increasing_id().alias("cid")), "suffix-contexts")
     todo, width = contexts.withColumn("blocks", F.array(F.lit(0))), reach + 1
     for level, parts in enumerate(PARTS):
         finer = _wide(parts, width)
         tested = materialize(_tests(todo, length, width, finer), f"suffix-tests-{level}")
-        alike = tested.groupBy("kind", "x", "y").agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("one")).where("n > 1")
-        hit = tested.join(alike, ["kind", "x", "y"])
-        other = (F.struct("id", "pos") != F.col("one")) if keep_first else F.lit(True)
-        state = hit.groupBy("id", "pos", "block").agg(F.max("need").alias("need"), F.max((F.col("kind") == 1) & F.col("need") & other).alias("whole"), F.max(F.col("kind") == 0).alias("core"), F.max((F.col("kind") == 1) & (F.struct("id", "pos") != F.col("one"))).alias("stood_for"))
+        alike = tested.groupBy("x", "y").agg(F.count("*").alias("n"), F.min("at").alias("one")).where("n > 1").drop("n")
+        hit = tested.join(alike, ["x", "y"])
+        kind, other = F.col("kind"), F.col("at") != F.col("one")
+        state = hit.groupBy("cid", "block").agg(
+            F.max("need").alias("need"), F.max((kind == 1) & F.col("need") & (other | F.lit(not keep_first))).alias("whole"),
+            F.max(kind == 0).alias("core"), F.max((kind == 1) & other).alias("stood_for"),
+        )
         state = materialize(state, f"suffix-state-{level}")
-        spans.append(state.where("whole").select("id", (F.col("pos") - F.col("block") - (finer - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end")))
+        settled = state.where("whole").join(contexts.select("cid", "id", "pos"), "cid")
+        spans.append(settled.select("id", (F.col("pos") - F.col("block") - (finer - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end")))
         # of members alike in the whole block one goes on and stands for the others
-        left = state.where("core and not stood_for").groupBy("id", "pos").agg(F.collect_list("block").alias("blocks"), F.collect_list(F.when(F.col("need") & ~F.col("whole"), F.col("block"))).alias("open"))
-        todo, width = contexts.join(left, ["id", "pos"]), finer
+        left = state.where("core and not stood_for").groupBy("cid").agg(F.collect_list("block").alias("blocks"), F.collect_list(F.when(F.col("need") & ~F.col("whole"), F.col("block"))).alias("open"))
+        todo, width = contexts.join(left, "cid"), finer
     last = map_batches(todo.select("id", "pos", "left", "right", "around", "blocks", "open"), lambda: _suffixes(length, width), "id binary, p int, need boolean, s binary")
     last = materialize(last.groupBy("id", "p").agg(F.max("need").alias("need"), F.first("s").alias("s")), "suffix-strings")
     spans.append(repeated(last, length, keep_first).select("id", F.col("p").alias("start"), (F.col("p") + length).alias("end")))
@@ -343,12 +375,12 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
 
 
 def _tests(todo: DataFrame, length: int, width: int, finer: int) -> DataFrame:
-    """(id, pos, need, block, kind, x, y): fingerprints of what a block of starts covers (kind 1) and of what all its strings share (0)."""
+    """(cid, at, need, block, kind, x, y): fingerprints of what a block of starts covers (kind 1) and of what all its strings share (0)."""
 
     def make():
         def step(b: pa.RecordBatch):
             out: list[list] = [[], [], [], [], [], [], []]
-            for i, pos, left, right, need, around, blocks in zip(*(b.column(c).to_pylist() for c in ("id", "pos", "left", "right", "need", "around", "blocks")), strict=True):
+            for cid, at, left, right, need, around, blocks in zip(*(b.column(c).to_pylist() for c in ("cid", "at", "left", "right", "need", "around", "blocks")), strict=True):
                 h = Hashes(np.frombuffer(around, np.uint8))
                 # distances d before the anchor, in steps of the finer width, that lie in the wider blocks
                 d = np.concatenate([np.arange(x, min(x + width, length), finer) for x in blocks])
@@ -359,14 +391,14 @@ def _tests(todo: DataFrame, length: int, width: int, finer: int) -> DataFrame:
                 z = np.concatenate(((left + length - top), (left + length - d)[whole]))
                 block = np.concatenate((d, d[whole]))
                 kind = np.concatenate((np.zeros(len(d), np.int64), np.ones(int(whole.sum()), np.int64)))
-                for c, v in zip(out, ([i] * len(a), [pos] * len(a), [need] * len(a), block.tolist(), kind.tolist(), h.of(a, z, 0).view(np.int64).tolist(), (h.of(a, z, 1) ^ block.astype(np.uint64)).view(np.int64).tolist()), strict=True):
+                for c, v in zip(out, ([cid] * len(a), [at] * len(a), [need] * len(a), block.tolist(), kind.tolist(), h.of(a, z, 0).view(np.int64).tolist(), (h.of(a, z, 1) ^ (2 * block + kind).astype(np.uint64)).view(np.int64).tolist()), strict=True):
                     c.extend(v)
-            types = (pa.binary(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "pos", "need", "block", "kind", "x", "y"])
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["cid", "at", "need", "block", "kind", "x", "y"])
 
         return step
 
-    return map_batches(todo, make, "id binary, pos int, need boolean, block int, kind int, x bigint, y bigint")
+    return map_batches(todo, make, "cid bigint, at bigint, need boolean, block int, kind int, x bigint, y bigint")
 
 
 def _suffixes(length: int, width: int):
@@ -388,15 +420,19 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
     """``docs`` with spans (array of start, end: the maximal removed runs, in bytes) and kept (binary, the remaining bytes)."""
     spans = repeats(docs, text_col, length, keep_first)
     listed = materialize(spans.distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), _id(text_col))
-    joined = keyed.join(listed, "id", "left").select("r.*", F.coalesce("s", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
     names = [*docs.columns]
+    at = names.index(text_col)
+    keyed = _squeezed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("r") if len(names) > 1 else F.lit(0).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), _id(text_col)), "text")
+    joined = keyed.join(listed, "id", "left").select("r", "text", F.coalesce("s", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
 
     def make():
+        unpack = zstandard.ZstdDecompressor().decompress
+
         def step(b: pa.RecordBatch):
-            spans, kept = [], []
-            for t, found in zip(b.column(names.index(text_col)).to_pylist(), b.column(len(names)).to_pylist(), strict=True):
-                data, runs = (t or "").encode("utf-8", "surrogatepass"), []
+            texts, spans, kept = [], [], []
+            for z, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                data, runs = b"" if z is None else unpack(z), []
+                texts.append(None if z is None else data)
                 for x in found:
                     if runs and x["start"] <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], x["end"])
@@ -406,12 +442,12 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
                 edges = [0, *(e for r in runs for e in r), len(data)]
                 kept.append(b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(spans, kind), pa.array(kept, pa.binary())], names=[*names, "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["r", "text", "spans", "kept"])
 
         return step
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in docs.schema)
-    return map_batches(joined, make, f"{schema}, spans array<struct<start:int,end:int>>, kept binary")
+    done = map_batches(joined, make, f"r {joined.schema['r'].dataType.simpleString()}, text string, spans array<struct<start:int,end:int>>, kept binary")
+    return done.select(*[F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names)], "spans", "kept")
 
 
 def _id(text_col: str):
