@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from hearth.session import materialize
 
-__all__ = ["components", "map_batches", "materialize", "table", "text_or_empty"]
+__all__ = ["components", "fields", "map_batches", "materialize", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,15 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], schema: str) -> DataFrame:
+def fields(*parts: StructField | tuple[str, DataType] | str) -> StructType:
+    """A schema of fields, (name, type) pairs and DDL strings; unlike DDL it takes any name."""
+    out: list[StructField] = []
+    for p in parts:
+        out += [p] if isinstance(p, StructField) else StructType.fromDDL(p).fields if isinstance(p, str) else [StructField(*p)]
+    return StructType(out)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with state built once per task by ``make``."""
 
     def run(batches):
