@@ -38,8 +38,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from hearth.llm.common import map_batches, materialize
+from hearth.llm.common import fields, map_batches, materialize
 
 LENGTH = 400
 #: Bytes of a text whose k-grams are hashed at once; parts by which a range of starts is cut, in turn.
@@ -287,7 +288,7 @@ def _squeezed(df: DataFrame, text_col: str) -> DataFrame:
 
         return step
 
-    return map_batches(df, make, ", ".join(f"`{x.name}` {'binary' if x.name == text_col else x.dataType.simpleString()}" for x in df.schema))
+    return map_batches(df, make, fields(*[(x.name, BinaryType()) if x.name == text_col else x for x in df.schema]))
 
 
 def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
@@ -379,22 +380,32 @@ def _tests(todo: DataFrame, length: int, width: int, finer: int) -> DataFrame:
 
     def make():
         def step(b: pa.RecordBatch):
-            out: list[list] = [[], [], [], [], [], [], []]
-            for cid, at, left, right, need, around, blocks in zip(*(b.column(c).to_pylist() for c in ("cid", "at", "left", "right", "need", "around", "blocks")), strict=True):
-                h = Hashes(np.frombuffer(around, np.uint8))
-                # distances d before the anchor, in steps of the finer width, that lie in the wider blocks
-                d = np.concatenate([np.arange(x, min(x + width, length), finer) for x in blocks])
-                top = d + finer - 1
-                d, top = (x[(d <= left) & (length - top <= right)] for x in (d, top))
-                whole = (top <= left) & (length - d <= right)
-                a = np.concatenate((left - d, (left - top)[whole]))
-                z = np.concatenate(((left + length - top), (left + length - d)[whole]))
-                block = np.concatenate((d, d[whole]))
-                kind = np.concatenate((np.zeros(len(d), np.int64), np.ones(int(whole.sum()), np.int64)))
-                for c, v in zip(out, ([cid] * len(a), [at] * len(a), [need] * len(a), block.tolist(), kind.tolist(), h.of(a, z, 0).view(np.int64).tolist(), (h.of(a, z, 1) ^ (2 * block + kind).astype(np.uint64)).view(np.int64).tolist()), strict=True):
-                    c.extend(v)
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["cid", "at", "need", "block", "kind", "x", "y"])
+            for first in range(0, b.num_rows, 2000):
+                yield some(b.slice(first, 2000))
+
+        def some(b: pa.RecordBatch) -> pa.RecordBatch:
+            around = b.column("around").to_pylist()
+            base = np.cumsum([0, *map(len, around)])[:-1]
+            h = Hashes(np.frombuffer(b"".join(around), np.uint8))
+            cid, at, need, left, right = (b.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "at", "need", "left", "right"))
+            blocks = b.column("blocks")
+            row = np.repeat(np.arange(b.num_rows), blocks.value_lengths().to_numpy(zero_copy_only=False))
+            block = blocks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            # distances d before the anchor, in steps of the finer width, that lie in the wider blocks
+            steps = np.arange(0, width, finer)
+            row, d = np.repeat(row, len(steps)), (block[:, None] + steps[None, :]).ravel()
+            top = d + finer - 1
+            inside = (d < length) & (d <= left[row]) & (length - top <= right[row])
+            row, d, top = row[inside], d[inside], top[inside]
+            whole = (top <= left[row]) & (length - d <= right[row])
+            zero = base[row] + left[row]  # the anchors
+            start = np.concatenate((zero - d, (zero - top)[whole]))
+            end = np.concatenate((zero + length - top, (zero + length - d)[whole]))
+            row, d = np.concatenate((row, row[whole])), np.concatenate((d, d[whole]))
+            kind = (np.arange(len(row)) >= len(zero)).astype(np.int32)
+            x, y = h.of(start, end, 0), h.of(start, end, 1) ^ (2 * d + kind).astype(np.uint64)
+            cols = (cid[row], at[row], need[row].astype(bool), d.astype(np.int32), kind, x.view(np.int64), y.view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["cid", "at", "need", "block", "kind", "x", "y"])
 
         return step
 
@@ -446,7 +457,7 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
 
         return step
 
-    done = map_batches(joined, make, f"r {joined.schema['r'].dataType.simpleString()}, text string, spans array<struct<start:int,end:int>>, kept binary")
+    done = map_batches(joined, make, fields(joined.schema["r"], "text string, spans array<struct<start:int,end:int>>, kept binary"))
     return done.select(*[F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names)], "spans", "kept")
 
 
@@ -468,5 +479,5 @@ def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
         return step
 
     some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
-    left = map_batches(done.where(some), make, f"row {done.schema['row'].dataType.simpleString()}, text string")
+    left = map_batches(done.where(some), make, fields(done.schema["row"], "text string"))
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
