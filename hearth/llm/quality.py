@@ -91,13 +91,13 @@ def further_rules(text: str = "text") -> dict[str, Column]:
     }
 
 
-def plan(df: DataFrame, rules: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS) -> list[str]:
+def plan(docs: DataFrame, text: str, rules: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """Order of the rules by rejection per cost on a sample of about ``sample_rows`` rows."""
-    total = df.count()
+    total = docs.count()
     if not total:
         return list(rules)
-    sample = df if total <= sample_rows else df.sample(fraction=min(1.0, sample_rows / total), seed=7)
-    sample = materialize(sample, "quality-sample")
+    sample = docs if total <= sample_rows else docs.sample(fraction=sample_rows / total, seed=7)
+    sample = materialize(measures(sample.select(F.col(f"`{text}`")), text), "quality-sample")
     flagged = sample.select(*[F.coalesce(r, F.lit(False)).alias(n) for n, r in rules.items()])
     outcomes = [(r.asDict(), r["__rows"]) for r in flagged.groupBy(*rules).agg(F.count("*").alias("__rows")).collect()]  # 2 ** rules rows at most
     cost = {}
@@ -125,14 +125,15 @@ def assess(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
     """``docs`` with the measures, base_failed, rejected_by and kept."""
     d = measures(docs, text)
     rules = base_rules() | further_rules(text)
-    order = plan(d, rules, sample_rows)
+    order = plan(docs, text, rules, sample_rows)
     base = base_rules()
     return cascade(d, rules, order).withColumn("base_failed", base["too_few_words"] | base["repeated_words"]).withColumn("kept", F.col("rejected_by").isNull())
 
 
 def keep(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
+    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{text}`").alias("text"))  # names cannot clash
     # the partition number makes the verdict nondeterministic to the optimizer, which then leaves the filter above
     # the measures; pushed below them it would repeat their expressions many times over
     verdict = (F.col("kept") & (F.spark_partition_id() >= 0)).alias("__kept")
-    return assess(docs, text, sample_rows).select(*[F.col(f"`{c}`") for c in docs.columns], verdict).where("__kept").drop("__kept")
+    return assess(boxed, "text", sample_rows).select("__row", verdict).where("__kept").select("__row.*")
