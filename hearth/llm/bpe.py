@@ -17,15 +17,15 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hearth.llm.common import map_batches
+from hearth.llm.common import fields, map_batches
 
 #: Chunks whose ids a task keeps; the cache starts anew when it is full.
 CACHE_CHUNKS = 400_000
@@ -50,15 +50,35 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
+def parts(chunk: str) -> tuple[str, ...]:
+    """Commoner chunks whose ids, one after the other, are the chunk's: lower case, and a last punctuation mark by itself.
+
+    Only within the Latin letters, where lower case does not depend on the neighbours.
+    """
+    if "<|" in chunk or len(chunk) > 64 or max(chunk) >= "\u0250":
+        return (chunk,)
+    low = chunk.lower()
+    if len(low) > 1 and low[-1] in ".,:;!?" and low[-2].isalnum():
+        return low[:-1], low[-1]
+    return (low,)
+
+
 class _Cache(dict):
-    """Ids by chunk; a chunk that is not there is encoded."""
+    """Ids by chunk, as bytes of 32-bit numbers; a chunk that is not there is encoded."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids = self.encode(chunk)
+    def __missing__(self, chunk: str) -> bytes:
+        found = parts(chunk)
+        if found == (chunk,):
+            ids = np.array(self.encode(chunk), "<i4").tobytes()
+        else:
+            seen = found[0] in self
+            ids = self[found[0]] if len(found) == 1 else self[found[0]] + self[found[1]]
+            if not seen:
+                return ids  # only forms of a word that comes back are worth keeping
         if len(chunk) <= 64:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
@@ -74,12 +94,14 @@ class Encoder:
             spec = json.load(f)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.end: str = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(self.vocab[a], self.vocab[b]): (i, self.vocab[a + b]) for i, (a, b) in enumerate(pairs)}
-        self.bytes = byte_alphabet()
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.pairs = [self.vocab[a] << 20 | self.vocab[b] for a, b in merges]  # by rank: the two ids in one number
+        self.joined = [self.vocab[a + b] for a, b in merges]
+        self.ranks = {p: i for i, p in enumerate(self.pairs)}
+        marks, end = byte_alphabet(), model["end_of_word_suffix"] or ""
+        self.first, self.final = [self.vocab[m] for m in marks], [self.vocab[m + end] for m in marks]
         strings = self.vocab | self.special
         self.strings = [""] * (max(strings.values()) + 1)
         for s, i in strings.items():
@@ -89,32 +111,29 @@ class Encoder:
 
     def word(self, word: str) -> list[int]:
         """Ids of one word: merges by rank over a linked list of symbols."""
-        marks = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
-        marks[-1] += self.end
-        ids = [self.vocab[m] for m in marks]
+        data = word.encode("utf-8", "surrogatepass")
+        ids = [self.first[b] for b in data]
+        ids[-1] = self.final[data[-1]]
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j >= 0 and (m := self.ranks.get((ids[i], ids[j]))):
-                heapq.heappush(queue, (m[0], i, ids[i], ids[j], m[1]))
-
-        for i in range(n - 1):
-            offer(i)
+        rank, pairs, joined = self.ranks.get, self.pairs, self.joined
+        # an entry is a rank and the place of the left symbol in one number
+        queue = [r << 32 | i for i in range(n - 1) if (r := rank(ids[i] << 20 | ids[i + 1])) is not None]
+        heapq.heapify(queue)
         while queue:
-            _, i, left, right, merged = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            r, i = entry >> 32, entry & 0xFFFFFFFF
             j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
+            if j < 0 or ids[i] << 20 | ids[j] != pairs[r]:
                 continue  # stale
-            ids[i], ids[j] = merged, -1
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
+            ids[i], ids[j] = joined[r], -1
+            after[i] = k = after[j]
+            if k >= 0:
+                before[k] = i
+                if (r := rank(ids[i] << 20 | ids[k])) is not None:
+                    heapq.heappush(queue, r << 32 | i)
+            if (h := before[i]) >= 0 and (r := rank(ids[h] << 20 | ids[i])) is not None:
+                heapq.heappush(queue, r << 32 | h)
         return [x for x in ids if x >= 0]
 
     def _plain(self, part: str) -> list[int]:
@@ -126,33 +145,48 @@ class Encoder:
             words = [part[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(part)]
         return [i for w in words for i in self.word(w)]
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
+    def chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space."""
         out, at = [], 0
         for m in self.special_re.finditer(chunk) if self.special_re else ():
             out += self._plain(chunk[at : m.start()]) + [self.special[m[0]]]
             at = m.end()
-        return (*out, *self._plain(chunk[at:]))
+        return out + self._plain(chunk[at:])
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.cache.__getitem__, chunks(text or ""))))
+        return np.frombuffer(self.packed(text), "<i4").tolist()
 
-    def decode(self, ids) -> str:
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as bytes of 32-bit numbers."""
+        return b"".join(map(self.cache.__getitem__, chunks(text or "")))
+
+    def decode(self, ids: list[int]) -> str:
         """The vocabulary's strings, joined by a space as the library joins them without a decoder."""
         return " ".join(map(self.strings.__getitem__, ids))
 
 
+def _encoded(e: Encoder, texts: pa.Array) -> pa.Array:
+    packed = [e.packed(x) for x in texts.to_pylist()]
+    offsets = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def _decoded(e: Encoder, ids: pa.Array) -> pa.Array:
+    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    return pa.array([e.decode(flat[a:z].tolist()) for a, z in zip([0, *ends[:-1]], ends, strict=True)] if len(ids) else [], pa.string())
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with an array column of the ids of each whole text."""
-    return _with(docs, path, text_col, ids_col, "array<int>", pa.list_(pa.int32()), Encoder.encode)
+    return _with(docs, path, text_col, ids_col, "array<int>", _encoded)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with a column of the text of each array of ids; null ids give an empty text."""
-    return _with(df, path, ids_col, text_col, "string", pa.string(), lambda e, ids: e.decode(ids or ()))
+    return _with(df, path, ids_col, text_col, "string", _decoded)
 
 
-def _with(df: DataFrame, path: str, src: str, new: str, kind: str, arrow: pa.DataType, f) -> DataFrame:
+def _with(df: DataFrame, path: str, src: str, new: str, kind: str, f) -> DataFrame:
     names = [c for c in df.columns if c != new]
     at = df.columns.index(src)
 
@@ -162,10 +196,8 @@ def _with(df: DataFrame, path: str, src: str, new: str, kind: str, arrow: pa.Dat
         def step(b: pa.RecordBatch):
             for i in range(0, b.num_rows, 256):  # ids take more room than texts
                 part = b.slice(i, 256)
-                made = pa.array([f(e, x) for x in part.column(at).to_pylist()], arrow)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], names=[*names, new])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), f(e, part.column(at))], names=[*names, new])
 
         return step
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema if x.name != new)
-    return map_batches(df, make, f"{schema}, `{new}` {kind}")
+    return map_batches(df, make, fields(*[x for x in df.schema if x.name != new], f"`{new}` {kind}"))
