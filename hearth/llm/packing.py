@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.bpe import CACHE_CHUNKS, chunks
+from hearth.llm.bpe import CACHE_CHUNKS, byte_alphabet, chunks, parts
 from hearth.llm.common import materialize
 
 WINDOW = 4096
@@ -46,9 +46,20 @@ class _ChunkIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = byte_alphabet()
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        found = parts(chunk)
+        if found == (chunk,) and chunk.isalpha() and max(chunk) < "\u0250":  # one word, normalised already: only the model is needed
+            word = chunk if chunk.isascii() else "".join([self.letters[b] for b in chunk.encode()])
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+        elif found == (chunk,):
+            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            seen = found[0] in self
+            ids = b"".join([self[p] for p in found])
+            if not seen:
+                return ids  # only forms of a word that comes back are worth keeping
         if len(chunk) <= 64:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
