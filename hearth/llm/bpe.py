@@ -55,7 +55,7 @@ def parts(chunk: str) -> tuple[str, ...]:
 
     Only within the Latin letters, where lower case does not depend on the neighbours.
     """
-    if "<|" in chunk or len(chunk) > 64 or max(chunk) >= "\u0250":
+    if "<|" in chunk or len(chunk) > 64 or not (chunk.isascii() or max(chunk) < "\u0250"):
         return (chunk,)
     low = chunk.lower()
     if len(low) > 1 and low[-1] in ".,:;!?" and low[-2].isalnum():

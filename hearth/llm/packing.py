@@ -16,7 +16,7 @@ and consist of the end token; repeated ids are packed as documents of their own.
 
 from __future__ import annotations
 
-import heapq
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -50,9 +50,9 @@ class _ChunkIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         found = parts(chunk)
-        if found == (chunk,) and chunk.isalpha() and max(chunk) < "\u0250":  # one word, normalised already: only the model is needed
+        if found == (chunk,) and chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0250"):  # one word, normalised already: only the model is needed
             word = chunk if chunk.isascii() else "".join([self.letters[b] for b in chunk.encode()])
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
         elif found == (chunk,):
             ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         else:
