@@ -126,6 +126,9 @@ def _scan(docs: DataFrame, k: int, templates: list, id_col: str, text_col: str)
         "width int, band int, value bigint, license string, shingles array<string>",
     )
     known = F.array(*[F.lit(h) for h in sorted({h for r in rows for h in r["h"]})])
+    if all(len(s) == 1 for _, s, _ in templates):  # such a template matches only whole, so its longest word must be in the text
+        low = F.lower(text_or_empty(F.col(f"`{text_col}`")))
+        docs = docs.where(F.greatest(*[F.contains(low, F.lit(max(w, key=len))) for _, _, w in templates], F.lit(False)))
     d = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), words(text_or_empty(F.col(f"`{text_col}`"))).alias("w"))
     d = d.select("id", "w", _shingled("w", k).alias("h"))
     # the partition number keeps the filter above the shingles, whose expressions it would repeat if it were pushed below
