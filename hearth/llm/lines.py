@@ -11,7 +11,9 @@ Equal lines are one node, however often they occur. A segment with more than
 ``pair_limit`` lines is not joined with its probes when the threshold is 1: its lines
 are filed under themselves with one character left out (and its place), where lines
 that differ in that character meet, and under themselves as a shorter line, where those
-with one character more meet. That is exact, and links each to one line instead of all pairs.
+with one character more meet. Lines that only share such a shorter form are two edits apart
+and are not linked by it. That is exact up to 128-bit hashes, and links each to one line
+instead of all pairs.
 
 Linked lines form classes. Of a class with at least ``min_count`` occurrences the first
 stays (smallest id, nulls last, then text and line number); the others are removed.
@@ -31,6 +33,8 @@ from hearth.llm.common import components, map_batches, materialize
 THRESHOLD = 1
 MIN_CHARS = 20
 PAIR_LIMIT = 512
+#: Forms of a line in a hot group: without a character and with its place, without a character, the line itself.
+PLACED, BARE, WHOLE = 0, 1, 2
 
 
 def segments(n: int, parts: int) -> list[tuple[int, int]]:
@@ -132,9 +136,11 @@ def links(lines: DataFrame, threshold: int, pair_limit: int = PAIR_LIMIT) -> Dat
     if threshold != 1:
         return found
     hot = live.where(F.col("n") > pair_limit).select("lid").distinct().join(text, "lid")
-    left_out = map_batches(hot, _left_out, "x binary, lid bigint, short boolean")
-    centre = left_out.groupBy("x").agg(F.min(F.when(F.col("short"), F.col("lid"))).alias("s"), F.min("lid").alias("lo"), F.count("*").alias("n")).where("n > 1")
-    stars = left_out.join(centre.select("x", F.coalesce("s", "lo").alias("a")), "x").where("lid <> a").select("a", F.col("lid").alias("b"))
+    left_out = map_batches(hot, _left_out, "x binary, lid bigint, kind int")
+    # lines that share a form with its place differ there only; of those that share one without, only the line equal to it is one edit away
+    whole, low = F.min(F.when(F.col("kind") == WHOLE, F.col("lid"))), F.min(F.when(F.col("kind") == PLACED, F.col("lid")))
+    centre = left_out.groupBy("x").agg(F.coalesce(whole, low).alias("a"), F.count("*").alias("n")).where("n > 1 and a is not null")
+    stars = left_out.join(centre.select("x", "a"), "x").where("lid <> a").select("a", F.col("lid").alias("b"))
     return found.union(stars)
 
 
@@ -146,8 +152,8 @@ def _left_out():
         for lid, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             cuts = [(line[:i] + line[i + 1 :]).encode("utf-8", "surrogatepass") for i in range(len(line))]
             xs = [h(c, seed=i + 1) for i, c in enumerate(cuts)] + [h(c) for c in {*cuts}] + [h(line.encode("utf-8", "surrogatepass"))]
-            short = [False] * (len(xs) - 1) + [True]
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array([lid] * len(xs), pa.int64()), pa.array(short)], names=["x", "lid", "short"])
+            kinds = [PLACED] * len(cuts) + [BARE] * (len(xs) - len(cuts) - 1) + [WHOLE]
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array([lid] * len(xs), pa.int64()), pa.array(kinds, pa.int32())], names=["x", "lid", "kind"])
 
     return step
 

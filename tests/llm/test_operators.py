@@ -196,6 +196,16 @@ def test_line_links(spark, threshold, limit):
     assert [got.get(i, i) for i in range(len(texts))] == [root(i) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("limit", [2, 512])
+def test_every_line_link_is_within_the_threshold(spark, limit):
+    texts = [f"Product {n}: add this line" for n in (12, 23, 24, 25, 42, 312, 7, 7012)]  # 12 and 23 share "Product 2", which is no line here
+    found = lines.links(spark.createDataFrame(list(enumerate(texts)), "lid bigint, line string"), 1, limit).collect()
+    assert all(lines.within(texts[r.a], texts[r.b], 1) for r in found)
+    want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i) if lines.within(texts[i], texts[j], 1)}
+    got = {r.node: r.root for r in components(spark.createDataFrame([(r.a, r.b) for r in found], "a bigint, b bigint")).collect()}
+    assert all(got[i] == got[j] for i, j in want)
+
+
 def test_lines_on_odd_rows(odd, none):
     got = lines.clean(odd)
     assert got.columns == odd.columns
