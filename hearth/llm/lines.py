@@ -17,7 +17,8 @@ instead of all pairs.
 
 Linked lines form classes. Of a class with at least ``min_count`` occurrences the first
 stays (smallest id, nulls last, then text and line number); the others are removed.
-Lines shorter than ``min_chars`` are left alone. Null texts have no lines. Repeated
+Equal lines form a class whatever their length; lines shorter than ``min_chars`` are not
+joined with others by edits. Blank lines are left alone. Null texts have no lines. Repeated
 rows (same id and text) are one document and are treated alike.
 """
 
@@ -31,7 +32,10 @@ from pyspark.sql import functions as F
 from hearth.llm.common import components, map_batches, materialize
 
 THRESHOLD = 1
+#: Lines of fewer characters are joined only when equal: one edit is a large part of them.
 MIN_CHARS = 20
+#: A line that is not blank.
+SOME = "[^\\x20\\x09-\\x0D]"
 PAIR_LIMIT = 512
 #: Forms of a line in a hot group: without a character and with its place, without a character, the line itself.
 PLACED, BARE, WHOLE = 0, 1, 2
@@ -170,10 +174,10 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``dups`` is an array of (line, first_id, first_line): number of the line and the first occurrence of its class.
     ``h`` is a hash of the text, for documents that share an id.
     """
-    each = _keyed(docs, id_col, text_col).select("id", "h", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(F.char_length("line") >= min_chars)
+    each = _keyed(docs, id_col, text_col).select("id", "h", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(F.col("line").rlike(SOME))
     lines = each.groupBy("line").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("lid"), "line", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(7), "line").alias("y"))
     lines = materialize(lines, "lines")  # numbers are fixed from here on
-    roots = components(links(lines, threshold), "line-links")
+    roots = components(links(lines.where(F.char_length("line") >= min_chars), threshold), "line-links")
     classes = lines.select("lid", "x", "y").join(roots.withColumnRenamed("node", "lid"), "lid", "left").select("x", "y", F.coalesce("root", "lid").alias("class"))
     slim = each.select("id", "h", "no", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(7), "line").alias("y"))
     placed = materialize(slim.join(classes, ["x", "y"]).select("class", "id", "h", "no"), "line-places")

@@ -237,6 +237,12 @@ def test_every_line_link_is_within_the_threshold(spark, limit):
     assert all(got[i] == got[j] for i, j in want)
 
 
+def test_equal_short_lines_are_repeats(spark):
+    rows = [(1, "Les.\n\nA first line of that document."), (2, "Les.\n\nLet.\nThe other one has more text."), (3, " \n\n ")]
+    got = {r.doc_id: (r.text, r.n_removed) for r in lines.remove(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nLet.\nThe other one has more text.", 1), 3: (rows[2][1], 0)}
+
+
 def test_lines_on_odd_rows(odd, none):
     got = lines.clean(odd)
     assert got.columns == odd.columns
