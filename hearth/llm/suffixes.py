@@ -25,8 +25,9 @@ that cannot decide anything are left out first, without loss:
 
 In steps 1 to 3 bytes are compared by 128-bit fingerprints (k-grams, which only select, by 64).
 Classes and blocks are counted by grouping with partial sums, so a passage in a third of all
-documents is one row in each task. No pairs are formed. Equal suffixes of a run are one entry,
-and a run sends one entry of it to the merge. Null texts are empty; nothing is removed there.
+documents is one row in each task. No pairs are formed. Equal suffixes of a run are one entry
+of a count, the first place and a hash; their owners stay out of the merge and meet the repeated
+strings by that hash in a join. Null texts are empty; nothing is removed there.
 """
 
 from __future__ import annotations
@@ -214,29 +215,26 @@ def repeated(suffixes: DataFrame, length: int, keep_first: bool) -> DataFrame:
     def sort_runs(batches):
         from bisect import bisect_right
 
-        run: list[tuple[bytes, bytes, int, bool]] = []
+        run: list[tuple[bytes, int, int, int]] = []
 
         def emit():
             run.sort()
-            parts: dict[int, tuple[list, list]] = {}
-            for s, i, p, need in run:
-                strings, owners = parts.setdefault(bisect_right(splitters, s), ([], []))
-                if not strings or strings[-1] != s:
-                    strings.append(s)
-                    owners.append([])
-                owners[-1].append((i, p, need))
+            parts: dict[int, list[list]] = {}
+            for s, at, x, y in run:
+                strings, counts, ones, xs, ys = parts.setdefault(bisect_right(splitters, s), [[], [], [], [], []])
+                if strings and strings[-1] == s:
+                    counts[-1] += 1
+                else:  # the first has the smallest place
+                    for column, v in zip((strings, counts, ones, xs, ys), (s, 1, at, x, y), strict=True):
+                        column.append(v)
             run.clear()
-            for r, (strings, owners) in sorted(parts.items()):
+            for r, (strings, *others) in sorted(parts.items()):
                 coded = front_code(strings)
-                cols = [
-                    pa.array([r], pa.int32()), pa.array([[x[0] for x in coded]], pa.list_(pa.int32())), pa.array([[x[1] for x in coded]], pa.list_(pa.binary())),
-                    pa.array([[len(o) for o in owners]], pa.list_(pa.int32())), pa.array([[x[0] for o in owners for x in o]], pa.list_(pa.binary())),
-                    pa.array([[x[1] for o in owners for x in o]], pa.list_(pa.int32())), pa.array([[x[2] for o in owners for x in o]], pa.list_(pa.bool_())),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=["range", "shared", "rest", "counts", "ids", "ps", "needs"])
+                cols = [pa.array([r], pa.int32()), pa.array([[x[0] for x in coded]], pa.list_(pa.int32())), pa.array([[x[1] for x in coded]], pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array([c], pa.list_(pa.int64())) for c in others], names=["range", "shared", "rest", "counts", "ones", "xs", "ys"])
 
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("s", "id", "p", "need")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in ("s", "at", "x", "y")), strict=True):
                 run.append(row)
                 if len(run) == RUN:
                     yield from emit()
@@ -245,28 +243,27 @@ def repeated(suffixes: DataFrame, length: int, keep_first: bool) -> DataFrame:
 
     def merge(runs: pa.Table) -> pa.Table:
         rows = runs.to_pylist()
-        ends = [np.concatenate(([0], np.cumsum(r["counts"]))).tolist() for r in rows]
-        out: list[tuple[bytes, int]] = []
-        equal: list[tuple[bytes, int, bool]] = []
-
-        def settle():
-            if len(equal) > 1:
-                place = [(int.from_bytes(i[:8]) >> 4 >> 28, p) for i, p, _ in equal]  # as _place() orders them
-                first = min(place) if keep_first else None
-                out.extend(x[:2] for x, at in zip(equal, place, strict=True) if x[2] and at != first)
-            equal.clear()
+        out: list[tuple[int, int, int]] = []
+        n, one, key = 0, 0, (0, 0)  # of the strings equal to the last winner
 
         tree = LoserTree([list(zip(r["shared"], r["rest"], strict=True)) for r in rows])
         for shared, _, i, j in tree:
+            r = rows[i]
             if shared < length:
-                settle()
-            equal.extend(zip(*(rows[i][c][ends[i][j] : ends[i][j + 1]] for c in ("ids", "ps", "needs")), strict=True))
-        settle()
-        return pa.table({"id": pa.array([x[0] for x in out], pa.binary()), "p": pa.array([x[1] for x in out], pa.int32())})
-
-    schema = "range int, shared array<int>, rest array<binary>, counts array<int>, ids array<binary>, ps array<int>, needs array<boolean>"
-    runs = suffixes.select("id", "p", "need", "s").mapInArrow(sort_runs, schema)
-    return runs.groupBy("range").applyInArrow(merge, "id binary, p int")
+                if n > 1:
+                    out.append((*key, one))
+                n, one, key = 0, r["ones"][j], (r["xs"][j], r["ys"][j])
+            n, one = n + r["counts"][j], min(one, r["ones"][j])
+        if n > 1:
+            out.append((*key, one))
+        return pa.table({c: pa.array([x[k] for x in out], pa.int64()) for k, c in enumerate(("x", "y", "one"))})
+
+    schema = "range int, shared array<int>, rest array<binary>, counts array<bigint>, ones array<bigint>, xs array<bigint>, ys array<bigint>"
+    keyed = suffixes.select("id", "p", "need", "s", _place("id", "p").alias("at"), F.xxhash64("s").alias("x"), F.xxhash64(F.lit(7), "s").alias("y"))
+    runs = keyed.select("s", "at", "x", "y").mapInArrow(sort_runs, schema)
+    again = runs.groupBy("range").applyInArrow(merge, "x bigint, y bigint, one bigint")
+    owners = keyed.where("need").select("id", "p", "at", "x", "y").join(again, ["x", "y"])
+    return owners.where((F.col("at") != F.col("one")) | F.lit(not keep_first)).select("id", "p")
 
 
 def _place(id_: str | Column, pos: str | Column) -> Column:

@@ -291,6 +291,24 @@ def test_suffixes_by_brute_force(spark, monkeypatch, keep_first):
         assert sum(s.end - s.start for s in got[i].spans) == len(gone)
 
 
+def test_suffix_merge_gets_no_owners(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "RUN", 50)
+    monkeypatch.setattr(suffixes, "RANGE", 100)
+    rows = [(f"{i:016d}".encode(), i, i % 2 == 0, b"the same string!" if i % 3 else f"string {i:09d}".encode()) for i in range(900)]
+    df = spark.createDataFrame(rows, "id binary, p int, need boolean, s binary")
+    watched, grouped = [], type(df.groupBy())
+    plain = grouped.applyInArrow
+
+    def merge(self, func, schema):
+        watched.append(sum(len(v) for r in self._df.collect() for v in r if isinstance(v, list)))
+        return plain(self, func, schema)
+
+    monkeypatch.setattr(grouped, "applyInArrow", merge)
+    got = {(bytes(r.id), r.p) for r in suffixes.repeated(df, 16, False).collect()}
+    assert got == {(i, p) for i, p, need, s in rows if need and s == b"the same string!"}
+    assert 0 < watched[0] <= 6 * (300 + 900 // 50 + 8)  # six values of each string of a run, however many places have it
+
+
 def test_suffixes_on_odd_rows(odd, none):
     got = suffixes.clean(odd, length=100)
     assert got.columns == odd.columns and (None, None) in {(r.doc_id, r.text) for r in got.collect()}
