@@ -262,6 +262,16 @@ def test_html_on_odd_pages(spark):
     assert html.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_a_run_of_two_pages_of_a_large_host_is_found(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    shared = "two pages of this large host share these words"
+    pages = [(i, f"http://h.x/{i}", f"<div>{own(i)}</div>" + f"<p>{shared}</p>" * (i in (5, 2900))) for i in range(3000)]
+    pages += [(3000 + i, "http://h.x/copy", f"<div>{own(5000)}</div>") for i in range(4)] + [(4000, "http://other.x/", f"<p>{shared}</p>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == 3005 and all(got[i] == own(i) for i in range(3000))
+    assert all(got[3000 + i] == own(5000) for i in range(4)) and got[4000] == shared  # copies are one page, hosts are apart
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_suffixes_by_brute_force(spark, monkeypatch, keep_first):
     monkeypatch.setattr(suffixes, "RUN", 7)
