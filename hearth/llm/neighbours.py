@@ -83,9 +83,11 @@ def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
 
     def run(batches):
         held: dict[int, tuple[list, list]] = {}
+        seen: dict[int, set[tuple[int, bytes]]] = {}  # of the blocks held; a block has a repeated row once
 
         def emit(dim: int) -> pa.RecordBatch:
             ids, vectors = held.pop(dim)
+            seen.pop(dim)
             v = np.array(vectors, np.float64)
             v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])  # a power of two leaves the cosine as it is and keeps squares finite
             bits, own = codes(v / np.sqrt((v * v).sum(axis=1))[:, None], rotation(dim)) if coded else (np.empty(0, np.uint8), np.empty(0))
@@ -95,6 +97,10 @@ def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
         for b in batches:
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids, vectors = held.setdefault(len(x), ([], []))
+                row, rows_seen = (i, (np.array(x, np.float64) + 0.0).tobytes()), seen.setdefault(len(x), set())
+                if row in rows_seen:
+                    continue
+                rows_seen.add(row)
                 ids.append(i)
                 vectors.append(x)
                 if len(ids) == rows:
@@ -112,7 +118,10 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     good = good.where(F.col("id").isNotNull() & (F.size(x) > 0) & finite & F.exists(x, lambda c: c != 0))
     queries = materialize(_blocks(good.where("__q").dropDuplicates(["id", "v"]).select("id", "v"), QUERIES, False), "nearest-queries")
-    queries = materialize(queries.select("*", F.row_number().over(Window.partitionBy("dim").orderBy("ids")).alias("block")), "nearest-query-blocks")
+    queries = materialize(queries.withColumn("key", F.monotonically_increasing_id()), "nearest-query-blocks")  # fixed from here on
+    # one small row for each block is numbered; ids and vectors stay where they are
+    numbers = queries.select("dim", "key").withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("key")))
+    queries = queries.join(numbers, ["dim", "key"]).drop("key")
     counts = queries.groupBy("dim").agg(F.max("block").alias("blocks"))
     held = materialize(_blocks(good.select("id", "v"), BLOCK, True), "nearest-candidates")
     spread = held.join(counts, "dim").withColumn("block", F.explode(F.sequence(F.lit(1), "blocks"))).drop("blocks")

@@ -348,6 +348,14 @@ def test_nearest_by_brute_force(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding").count() == 0
 
 
+def test_repeated_rows_do_not_displace_neighbours(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0, [1.0, 0.0, 0.0])] + [(1, [1.0, 0.01, 0.0])] * 9 + [(i, [1.0, 0.1 * i, 0.0]) for i in range(2, 8)]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").coalesce(1), F.col("vec_id") == 0, 5, "vec_id", "embedding")
+    assert [r.vec_id for r in found.orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
 def test_pipeline_leaves_clean_documents(spark, tmp_path):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
