@@ -57,7 +57,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of materialized frames once nothing reads them any more; other frames are left alone."""
+    for df in frames:
+        path = df.__dict__.pop("_scratch", None)
+        if path:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -98,3 +98,33 @@ def test_first_and_latest_per_key(spark, rows):
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 9, "z")], "k int, o int, v string")
     assert rows(lookup.latest_per_key(df, ["k"], "o", ["v", "o"])) == [(1, "c", 3), (2, "z", 9)]
     assert rows(lookup.first_per_key(df, ["k"], "o", ["v"])) == [(1, "a"), (2, "z")]
+
+
+def test_ranks_and_row_numbers_without_a_global_window(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.operators.ranking import number_rows, rank_desc
+
+    values = [(i, None if i % 11 == 0 else 7.5 if i % 3 == 0 else i % 40 / 4) for i in range(500)]
+    df = spark.createDataFrame(values, "id bigint, score double").repartition(6)
+    got = {r.id: r.place for r in rank_desc(df, "score", "place").collect()}
+    worse = lambda a, b: a is not None and (b is None or a > b)
+    assert got == {i: 1 + sum(worse(w, v) for _, w in values) for i, v in values}
+    numbered = number_rows(df, [F.desc_nulls_last("score"), F.asc("id")], "n")
+    order = sorted(values, key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))
+    assert {r.id: r.n for r in numbered.collect()} == {i: n for n, (i, _) in enumerate(order, 1)}
+    plan = rank_desc(df, "score", "place")._jdf.queryExecution().optimizedPlan().toString() + numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 2 and plan.count("windowspecdefinition(__part") == 2
+    assert number_rows(df.limit(0), [F.asc("id")], "n").count() == 0
+
+
+def test_discarded_tables_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from hearth.session import discard, materialize
+
+    kept, gone = materialize(spark.range(3), "kept"), materialize(spark.range(4), "gone")
+    folder = Path(gone._scratch)
+    assert folder.exists()
+    discard(gone, gone, spark.range(2))  # a second time and another frame: nothing happens
+    assert not folder.exists() and kept.count() == 3
