@@ -11,7 +11,7 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(sf: str):
