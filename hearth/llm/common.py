@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from hearth.session import materialize
 
-__all__ = ["components", "fields", "map_batches", "materialize", "table", "text_or_empty"]
+__all__ = ["components", "fields", "map_batches", "materialize", "slices", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,21 @@ def fields(*parts: StructField | tuple[str, DataType] | str) -> StructType:
     return StructType(out)
 
 
+#: Bytes of text that a task turns into Python objects at once, and rows.
+SLICE_BYTES, SLICE_ROWS = 8 << 20, 2048
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most about ``SLICE_BYTES`` of that text column; a longer text comes alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right"))
+        to = min(max(to, at + 1), at + SLICE_ROWS)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with state built once per task by ``make``."""
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, html, licenses, lines, neighbours, packing, quality, sharding, simhash, suffixes
+from hearth.llm import bpe, fim, html, licenses, lines, neighbours, packing, quality, resample, sharding, simhash, suffixes
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -125,3 +125,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words OR upper_n > (upper_n + lower_n) * CAST(0.6 AS DOUBLE)
             OR bangs > n_words * CAST(0.2 AS DOUBLE)) AS kept
 FROM b"""
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op12_fill_in_middle"] = r"""
+WITH t AS (SELECT doc_id, COALESCE(text, '') AS s, sha256('1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+u AS (SELECT *, regexp_extract_all(s, '[A-Za-z]+|[^A-Za-z]') AS units FROM t),
+h AS (SELECT doc_id, s, units, CAST(len(units) AS BIGINT) AS n, CAST('0x' || d[1:8] AS UBIGINT) AS h1, CAST('0x' || d[9:16] AS UBIGINT) AS h2,
+             CAST('0x' || d[17:24] AS UBIGINT) AS h3, CAST('0x' || d[25:32] AS UBIGINT) AS h4 FROM u),
+c AS (SELECT doc_id, s, n, units, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS a, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS b,
+             CASE WHEN s = '' OR contains(s, '<P>') OR contains(s, '<S>') OR contains(s, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, s, n, form, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+             array_to_string(units[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN s WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(s) AS restored_sha256
+FROM p"""
+
+
+@query
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return scored.withColumnRenamed("id", "doc_id")
