@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, fim, html, licenses, lines, neighbours, packing, quality, resample, sharding, simhash, suffixes
+from hearth.llm import bpe, fim, html, jaccard, licenses, lines, neighbours, packing, quality, resample, sharding, simhash, suffixes
 from hearth.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -127,6 +127,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
+@query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = jaccard.classes(table(spark, sf_dir, "documents"))
+    return c.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fim.fill_in_middle(table(spark, sf_dir, "documents"))

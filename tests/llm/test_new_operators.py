@@ -7,10 +7,11 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from hearth.llm import common, fim, queries, resample
+from hearth.llm import common, fim, jaccard, queries, resample
 
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(20000))
 TEXT = "The quick brown fox jumps over 7 lazy dogs while seven OTHER animals watch — from a hill.\nAnother line, with more words in it.\n" * 3
@@ -142,3 +143,129 @@ def test_lines_are_counted_once(spark):
     docs = spark.createDataFrame([(i, "the same line here\n" + ("own words %d" % i)) for i in range(50)], "id bigint, text string")
     lines = {r.n_words: r.times for r in resample._distinct_lines(docs, 1, 100).groupBy("n_words").agg({"times": "max"}).toDF("n_words", "times").collect()}
     assert lines == {4: 50, 3: 1}
+
+
+def sets_of(rows, size=3):
+    out = []
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        out.append((i, frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()))
+    return out
+
+
+def components_by_pairs(rows, a=9, b=10):
+    """(id, size of the set, smallest id reachable) by comparing all pairs of different sets."""
+    sets = sets_of(rows)
+    kinds = list({s for _, s in sets})
+    up = {s: s for s in kinds}
+
+    def top(s):
+        while up[s] is not s:
+            s = up[s]
+        return s
+
+    for k, s in enumerate(kinds):
+        for t in kinds[:k]:
+            if s and t and b * min(len(s), len(t)) >= a * max(len(s), len(t)) and b * len(s & t) >= a * len(s | t):
+                up[top(s)] = top(t)
+    low = {}
+    for i, s in sets:
+        if i is not None and s:
+            low[top(s)] = min(i, low.get(top(s), i))
+    return [(i, len(s), low.get(top(s)) if s else i) for i, s in sets]
+
+
+@pytest.fixture(scope="module")
+def families():
+    """Near copies in chains, a large group of them, documents that share most of their text, copies, and short texts."""
+    rng = random.Random(3)
+    word = lambda k=500: f"w{rng.randrange(k)}"
+    rows = [*ODD, (20, "one two"), (21, "ONE  two"), (22, "one two three"), (23, "One two\nthree"), (24, "one")]
+    at = 100
+
+    def put(w):
+        nonlocal at
+        rows.append((at, " ".join(w)))
+        at += 1
+
+    for n in (8, 11, 12, 13, 20, 35, 60, 110, 300, 900):
+        for _ in range(4):
+            w = [word() for _ in range(n)]
+            put(w)
+            for _ in range(5):  # a chain: each differs a little from the one before, some too much
+                w = list(w)
+                for _ in range(rng.randrange(0, max(2, n // 50))):
+                    w[rng.randrange(len(w))] = word()
+                put(w + [word()] * rng.randrange(0, 1 + n // 30))
+    base = [word() for _ in range(150)]
+    for _ in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            w[rng.randrange(150)] = word(10**6)
+        put(w)
+    shared = [word() for _ in range(160)]
+    for _ in range(60):  # four fifths in common: alike in many parts, similar in none
+        put(shared + [word(10**6) for _ in range(40)])
+    rows += [(i, rows[60][1]) for i in range(5000, 5100)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("limit", [16, 3])
+def test_ngram_join_by_all_pairs(spark, families, limit, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    docs = spark.createDataFrame(families, "doc_id bigint, text string").repartition(5)
+    got = jaccard.classes(docs, pair_limit=limit).collect()
+    assert collections.Counter(tuple(r) for r in got) == collections.Counter(components_by_pairs(families))
+
+
+def test_ngram_join_query(spark, folder):
+    at, rows = folder
+    got = queries.op11_ngram_join(spark, at)
+    assert [f.simpleString() for f in got.schema] == ["doc_id:bigint", "n_shingles:bigint", "component_id:bigint"]
+    assert collections.Counter(tuple(r) for r in got.collect()) == collections.Counter(components_by_pairs(rows))
+
+
+def test_ngram_join_of_odd_rows(odd, none):
+    assert collections.Counter(tuple(r) for r in jaccard.classes(odd).collect()) == collections.Counter(components_by_pairs(ODD))
+    assert jaccard.classes(none).count() == 0
+
+
+def test_large_parts_lose_no_pair(spark, families):
+    """What is still apart after the common partners: filed by rare n-grams and compared in blocks."""
+    rng = random.Random(8)
+    words_ = [f"x{i}" for i in range(300)]
+    rows = []
+    for i in range(90):
+        w = list(words_)
+        for _ in range(rng.randrange(1, 6)):
+            w[rng.randrange(300)] = f"y{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    table = common.materialize(jaccard.prints(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", 3, (9, 10)), "t")
+    texts = common.materialize(spark.createDataFrame([(jaccard.set_hash(jaccard.ngrams(t)), t) for _, t in rows], "node bigint, text string"), "x")
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    rare = jaccard._by_rare(texts.select("node"), texts, 3, (9, 10))
+    groups = jaccard._apart_still(rare, none, "gram", 2)
+    found = {tuple(r) for r in jaccard._pairs(groups, "gram", (9, 10), 4).collect()}
+    blocks = {tuple(r) for r in jaccard._blocks(groups.where("c > 4"), "gram", table.select("node", "sketch"), (9, 10)).collect()}
+    node = {i: jaccard.set_hash(jaccard.ngrams(t)) for i, t in rows}
+    sets = dict(sets_of(rows))
+    true = {tuple(sorted((node[i], node[j]))) for i in sets for j in range(i) if 10 * len(sets[i] & sets[j]) >= 9 * len(sets[i] | sets[j])}
+    assert len(true) > 20 and true <= found | blocks and blocks & true and len(blocks) < 90 * 89 / 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sketches_bound_the_distance_and_share_a_part(seed):
+    rng = random.Random(seed)
+    for _ in range(120):
+        n = rng.choice([9, 10, 13, 19, 40, 99, 400, 1500])
+        s = {rng.getrandbits(64) for _ in range(n)}
+        for out in range(n // 10 + 2):
+            t = set(rng.sample(sorted(s), n - out)) | {rng.getrandbits(64) for _ in range(rng.randrange(0, n // 9 + 2))}
+            u, v = (np.array(sorted(x), np.uint64) for x in (s, t))
+            assert jaccard.apart(jaccard.sketch(u), jaccard.sketch(v)) <= len(s ^ t)
+            if 10 * len(s & t) >= 9 * len(s | t):
+                assert jaccard.similar(u, v) and len(s ^ t) <= jaccard.most_apart(len(s), len(t))
+                assert s == t or set(jaccard.signatures(u).tolist()) & set(jaccard.signatures(v).tolist())
+            else:
+                assert not jaccard.similar(u, v)
