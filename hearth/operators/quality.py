@@ -33,9 +33,9 @@ def orphans(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys)).join(dim.select(*keys), list(keys), "left_anti")
 
 
-def missing_keys(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
+def missing_keys(expected: DataFrame, found: DataFrame, *keys: str) -> DataFrame:
     """Expected keys that never occur in ``found``."""
-    return expected.select(key).distinct().join(found.select(key).distinct(), [key], "left_anti")
+    return expected.select(*keys).distinct().join(found.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

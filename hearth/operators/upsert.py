@@ -1,11 +1,10 @@
-"""Writing tables: replace, upsert, split off bad rows."""
+"""Rows of tables: upsert, and splitting off bad rows; folders that Spark can reach."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,42 +14,45 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def _fs(spark: SparkSession, path: str):
+    # Spark's Python interface cannot list or delete, so its own file system is asked, for any store
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _found(spark: SparkSession, pattern: str) -> list:
+    fs, p = _fs(spark, pattern)
+    return list(fs.globStatus(p) or [])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_found(spark, path))
+
+
+def list_paths(spark: SparkSession, pattern: str, folders_only: bool = False) -> list[str]:
+    """What matches a pattern, in order of the names; nothing is read."""
+    return sorted(s.getPath().toString() for s in _found(spark, pattern) if s.isDirectory() or not folders_only)
+
+
+def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    found = fs.globStatus(p)
-    return found is not None and len(found) > 0
+    fs.delete(p, True)
+
+
+OUTCOME = "outcome"
+GOOD, BAD = "good", "quarantined"
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Overwrite ``path`` with ``df``, also when ``df`` reads from ``path``.
+def quarantine(df: DataFrame, valid: Column, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(good, quarantined, rows of each): one pass over ``df`` writes and counts both sides.
 
-    The new files are complete before the old ones are moved aside, and those go
-    only when the new ones are in their place. A run that was cut off between the
-    two moves is put right by the next one.
+    Rows that do not fulfil ``valid``, NULL outcomes included, are quarantined. ``path`` is a fresh
+    folder, partitioned by outcome, so either side is read without the other; ``df`` has no column ``outcome``.
     """
-    spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(fresh)
-    fs, new = _fs(spark, fresh)
-    _, old = _fs(spark, path)
-    _, aside = _fs(spark, f"{path.rstrip('/')}__old")
-    if fs.exists(old):
-        fs.delete(aside, True)
-        if not fs.rename(old, aside):
-            raise OSError(f"could not move {path} aside")
-    if not fs.rename(new, old):
-        fs.rename(aside, old)
-        raise OSError(f"could not move {fresh} to {path}")
-    fs.delete(aside, True)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
-
-
-def split_rows(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined): rows that fulfil ``valid``, and all others including NULL outcomes."""
     ok = F.coalesce(valid, F.lit(False))
-    return df.filter(ok), df.filter(~ok)
+    seen = Observation()
+    marked = df.withColumn(OUTCOME, F.when(ok, GOOD).otherwise(BAD))
+    marked = marked.observe(seen, *[F.count_if(F.col(OUTCOME) == o).alias(o) for o in (GOOD, BAD)])
+    marked.write.partitionBy(OUTCOME).parquet(path)
+    both = df.sparkSession.read.schema(marked.schema).parquet(path)
+    good, bad = (both.where(F.col(OUTCOME) == o).drop(OUTCOME) for o in (GOOD, BAD))
+    return good, bad, {o: seen.get[o] for o in (GOOD, BAD)}

@@ -233,8 +233,10 @@ def stress_lead_time(metrics: DataFrame, rent: DataFrame, income: DataFrame, div
         rent_income_divergence(rent, income).filter(F.col("divergence") > divergence_limit)
         .groupBy("geo_id").agg(F.make_date(F.min("year"), F.lit(1), F.lit(1)).alias("first_divergence"))
     )
+    exact = {"annual_rent", "median_household_income"} <= set(metrics.columns)  # the stored ratio is rounded
+    burdened = finance.over("annual_rent", "median_household_income", burden_limit) == 1 if exact else F.col("rent_to_income_ratio") > burden_limit
     cities = metrics.filter(F.col("bedroom_type") == ALL_HOMES).groupBy(*CITY).agg(
-        F.min(F.when(F.col("rent_to_income_ratio") > burden_limit, F.col("full_date"))).alias("first_burden")
+        F.min(F.when(burdened, F.col("full_date"))).alias("first_burden")
     )
     return cities.join(first_signal, ["geo_id"], "left").select(
         *CITY, "first_divergence", "first_burden", F.datediff("first_burden", "first_divergence").alias("lead_days")

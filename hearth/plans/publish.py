@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions import dates, finance, stats
 from hearth.functions.numeric import half_up
-from hearth.operators import quality
+from hearth.operators import quality, versions
 from hearth.operators.lookup import join_per_key, with_prior
-from hearth.operators.upsert import replace_table
 from hearth.plans import indicators
 from hearth.plans.metrics import latest_snapshot
+from hearth.plans.steps import Failed, Steps
 
 GRAINS = {
     "fact_rent": ["geo_id", "date_id", "bedroom_type"],
@@ -70,19 +70,32 @@ def standard_checks(tables: Mapping[str, DataFrame], geography: DataFrame, calen
     return checks
 
 
-def publish(df: DataFrame, path: str, checks: Mapping[str, DataFrame]) -> tuple[bool, DataFrame]:
-    """Write ``df`` to ``path`` only when every check passes.
+def run_checks(steps: Steps, checks: Mapping[str, DataFrame]) -> None:
+    """One step for each check, all counted in one job; every check is reported, and one that fails holds back what follows."""
+    counted = {r["step"]: r["failed_rows"] for r in quality.check_results(checks).collect()} if checks and steps.error is None else {}  # one row a check
 
-    Returns (published, status of each step). The status has one row per check.
-    """
-    status = quality.check_results(checks)
-    steps = status.collect()  # one row per check, however large the tables are
-    passed = all(s["status"] == "PASSED" for s in steps)
-    if passed:
-        replace_table(df, path)
-    spark = df.sparkSession
-    final = [("publish", "PASSED" if passed else "SKIPPED", 0)]
-    return passed, spark.createDataFrame([tuple(s) for s in steps] + final, status.schema)
+    def verdict(name: str):
+        if counted[name]:
+            raise Failed(f"{counted[name]} rows", counted[name])
+        return True, 0
+
+    first = None
+    for name in checks:
+        steps.run(f"check: {name}", lambda: verdict(name))
+        if counted and steps.error is not None:  # the next check is still worth its verdict
+            first, steps.error = first or steps.error, None
+    steps.error = steps.error or first
+
+
+def publish(spark: SparkSession, warehouse: str, tables: Mapping[str, DataFrame], checks: Mapping[str, DataFrame], steps: Steps | None = None) -> Steps:
+    """Write ``tables`` as the next version of the warehouse, which becomes the current one only if every check passes."""
+    steps = steps or Steps()
+    run_checks(steps, checks)
+    draft = versions.begin(spark, warehouse)
+    for name, df in tables.items():
+        steps.run(f"write {name}", lambda: (draft.write(name, df), draft.rows[name]))
+    steps.run("publish", lambda: (draft.commit(), len(tables)))
+    return steps
 
 
 def register_views(tables: Mapping[str, DataFrame], metrics: DataFrame) -> None:

@@ -48,15 +48,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/hearth/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Shuffle files go when the job that wrote them has ended; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to scratch and read it back.
 
     Cuts lineage at a table that survives the loss of executors, and keeps a
-    frame that is used several times from being computed several times.
+    frame that is used several times from being computed several times. The job's
+    shuffle files are deleted with its end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

@@ -51,6 +51,13 @@ def code_column() -> Column:
     return F.get(F.filter("header", lambda h: F.lower(h).contains(CODE_COLUMN_HINT)), F.lit(0))
 
 
+def skipped_years(responses: DataFrame) -> DataFrame:
+    """(survey_year, reason) of the responses that hold no table of a header and at least one row."""
+    table = responses.select("survey_year", F.from_json("payload", schemas.MATRIX).alias("m"))
+    reason = F.when(F.col("m").isNull(), "unreadable").when(F.size("m") < 2, "no rows")
+    return table.select("survey_year", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def staged_income(responses: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """(metro_raw, survey_year, incomes, population) of the metros in the crosswalk."""
     rows = matrix_rows(responses).select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hearth import schemas, seeds
 from hearth.functions import clean, dates, stats
 from hearth.functions.numeric import half_up
-from hearth.sources.landing import first_available
+from hearth.sources.landing import first_readable
 
 NO_VALUE = "."
 
@@ -50,16 +50,22 @@ def monthly_rates(weekly: DataFrame) -> DataFrame:
     )
 
 
-def read_rates(spark: SparkSession, json_candidates: Sequence[str], csv_candidates: Sequence[str], since: date = seeds.SINCE) -> DataFrame:
-    """Monthly rates from the JSON file, or from the CSV when that is missing or empty."""
-    try:
-        found = observed_rates(read_observations(spark, first_available(spark, json_candidates)))
-        found = found.filter(F.col("report_date") >= F.lit(since))
-        if not found.isEmpty():
-            return monthly_rates(found)
-    except FileNotFoundError:
-        pass
-    return monthly_rates(weekly_rates(read_rate_csv(spark, first_available(spark, csv_candidates)), since))
+def read_rates(spark: SparkSession, json_candidates: Sequence[str], csv_candidates: Sequence[str], since: date = seeds.SINCE, skipped: list | None = None) -> DataFrame:
+    """Monthly rates of the first file, JSON before CSV, that exists and holds a rate since ``since``.
+
+    A file that is absent, cannot be parsed or has no such rate is passed over; ``skipped`` gets (path, reason) of it.
+    """
+
+    def read(path: str) -> DataFrame:
+        if path in json_candidates:
+            found = observed_rates(read_observations(spark, path)).filter(F.col("report_date") >= F.lit(since))
+        else:
+            found = weekly_rates(read_rate_csv(spark, path), since)
+        if found.isEmpty():
+            raise ValueError("no rate")
+        return monthly_rates(found)
+
+    return first_readable(spark, [*json_candidates, *csv_candidates], read, skipped)
 
 
 def staged_rates(monthly: DataFrame) -> DataFrame:

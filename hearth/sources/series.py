@@ -16,8 +16,21 @@ from hearth.operators.reshape import pivot_measures
 SUCCEEDED = "REQUEST_SUCCEEDED"
 
 
+CORRUPT, SOURCE = "_corrupt_record", "source_file"
+
+
 def read_responses(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    return spark.read.schema(schemas.SERIES_RESPONSE).json(paths, multiLine=multi_line)
+    """Responses with their file. A document that cannot be parsed stays as a row without content, its text in ``CORRUPT``."""
+    reader = spark.read.schema(f"{schemas.SERIES_RESPONSE}, {CORRUPT} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(paths, multiLine=multi_line).withColumn(SOURCE, F.col("_metadata.file_path"))
+
+
+def skipped_responses(responses: DataFrame) -> DataFrame:
+    """(source_file, reason) of the documents that add nothing: unreadable, or not answered."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable").when(
+        ~F.col("status").eqNullSafe(SUCCEEDED), F.concat(F.lit("status: "), F.coalesce("status", F.lit("none")))
+    )
+    return responses.select(SOURCE, reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def observations(responses: DataFrame, window: int = 0) -> DataFrame:

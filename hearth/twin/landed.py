@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.session import scratch_path
+from hearth.session import materialize, scratch_path
 from hearth.twin import tables as t
 
 
@@ -31,6 +31,12 @@ def write_json(df: DataFrame, name: str) -> str:
     return path
 
 
+def cut_off(df: DataFrame) -> DataFrame:
+    """The first documents as text, each broken off in its middle."""
+    text = F.to_json(F.struct(*df.columns))
+    return df.select(text.alias("value")).orderBy("value").limit(3).select(F.expr("left(value, length(value) div 2)").alias("value"))
+
+
 def wide(spark: SparkSession, sf: str, long: DataFrame, value: str) -> DataFrame:
     """One row per metro and one text column per month, plus one row per region (unknown metros)."""
     geo = t.geography(spark, sf).select("geo_id", "city_display", "state_abbr", "region")
@@ -39,11 +45,20 @@ def wide(spark: SparkSession, sf: str, long: DataFrame, value: str) -> DataFrame
     rows = named.select(
         F.explode(names).alias("RegionName"), F.col("state_abbr").alias("State"), F.col("full_date"), text2(value).alias("v")
     )
-    months = [m.isoformat() for m in t.MONTHS]
+    rows = materialize(rows, "wide_rows")
+    months = [r[0].isoformat() for r in rows.select("full_date").distinct().orderBy("full_date").collect()]  # one a month
     by_month = rows.withColumn("month", F.col("full_date").cast("string")).groupBy("RegionName", "State")
     return by_month.pivot("month", months).agg(F.max("v"))
 
 
+def overlapping(table: DataFrame, ids: tuple[str, ...] = ("RegionName", "State")) -> tuple[DataFrame, DataFrame]:
+    """(older, newer): two wide tables with some months in both, for which the older one has outdated values."""
+    months = [c for c in table.columns if c not in ids]
+    first, last = len(months) // 3, 2 * len(months) // 3
+    outdated = [F.when(F.col(f"`{m}`").isNotNull(), "0.01").alias(m) for m in months[first:last]]
+    return table.select(*ids, *[F.col(f"`{m}`") for m in months[:first]], *outdated), table.select(*ids, *[F.col(f"`{m}`") for m in months[first:]])
+
+
 def rate_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Weekly rates as text, with one unreadable value per year."""
     weekly = t.weekly_rates(spark, sf)
@@ -111,6 +126,13 @@ def _response(docs: DataFrame, status: Column) -> DataFrame:
     )
 
 
+def windows(labor: DataFrame, count: int) -> list[tuple[int, int]]:
+    """The years of ``labor`` in ``count`` request windows (first, last), and one behind them for which there is nothing."""
+    first, last = labor.agg(F.min(F.year("full_date")), F.max(F.year("full_date"))).first()
+    cuts = [first + (last + 1 - first) * i // count for i in range(count + 1)]
+    return [(a, b - 1) for a, b in zip(cuts, cuts[1:], strict=False) if a < b] + [(last + 1, last + 3)]
+
+
 def labor_responses(spark: SparkSession, sf: str, first: int, last: int, labor: DataFrame | None = None) -> DataFrame:
     """One answered request per city for a window of years, and a refused one with the same content.
 

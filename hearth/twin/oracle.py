@@ -8,6 +8,9 @@ from hearth import seeds
 
 # Shared sub-queries. Each statement takes in those it names.
 CTES = {
+    "span": """
+        SELECT make_date(CAST(MIN(YEAR(d)) AS BIGINT), 1, 1) AS first_day, make_date(CAST(MAX(YEAR(d)) AS BIGINT), 12, 31) AS last_day
+        FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)""",
     "geo": """
         SELECT n_nationkey AS geo_id, n_name AS city_display, n_name || ' Metro, ' || r_name AS metro_name,
                UPPER(SUBSTR(r_name, 1, 2)) AS state_abbr, r_name AS region,
@@ -28,21 +31,21 @@ CTES = {
                ROUND(CAST(SUM(v) AS DOUBLE) / COUNT(*) * 0.3, 2) AS median_household_income,
                ROUND(CAST(SUM(v) AS DOUBLE) / COUNT(*) * 0.12, 2) AS per_capita_income,
                COUNT(*) * 1000 AS population
-        FROM ob WHERE full_date < DATE '2001-01-01' GROUP BY 1, 2""",
+        FROM ob GROUP BY 1, 2""",
     "home": """
         SELECT s_nationkey AS geo_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS full_date,
                ROUND(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) * 8, 2) AS median_home_price
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_shipdate < TIMESTAMP '2001-05-01' GROUP BY 1, 2""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""",
     "labor": """
         SELECT c_nationkey AS geo_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS full_date,
                ROUND(CAST(100 * SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) / 6, 2) AS unemployment_rate,
                COUNT(*) * 1000 AS employment_level, COUNT(*) * 1060 AS labor_force
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-        WHERE l_shipdate < TIMESTAMP '2001-06-01' GROUP BY 1, 2""",
+        GROUP BY 1, 2""",
     "rates": """
         SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS full_date,
                ROUND(CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) * 130, 4) AS rate_30yr_fixed
-        FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-07-01' GROUP BY 1""",
+        FROM lineitem GROUP BY 1""",
     "weekly": """
         SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS report_date,
                ROUND(CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) * 130, 2) AS rate_30yr_fixed
@@ -103,22 +106,27 @@ CTES = {
         LEFT JOIN rates q ON q.full_date = s.full_date""",
 }
 
-PAY = (
-    "({price} * (1 - {down})) * (({rate} / 100.0 / 12) * POWER(1 + {rate} / 100.0 / 12, {n}))"
-    " / (POWER(1 + {rate} / 100.0 / 12, {n}) - 1)"
-)
+# A loan is the present value of its payments: principal = payment * (1 - v^n) / i, with i the rate a month and v = 1 / (1 + i).
+PAY = "({price} * (1 - {down})) * ({rate} / 1200.0) / (1 - POWER(1 + {rate} / 1200.0, -{n}))"
 VIEW_PAY = PAY.format(price="median_home_price", down="0.2", rate="rate_30yr_fixed", n="360")
-FORMULAS = f"""
-    CASE WHEN median_household_income > 0 THEN ROUND(annual_rent / median_household_income, 4) END AS rent_to_income_ratio,
-    ROUND(median_household_income * 0.30 / 12, 2) AS affordable_monthly_rent,
-    ROUND(monthly_rent - median_household_income * 0.30 / 12, 2) AS monthly_rent_gap,
-    CAST(COALESCE(median_household_income > 0 AND CAST(annual_rent AS DECIMAL(28,6)) > CAST(median_household_income AS DECIMAL(28,6)) * 0.30, FALSE) AS INT) AS is_cost_burdened,
-    CAST(COALESCE(median_household_income > 0 AND CAST(annual_rent AS DECIMAL(28,6)) > CAST(median_household_income AS DECIMAL(28,6)) * 0.50, FALSE) AS INT) AS is_severely_burdened,
-    CASE WHEN median_household_income > 0 THEN ROUND(median_home_price / median_household_income, 2) END AS home_price_to_income_ratio,
-    CASE WHEN rate_30yr_fixed > 0 AND median_home_price > 0 THEN ROUND({VIEW_PAY}, 2) END AS est_monthly_mortgage,
-    CASE WHEN median_household_income > 0 AND rate_30yr_fixed > 0 AND median_home_price > 0
-         THEN ROUND({VIEW_PAY} * 12 / median_household_income, 4) END AS mortgage_to_income_ratio,
-    ROUND(median_home_price * 0.20, 2) AS down_payment_required"""
+# The measures share three terms: a positive income (pos), the payment (pay), and an income's affordable rent a month (can).
+_POS = "NULLIF(GREATEST(median_household_income, 0), 0)"
+_PAY = f"CASE WHEN LEAST(rate_30yr_fixed, median_home_price) > 0 THEN {VIEW_PAY} END"
+_CAN = "(median_household_income * 0.30 / 12)"
+
+
+def _over(share: str) -> str:
+    """1 if the year's rent is more than this share of the income, compared as decimals; 0 also without an income."""
+    return f"CAST(COALESCE(CAST(annual_rent AS DECIMAL(28,6)) > CAST({_POS} AS DECIMAL(28,6)) * {share}, FALSE) AS INT)"
+
+
+MEASURES = {
+    "down_payment_required": "ROUND(median_home_price * 0.20, 2)", "est_monthly_mortgage": f"ROUND({_PAY}, 2)",
+    "mortgage_to_income_ratio": f"ROUND({_PAY} * 12 / {_POS}, 4)", "home_price_to_income_ratio": f"ROUND(median_home_price / {_POS}, 2)",
+    "rent_to_income_ratio": f"ROUND(annual_rent / {_POS}, 4)", "affordable_monthly_rent": f"ROUND({_CAN}, 2)",
+    "monthly_rent_gap": f"ROUND(monthly_rent - {_CAN}, 2)", "is_cost_burdened": _over("0.30"), "is_severely_burdened": _over("0.50"),
+}
+FORMULAS = ", ".join(f"{v} AS {k}" for k, v in MEASURES.items())
 CTES["m"] = f"SELECT *, {FORMULAS} FROM joined"
 CTES["mx"] = f"SELECT *, {FORMULAS} FROM exact"
 CTES["mp"] = """
@@ -134,12 +142,10 @@ CTES["middle"] = """
            CAST(SUM(CAST(median_household_income AS DECIMAL(18,2))) AS DOUBLE) / COUNT(median_household_income) AS income,
            CAST(SUM(CAST(monthly_rent AS DECIMAL(18,2))) AS DOUBLE) / COUNT(monthly_rent) AS rent
     FROM newest"""
+# Two yes-or-no answers number the four classes; without one of them there is none.
 CLASS = """
-    CASE WHEN rent_to_income_ratio <= {r} AND unemployment_rate <= {u} THEN 'Opportunity City'
-         WHEN rent_to_income_ratio > {r} AND unemployment_rate <= {u} THEN 'Lifestyle Premium City'
-         WHEN rent_to_income_ratio <= {r} AND unemployment_rate > {u} THEN 'Budget Risk City'
-         WHEN rent_to_income_ratio > {r} AND unemployment_rate > {u} THEN 'Pressure City'
-         ELSE 'Unclassified' END AS city_classification"""
+    COALESCE((['Opportunity City', 'Lifestyle Premium City', 'Budget Risk City', 'Pressure City'])
+             [1 + CAST(rent_to_income_ratio > {r} AS INT) + 2 * CAST(unemployment_rate > {u} AS INT)], 'Unclassified') AS city_classification"""
 CTES["classes"] = f"SELECT newest.*, {CLASS.format(r='c.rti', u='c.unemp')} FROM newest CROSS JOIN middle c"
 CTES["rent_y"] = """
     SELECT geo_id, CAST(YEAR(full_date) AS INT) AS year, CAST(SUM(CAST(monthly_rent AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS rent
@@ -154,7 +160,7 @@ CTES["growth_y"] = """
     FROM both_y b JOIN base_y y ON y.geo_id = b.geo_id JOIN both_y z ON z.geo_id = b.geo_id AND z.year = y.base_year"""
 CTES["divergence"] = "SELECT *, ROUND(rent_growth - income_growth, 4) AS divergence FROM growth_y"
 CTES["dirty"] = """
-    SELECT o_orderpriority, o_orderstatus, CASE
+    SELECT o_orderkey, o_orderpriority, o_orderstatus, CASE
         WHEN o_orderpriority = '1-URGENT' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '371'
         WHEN o_orderpriority = '2-HIGH' THEN '-' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
         WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN 'NaN'
@@ -173,6 +179,25 @@ VIEW_COLS = (
     " median_home_price, rate_30yr_fixed, rent_to_income_ratio, affordable_monthly_rent, monthly_rent_gap, is_cost_burdened,"
     " is_severely_burdened, home_price_to_income_ratio, est_monthly_mortgage, mortgage_to_income_ratio, down_payment_required"
 )
+TABLES = [("fact_rent", "rent"), ("fact_home_prices", "home"), ("fact_income", "income"), ("fact_labor", "labor"), ("fact_mortgage_rates", "rates")]
+
+
+def _gate(passed: bool) -> str:
+    """The steps of a publication whose tables are in order; without ``passed`` one more check fails."""
+    checks = []
+    for name, _ in TABLES:
+        checks.append(f"unique {name}")
+        checks += [f"geography of {name}"] * (name != "fact_mortgage_rates") + [f"calendar of {name}"] * (name != "fact_income")
+    checks += [f"one row a month in {n}" for n in ("fact_home_prices", "fact_labor", "fact_mortgage_rates")]
+    steps = [(f"'check: {c}'", "'PASSED'", "0") for c in checks]
+    if not passed:
+        steps.append(("'check: no labor months'", "'FAILED'", "(SELECT COUNT(*) FROM labor)"))
+    outcome = "'PASSED'" if passed else "'SKIPPED'"
+    steps += [(f"'write {n}'", outcome, f"(SELECT COUNT(*) FROM {t})" if passed else "0") for n, t in [*TABLES, ("affordability_final", "spine")]]
+    steps.append(("'publish'", outcome, "6" if passed else "0"))
+    return " UNION ALL ".join(f"SELECT {i} AS step_no, {a} AS step, {b} AS status, CAST({c} AS BIGINT) AS row_count" for i, (a, b, c) in enumerate(steps, 1))
+
+
 DATE_ID = "CAST(strftime({d}, '%Y%m%d') AS INT)"
 MEAN4 = "ROUND(CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c}), 4)"
 MEAN2 = "ROUND(CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({c}), 2)"
@@ -182,11 +207,8 @@ def _date_id(d: str) -> str:
     return DATE_ID.format(d=d)
 
 
-def _cleaned(value: str, digits: int) -> str:
-    return f"""
-        SELECT o_orderpriority, o_orderstatus, COUNT(*) AS row_count, COUNT(v) AS valid_count,
-               CAST(SUM(CAST(v AS DECIMAL(18,{digits}))) AS DOUBLE) AS value_sum, MIN(v) AS min_value, MAX(v) AS max_value
-        FROM (SELECT *, {value} AS v FROM num) GROUP BY 1, 2"""
+def _cleaned(value: str) -> str:
+    return f"SELECT o_orderkey, raw, {value} AS cleaned FROM num"
 
 
 def _values(rows) -> str:
@@ -230,6 +252,10 @@ COMPARED = [
     "median_household_income",
 ]
 
+CTES["thirds"] = """
+    SELECT i, a + (b - a) * i // 3 AS lo, a + (b - a) * (i + 1) // 3 AS hi
+    FROM (SELECT MIN(YEAR(full_date)) AS a, MAX(YEAR(full_date)) + 1 AS b FROM labor) CROSS JOIN (VALUES (0), (1), (2)) AS v(i)"""
+
 BODIES = {
     "src_wide_rent": """
         SELECT g.listing AS metro_raw, full_date AS report_date, monthly_rent, bedroom_type, 'Zillow ZORI' AS data_source
@@ -239,14 +265,18 @@ BODIES = {
         FROM home h JOIN geo g ON g.geo_id = h.geo_id WHERE full_date >= DATE '1996-01-01'""",
     "src_rate_csv": "SELECT report_date, rate_30yr_fixed FROM weekly WHERE report_date >= DATE '1996-01-01'",
     "src_rate_json": "SELECT full_date AS report_date, rate_30yr_fixed FROM rates",
+    "src_rate_fallback": """
+        SELECT CAST(date_trunc('month', report_date) AS DATE) AS report_date,
+               NULLIF(ROUND(CAST(SUM(CAST(rate_30yr_fixed AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 4), 0) AS rate_30yr_fixed
+        FROM weekly WHERE report_date >= DATE '1996-01-01' GROUP BY 1""",
     "src_income_matrix": """
         SELECT LPAD(CAST(i.geo_id AS VARCHAR), 5, '0') AS source_key, survey_year, metro_name AS metro_raw, median_household_income,
                CASE WHEN region <> 'AFRICA' THEN per_capita_income END AS per_capita_income, population, 'Census ACS 5-Year' AS data_source
         FROM income i JOIN geo g ON g.geo_id = i.geo_id""",
     "src_multi_year_union": """
-        SELECT survey_year, COUNT(*) AS metros, CAST(SUM(CAST(median_household_income AS DECIMAL(18,2))) AS DOUBLE) AS income_sum,
-               SUM(CASE WHEN region = 'AFRICA' THEN 1 ELSE 0 END)::BIGINT AS missing_per_capita
-        FROM income i JOIN geo g ON g.geo_id = i.geo_id GROUP BY 1""",
+        SELECT LPAD(CAST(i.geo_id AS VARCHAR), 5, '0') AS source_key, survey_year, metro_name AS metro_raw, median_household_income,
+               CASE WHEN region <> 'AFRICA' THEN per_capita_income END AS per_capita_income, population, 'Census ACS 5-Year' AS data_source
+        FROM income i JOIN geo g ON g.geo_id = i.geo_id""",
     "src_labor_json": """
         SELECT city_display AS metro_raw, full_date AS report_date, unemployment_rate, employment_level, labor_force, 'BLS LAUS' AS data_source
         FROM labor l JOIN geo g ON g.geo_id = l.geo_id WHERE full_date >= DATE '1996-01-01'""",
@@ -265,12 +295,15 @@ BODIES = {
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY fmr_year DESC) AS rn FROM fmr_read) WHERE rn = 1""",
     "union_windows": """
         SELECT 'LAUMT' || LPAD(CAST(geo_id AS VARCHAR), 2, '0') || LPAD(CAST(geo_id AS VARCHAR), 5, '0') || '000000' || code AS series_id,
-               CAST(YEAR(full_date) AS INT) AS year, COUNT(*) AS months, CAST(SUM(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
-        FROM (SELECT geo_id, full_date, '03' AS code, unemployment_rate AS v FROM labor
-              UNION ALL SELECT geo_id, full_date, '05', employment_level FROM labor
-              UNION ALL SELECT geo_id, full_date, '06', labor_force FROM labor
-              UNION ALL SELECT geo_id, full_date, '99', labor_force FROM labor)
-        GROUP BY 1, 2""",
+               full_date AS report_date, v AS value
+        FROM (SELECT geo_id, full_date, '03' AS code, CAST(unemployment_rate AS DOUBLE) AS v FROM labor
+              UNION ALL SELECT geo_id, full_date, '05', CAST(employment_level AS DOUBLE) FROM labor
+              UNION ALL SELECT geo_id, full_date, '06', CAST(labor_force AS DOUBLE) FROM labor
+              UNION ALL SELECT geo_id, full_date, '99', CAST(labor_force AS DOUBLE) FROM labor)""",
+    "skipped_windows": """
+        SELECT 'window_' || CAST(i AS VARCHAR) AS request_window, 'status: REQUEST_NOT_PROCESSED' AS reason, COUNT(DISTINCT geo_id) AS documents
+        FROM thirds JOIN labor ON YEAR(full_date) >= lo AND YEAR(full_date) < hi GROUP BY i
+        UNION ALL SELECT 'window_cut', 'unreadable', LEAST(3, 2 * COUNT(DISTINCT geo_id)) FROM labor""",
     "series_id_build": """
         SELECT 'LAUMT' || LPAD(CAST(geo_id AS VARCHAR), 2, '0') || LPAD(CAST(geo_id AS VARCHAR), 5, '0') || '000000' || code AS series_id,
                city_display, measure, n AS customers
@@ -285,7 +318,7 @@ BODIES = {
         SELECT {_date_id('d')} AS date_id, d AS full_date, CAST(YEAR(d) AS INT) AS year, CAST(QUARTER(d) AS INT) AS quarter,
                CAST(MONTH(d) AS INT) AS month, monthname(d) AS month_name, CAST(DAY(d) AS INT) AS day_of_month,
                MONTH(d) = 12 AND DAY(d) = 31 AS is_year_end, COALESCE(n, 0) AS orders
-        FROM (SELECT CAST(x AS DATE) AS d FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) AS s(x))
+        FROM (SELECT CAST(UNNEST(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM span)
         LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS k, COUNT(*) AS n FROM orders GROUP BY 1) ON k = d""",
     "dim_scenario": f"""
         SELECT CAST(s.scenario_id AS INT) AS scenario_id, s.scenario_name, CAST(mortgage_rate AS DOUBLE) AS mortgage_rate,
@@ -307,7 +340,7 @@ BODIES = {
     "fact_rate": f"SELECT {_date_id('full_date')} AS date_id, rate_30yr_fixed, 'FRED MORTGAGE30US' AS data_source FROM rates",
     "fact_cpi": f"""
         SELECT g.geo_id, c.series_id, c.city_display,
-               CASE WHEN report_date <= DATE '2000-12-31' THEN {_date_id('report_date')} END AS date_id, report_date,
+               {_date_id('report_date')} AS date_id, report_date,
                CAST(YEAR(report_date) AS INT) AS year, CAST(MONTH(report_date) AS INT) AS month, cpi_index, 'All Items' AS cpi_category,
                CAST(CASE WHEN c.city_display = 'United States' THEN 1 ELSE 0 END AS INT) AS is_national, 'BLS CPI' AS data_source,
                DATE '2001-12-31' AS load_date
@@ -325,10 +358,10 @@ BODIES = {
         FROM spine""",
     "like_join": """
         SELECT s.metro_name AS metro_raw, i.survey_year, i.median_household_income, g.geo_id
-        FROM income i JOIN geo s ON s.geo_id = i.geo_id
-        JOIN geo g ON g.metro_name LIKE '%' || CASE
-            WHEN s.metro_name LIKE '%NATION_1%' THEN 'NATION_1' WHEN s.metro_name LIKE '%NATION_2%' THEN 'NATION_2'
-            WHEN s.metro_name LIKE '%NATION_3%' THEN 'NATION_3' END || '%'""",
+        FROM income i
+        JOIN (SELECT s.geo_id, s.metro_name, ARG_MIN(n_name, n_nationkey) AS k FROM geo s JOIN nation ON contains(s.metro_name, n_name) GROUP BY 1, 2) s
+             ON s.geo_id = i.geo_id
+        JOIN geo g ON contains(g.metro_name, s.k)""",
     "staging_overwrite": """
         SELECT unemployment_rate, full_date AS report_date, employment_level, labor_force, city_display AS metro_raw, 'BLS LAUS' AS data_source
         FROM labor l JOIN geo g ON g.geo_id = l.geo_id WHERE full_date >= DATE '1996-01-01'""",
@@ -337,8 +370,7 @@ BODIES = {
                CASE WHEN fmr_year >= 2000 THEN ROUND(fmr_2br + 1, 2) ELSE fmr_2br END AS fmr_2br, fmr_3br, fmr_4br,
                CAST(40 AS INT) AS fmr_percentile, CAST(1 AS INT) AS smallarea_flag, DATE '2001-12-31' AS load_date FROM fmr""",
     "quarantine_rows": """
-        SELECT o_orderpriority, o_orderstatus, COUNT(*) AS row_count, CASE WHEN x >= 0 THEN 'good' ELSE 'quarantined' END AS outcome
-        FROM num GROUP BY 1, 2, 4""",
+        SELECT o_orderkey, o_orderpriority, raw, CASE WHEN x >= 0 THEN 'good' ELSE 'quarantined' END AS outcome FROM num""",
     "affordability_final": """
         SELECT a.geo_id, a.full_date, a.bedroom_type, a.monthly_rent, a.rent_to_income_ratio, a.mortgage_to_income_ratio,
                a.unemployment_rate, a.pressure_score, ROUND(a.down_payment_required / (a.median_household_income * 0.10), 2) AS years_to_save,
@@ -354,39 +386,20 @@ BODIES = {
                           STDDEV_SAMP(rent_to_income_ratio) AS sd FROM m GROUP BY 1, 2) h ON h.geo_id = a.geo_id AND h.bedroom_type = a.bedroom_type
         LEFT JOIN divergence d ON d.geo_id = a.geo_id AND d.year = a.year
         LEFT JOIN classes c ON c.geo_id = a.geo_id""",
-    "publish_gate": """
-        SELECT step, CASE WHEN failed_rows = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, failed_rows FROM (
-            SELECT 'unique fact_rent' AS step, COUNT(*) AS failed_rows FROM (SELECT 1 FROM rent GROUP BY geo_id, full_date, bedroom_type HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'unique fact_home_prices', COUNT(*) FROM (SELECT 1 FROM home GROUP BY geo_id, full_date HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'unique fact_income', COUNT(*) FROM (SELECT 1 FROM income GROUP BY geo_id, survey_year HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'unique fact_labor', COUNT(*) FROM (SELECT 1 FROM labor GROUP BY geo_id, full_date HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'unique fact_mortgage_rates', COUNT(*) FROM (SELECT 1 FROM rates GROUP BY full_date HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'geography of fact_rent', COUNT(*) FROM rent WHERE geo_id NOT IN (SELECT geo_id FROM geo)
-            UNION ALL SELECT 'geography of fact_home_prices', COUNT(*) FROM home WHERE geo_id NOT IN (SELECT geo_id FROM geo)
-            UNION ALL SELECT 'geography of fact_income', COUNT(*) FROM income WHERE geo_id NOT IN (SELECT geo_id FROM geo)
-            UNION ALL SELECT 'geography of fact_labor', COUNT(*) FROM labor WHERE geo_id NOT IN (SELECT geo_id FROM geo)
-            UNION ALL SELECT 'calendar of fact_rent', COUNT(*) FROM rent WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-            UNION ALL SELECT 'calendar of fact_home_prices', COUNT(*) FROM home WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-            UNION ALL SELECT 'calendar of fact_labor', COUNT(*) FROM labor WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-            UNION ALL SELECT 'calendar of fact_mortgage_rates', COUNT(*) FROM rates WHERE full_date NOT BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-            UNION ALL SELECT 'one row a month in fact_home_prices', COUNT(*) FROM (SELECT 1 FROM home GROUP BY geo_id, date_trunc('month', full_date) HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'one row a month in fact_labor', COUNT(*) FROM (SELECT 1 FROM labor GROUP BY geo_id, date_trunc('month', full_date) HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'one row a month in fact_mortgage_rates', COUNT(*) FROM (SELECT 1 FROM rates GROUP BY date_trunc('month', full_date) HAVING COUNT(*) > 1)
-            UNION ALL SELECT 'price of every labor month', COUNT(*) FROM labor l
-                      WHERE NOT EXISTS (SELECT 1 FROM home h WHERE h.geo_id = l.geo_id AND h.full_date = l.full_date))
-        UNION ALL SELECT 'publish', 'SKIPPED', 0""",
-    "clean_money": _cleaned("ROUND(x, 2)", 2),
-    "clean_rate": _cleaned("ROUND(x, 4)", 4),
-    "clean_income": _cleaned("CASE WHEN x >= 0 THEN ROUND(x, 2) END", 2),
-    "clean_int": _cleaned("CAST(TRUNC(x) AS BIGINT)", 0),
-    "clean_population": _cleaned("CASE WHEN x > 0 THEN CAST(TRUNC(x) AS BIGINT) END", 0),
+    "publish_gate": _gate(False),
+    "publish_gate_passed": _gate(True),
+    "clean_money": _cleaned("ROUND(x, 2)"),
+    "clean_rate": _cleaned("ROUND(x, 4)"),
+    "clean_income": _cleaned("CASE WHEN x >= 0 THEN ROUND(x, 2) END"),
+    "clean_int": _cleaned("CAST(TRUNC(x) AS BIGINT)"),
+    "clean_population": _cleaned("CASE WHEN x > 0 THEN CAST(TRUNC(x) AS BIGINT) END"),
     "rate_weekly_to_monthly": """
         SELECT CAST(date_trunc('month', report_date) AS DATE) AS report_date,
                NULLIF(ROUND(CAST(SUM(CAST(rate_30yr_fixed AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 4), 0) AS rate_30yr_fixed
-        FROM weekly WHERE report_date >= DATE '1995-01-01' GROUP BY 1""",
+        FROM weekly GROUP BY 1""",
     "filter_metro_semi": """
-        SELECT n_name AS city_display, c_mktsegment, COUNT(*) AS customers, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING' GROUP BY 1, 2""",
+        SELECT c_custkey, n_name AS city_display, c_mktsegment, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey
+        WHERE c_mktsegment <> 'BUILDING'""",
     "filter_since": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
     "filter_monthly_period": """
         SELECT CAST(YEAR(l_shipdate) AS INT) AS year, 'M' || LPAD(CAST(MONTH(l_shipdate) AS VARCHAR), 2, '0') AS period, COUNT(*) AS n,
@@ -445,9 +458,10 @@ BODIES = {
         SELECT geo_id, city_display, bedroom_type, full_date, monthly_rent, rent_to_income_ratio, est_monthly_mortgage FROM m a
         WHERE full_date = (SELECT MAX(full_date) FROM m b WHERE b.geo_id = a.geo_id AND b.bedroom_type = a.bedroom_type)""",
     "coverage_anti": """
-        SELECT g.geo_id, CAST(x AS DATE) AS full_date
-        FROM geo g CROSS JOIN generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH) AS s(x)
-        WHERE NOT EXISTS (SELECT 1 FROM rent r WHERE r.geo_id = g.geo_id AND r.full_date = CAST(x AS DATE) AND r.bedroom_type = '1br')""",
+        SELECT g.geo_id, d.full_date, k.bedroom_type
+        FROM geo g CROSS JOIN (SELECT CAST(UNNEST(generate_series(CAST(MIN(full_date) AS TIMESTAMP), CAST(MAX(full_date) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS full_date FROM rent) d
+        CROSS JOIN (VALUES ('All Homes'), ('1br')) AS k(bedroom_type)
+        WHERE NOT EXISTS (SELECT 1 FROM rent r WHERE r.geo_id = g.geo_id AND r.full_date = d.full_date AND r.bedroom_type = k.bedroom_type)""",
     "city_compare": f"""
         SELECT a.geo_id, a.city_display, a.full_date, a.bedroom_type, 'NATION_0' AS base_city, {', '.join(f'a.{c}' for c in COMPARED)},
                {', '.join(f'b.{c} AS base_{c}' for c in COMPARED)}, {', '.join(f'ROUND(a.{c} - b.{c}, 4) AS diff_{c}' for c in COMPARED)}
@@ -554,7 +568,7 @@ BODIES = {
                     ELSE 'neither' END AS driver FROM newest CROSS JOIN middle c""",
     "stress_lead_time": """
         SELECT a.geo_id, city_display, first_divergence, first_burden, CAST(date_diff('day', first_divergence, first_burden) AS INT) AS lead_days
-        FROM (SELECT geo_id, city_display, MIN(CASE WHEN rent_to_income_ratio > 0.30 THEN full_date END) AS first_burden
+        FROM (SELECT geo_id, city_display, MIN(CASE WHEN is_cost_burdened = 1 THEN full_date END) AS first_burden
               FROM m WHERE bedroom_type = 'All Homes' GROUP BY 1, 2) a
         LEFT JOIN (SELECT geo_id, make_date(CAST(MIN(year) AS BIGINT), 1, 1) AS first_divergence FROM divergence WHERE divergence > 0 GROUP BY 1) d
              ON d.geo_id = a.geo_id""",

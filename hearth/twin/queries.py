@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,14 @@ from pyspark.sql import types as T
 from hearth import seeds
 from hearth.functions import clean, dates, stats
 from hearth.functions.numeric import half_up
-from hearth.operators import lookup, quality, reshape
-from hearth.operators.upsert import replace_table, split_rows, upsert
+from hearth.operators import lookup, quality, reshape, versions
+from hearth.operators.upsert import quarantine
 from hearth.plans import conform, dims, indicators, publish, whatif
 from hearth.plans import metrics as view
 from hearth.seeds import ALL_HOMES
 from hearth.session import materialize, scratch_path
 from hearth.sources import fmr, income, rates, series, wide
+from hearth.sources.landing import files
 from hearth.twin import landed
 from hearth.twin import tables as t
 
@@ -70,9 +72,13 @@ VIEW_COLS = [
 
 @query
 def src_wide_rent(spark, sf):
+    """Two files that share some months, the older one outdated there, behind a candidate that is absent and one that cannot be read."""
     rents = t.rent(spark, sf).filter(F.col("bedroom_type") == ALL_HOMES)
-    path = landed.write_csv(landed.wide(spark, sf, rents, "monthly_rent"), "rent_csv")
-    raw = wide.read_wide(spark, [path + "__absent", path])
+    folder = scratch_path(spark, "rent_files")
+    for name, part in zip(("rent_1", "rent_2"), landed.overlapping(landed.wide(spark, sf, rents, "monthly_rent")), strict=True):
+        part.write.option("header", True).csv(f"{folder}/{name}")
+    t.read(spark, sf, "region").select("r_name").write.option("header", True).csv(f"{folder}/other")
+    raw = wide.read_wide(spark, [f"{folder}/absent*", f"{folder}/other*", f"{folder}/rent_*"])
     return wide.staged_rent(raw, t.listing(places(spark, sf)), SINCE)
 
 
@@ -94,6 +100,14 @@ def src_rate_json(spark, sf):
     return rates.observed_rates(rates.read_observations(spark, path, multi_line=False))
 
 
+@query
+def src_rate_fallback(spark, sf):
+    """Monthly rates from the CSV, as the JSON is broken off."""
+    broken = scratch_path(spark, "rate_broken")
+    landed.cut_off(landed.rate_json(spark, sf)).coalesce(1).write.text(broken)
+    return rates.read_rates(spark, [broken + "__absent", broken], [landed.write_csv(landed.rate_csv(spark, sf), "rate_csv")], SINCE)
+
+
 @query
 def src_income_matrix(spark, sf):
     return income.staged_income(landed.income_matrix(spark, sf), landed.code_crosswalk(places(spark, sf)))
@@ -101,14 +115,11 @@ def src_income_matrix(spark, sf):
 
 @query
 def src_multi_year_union(spark, sf):
+    """All survey years that have landed, one folder each."""
     path = scratch_path(spark, "income_years")
     landed.income_matrix(spark, sf).repartition("survey_year").write.partitionBy("survey_year").text(path)
-    responses = income.read_years(spark, {y: f"{path}/survey_year={y}/*.txt" for y in range(1993, 2003)})
-    staged = income.staged_income(responses, landed.code_crosswalk(places(spark, sf)))
-    return staged.groupBy("survey_year").agg(
-        F.count("*").alias("metros"), stats.exact_sum("median_household_income").cast("double").alias("income_sum"),
-        F.count_if(F.col("per_capita_income").isNull()).alias("missing_per_capita"),
-    )
+    years = {int(f.rsplit("=", 1)[1]): f for f in files(spark, f"{path}/survey_year=*")}
+    return income.staged_income(income.read_years(spark, years), landed.code_crosswalk(places(spark, sf)))
 
 
 def _labor_ids(spark, sf):
@@ -117,7 +128,9 @@ def _labor_ids(spark, sf):
 
 @query
 def src_labor_json(spark, sf):
-    path = landed.write_json(landed.labor_responses(spark, sf, 1995, 2001), "labor_json")
+    labor = materialize(t.labor(spark, sf), "labor")
+    (first, last), _ = landed.windows(labor, 1)
+    path = landed.write_json(landed.labor_responses(spark, sf, first, last, labor), "labor_json")
     obs = series.observations(series.read_responses(spark, path, multi_line=False))
     return series.staged_labor(obs, _labor_ids(spark, sf), SINCE)
 
@@ -145,14 +158,29 @@ def fmr_newest_year(spark, sf):
     return fmr.staged_fmr(landed_fmr(spark, sf), landed.fmr_crosswalk(places(spark, sf)), LOAD_DATE).drop("load_date")
 
 
+def _landed_windows(spark, sf):
+    """Three request windows, one without a month, and one whose documents are cut off."""
+    labor = materialize(t.labor(spark, sf), "labor")
+    folder = scratch_path(spark, "labor_windows")
+    for i, (a, b) in enumerate(landed.windows(labor, 3)):
+        landed.labor_responses(spark, sf, a, b, labor).write.json(f"{folder}/window_{i}")
+    landed.cut_off(landed.labor_responses(spark, sf, *landed.windows(labor, 1)[0], labor)).write.text(f"{folder}/window_cut")
+    return [series.read_responses(spark, f, multi_line=False) for f in files(spark, f"{folder}/window_*")]
+
+
 @query
 def union_windows(spark, sf):
-    labor = materialize(t.labor(spark, sf), "labor")
-    windows = [landed.labor_responses(spark, sf, a, b, labor) for a, b in ((1995, 1997), (1998, 2001), (2002, 2004))]
-    obs = series.union_windows(windows)
-    return obs.groupBy("series_id", F.year("report_date").alias("year")).agg(
-        F.count("*").alias("months"), stats.exact_sum(clean.rate("value_text")).cast("double").alias("value_sum")
-    )
+    """What the readable documents of all landed windows say."""
+    obs = series.union_windows(_landed_windows(spark, sf))
+    return obs.select("series_id", "report_date", clean.rate("value_text").alias("value"))
+
+
+@query
+def skipped_windows(spark, sf):
+    """The documents that were passed over, by window and reason."""
+    parts = [series.skipped_responses(w) for w in _landed_windows(spark, sf)]
+    window = F.regexp_extract(series.SOURCE, "(window_[0-9a-z]+)/[^/]*$", 1)
+    return reduce(DataFrame.unionByName, parts).groupBy(window.alias("request_window"), "reason").agg(F.count("*").alias("documents"))
 
 
 @query
@@ -178,7 +206,7 @@ def dim_geography(spark, sf):
 @query
 def dim_date(spark, sf):
     per_day = t.read(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("full_date")).agg(F.count("*").alias("orders"))
-    spine = dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY)
+    spine = dims.date_spine(spark, *t.span(spark, sf))
     return plain(spine.join(per_day, ["full_date"], "left").fillna({"orders": 0}))
 
 
@@ -274,14 +302,14 @@ def _cpi_cities(spark, sf):
 
 @query
 def fact_cpi(spark, sf):
-    calendar = dims.date_spine(spark, t.FIRST_DAY, date(2000, 12, 31))
+    calendar = dims.date_spine(spark, *t.span(spark, sf))
     facts = conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), calendar)
     return plain(facts.withColumn("is_national", F.col("is_national").cast("int")))
 
 
 @query
 def cpi_fanout(spark, sf):
-    facts = materialize(conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY)), "fact_cpi")
+    facts = materialize(conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, *t.span(spark, sf))), "fact_cpi")
     spine = t.rent(spark, sf).select("geo_id", F.col("full_date").alias("report_date")).distinct()
     return plain(conform.cpi_or_national(spine, facts))
 
@@ -295,14 +323,14 @@ def fact_fmr(spark, sf):
 def star_join(spark, sf):
     geo = places(spark, sf)
     facts = conform.fact_rent(staged_rent(spark, sf), t.listing(geo), geo)
-    joined = conform.star_join(facts, geo, dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY))
+    joined = conform.star_join(facts, geo, dims.date_spine(spark, *t.span(spark, sf)))
     return plain(joined.select("geo_id", "date_id", "city_display", "region", "full_date", "year", "quarter", "month_name", "bedroom_type", "monthly_rent"))
 
 
 @query
 def like_join(spark, sf):
     staged = staged_income(spark, sf).select("metro_raw", "survey_year", "median_household_income")
-    keys = ["NATION_1", "NATION_2", "NATION_3"]
+    keys = [r.n_name for r in t.read(spark, sf, "nation").orderBy("n_nationkey").select("n_name").collect()]  # the metros
     return plain(conform.geo_by_pattern(staged, places(spark, sf), keys))
 
 
@@ -311,30 +339,33 @@ def like_join(spark, sf):
 
 @query
 def staging_overwrite(spark, sf):
-    path = scratch_path(spark, "staging_labor")
-    staged = staged_labor(spark, sf)
-    replace_table(staged, path)
-    again = spark.read.schema(staged.schema).parquet(path).filter(F.col("report_date") >= F.lit(SINCE))
-    return plain(replace_table(again, path))
+    """A staging table replaced by a part of itself."""
+    warehouse = scratch_path(spark, "warehouse")
+    versions.replace(spark, warehouse, {"staging_labor": staged_labor(spark, sf)})
+    again = versions.read(spark, warehouse, "staging_labor").filter(F.col("report_date") >= F.lit(SINCE))
+    versions.replace(spark, warehouse, {"staging_labor": again})
+    return plain(versions.read(spark, warehouse, "staging_labor"))
 
 
 @query
 def upsert_fmr(spark, sf):
-    all_years = materialize(staged_fmr(spark, sf), "fmr")
-    old = all_years.filter("fmr_year <= 2000")
-    new = all_years.filter("fmr_year >= 2000").withColumn("fmr_2br", (F.col("fmr_2br") + 1).cast("decimal(10,2)"))
-    path = scratch_path(spark, "fact_fmr")
-    replace_table(conform.fact_fmr(old), path)
-    target = spark.read.parquet(path)
-    return plain(replace_table(upsert(target, conform.fact_fmr(new), ["entity_id", "fmr_year"]), path))
+    """Later years merged into a table by its years; earlier years keep their files."""
+    rows = materialize(conform.fact_fmr(staged_fmr(spark, sf)), "fmr")
+    warehouse = scratch_path(spark, "warehouse")
+    later = rows.filter("fmr_year >= 2000").withColumn("fmr_2br", (F.col("fmr_2br") + 1).cast("decimal(10,2)"))
+    for part in (rows.filter("fmr_year <= 2000"), later):
+        draft = versions.begin(spark, warehouse)
+        draft.merge("fact_fmr", part, ["entity_id", "fmr_year"], "fmr_year")
+        draft.commit()
+    return plain(versions.read(spark, warehouse, "fact_fmr"))
 
 
 @query
 def quarantine_rows(spark, sf):
-    rows = landed.dirty_amounts(spark, sf)
-    good, bad = split_rows(rows, clean.survey_amount("raw").isNotNull())
-    count = lambda df, label: df.groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("row_count")).withColumn("outcome", F.lit(label))
-    return count(good, "good").unionByName(count(bad, "quarantined"))
+    """Every row with its outcome, written in one pass."""
+    rows = landed.dirty_amounts(spark, sf).select("o_orderkey", "o_orderpriority", "raw")
+    good, bad, _ = quarantine(rows, clean.survey_amount("raw").isNotNull(), scratch_path(spark, "quarantine"))
+    return good.withColumn("outcome", F.lit("good")).unionByName(bad.withColumn("outcome", F.lit("quarantined")))
 
 
 @query
@@ -342,16 +373,16 @@ def affordability_final(spark, sf):
     star = t.star(spark, sf)
     m = materialize(view.affordability_metrics(**star), "metrics")
     final = publish.affordability_final(m, star["income"])
-    stored = replace_table(final, scratch_path(spark, "affordability_final"))
-    return plain(stored.select(
+    stored = versions.replace(spark, scratch_path(spark, "warehouse"), {"affordability_final": final})
+    return plain(stored["affordability_final"].select(
         "geo_id", "full_date", "bedroom_type", "monthly_rent", "rent_to_income_ratio", "mortgage_to_income_ratio",
         "unemployment_rate", "pressure_score", "years_to_save", "rent_growth_yoy", "income_growth_yoy",
         "zscore", "divergence", "city_classification",
     ))
 
 
-@query
-def publish_gate(spark, sf):
+def _gate(spark, sf, *more):
+    """The star and the flat table published behind the standard checks and ``more`` (name, failing rows of the tables)."""
     star = t.star(spark, sf)
     geo = star["geography"]
     dated = lambda df: df.withColumn("date_id", dates.date_id("full_date"))
@@ -359,53 +390,61 @@ def publish_gate(spark, sf):
         "fact_rent": dated(star["rent"]), "fact_home_prices": dated(star["home"]), "fact_income": star["income"],
         "fact_labor": dated(star["labor"]), "fact_mortgage_rates": dated(star["rates"]),
     }
-    checks = publish.standard_checks(tables, geo, dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY))
-    # A check that fails: labor months without a home price. It holds back the table.
-    checks["price of every labor month"] = quality.orphans(tables["fact_labor"], tables["fact_home_prices"], ["geo_id", "date_id"])
-    final = publish.affordability_final(view.affordability_metrics(**star), star["income"])
-    _, status = publish.publish(final, scratch_path(spark, "gated"), checks)
-    return status
+    checks = publish.standard_checks(tables, geo, dims.date_spine(spark, *t.span(spark, sf)))
+    checks |= {name: failing(tables) for name, failing in more}
+    final = publish.affordability_final(materialize(view.affordability_metrics(**star), "metrics"), star["income"])
+    steps = publish.publish(spark, scratch_path(spark, "gated"), {**tables, "affordability_final": final}, checks)
+    return steps.status(spark).drop("message")
+
+
+@query
+def publish_gate(spark, sf):
+    """A check that fails (no metro has a labor month) holds back all tables."""
+    return _gate(spark, sf, ("no labor months", lambda tables: tables["fact_labor"]))
+
+
+@query
+def publish_gate_passed(spark, sf):
+    """All checks pass, and the tables are published."""
+    return _gate(spark, sf)
+
 
 
 # --- cleaning, filters, reshaping ---------------------------------------------
 
 
-def _cleaned(spark, sf, cleaner, digits):
-    rows = landed.dirty_amounts(spark, sf).withColumn("v", cleaner("raw"))
-    return rows.groupBy("o_orderpriority", "o_orderstatus").agg(
-        F.count("*").alias("row_count"), F.count("v").alias("valid_count"),
-        stats.exact_sum("v", digits).cast("double").alias("value_sum"), F.min("v").alias("min_value"), F.max("v").alias("max_value"),
-    )
+def _cleaned(spark, sf, cleaner):
+    return landed.dirty_amounts(spark, sf).select("o_orderkey", "raw", cleaner("raw").alias("cleaned"))
 
 
 @query
 def clean_money(spark, sf):
-    return _cleaned(spark, sf, clean.money, 2)
+    return _cleaned(spark, sf, clean.money)
 
 
 @query
 def clean_rate(spark, sf):
-    return _cleaned(spark, sf, clean.rate, 4)
+    return _cleaned(spark, sf, clean.rate)
 
 
 @query
 def clean_income(spark, sf):
-    return _cleaned(spark, sf, clean.survey_amount, 2)
+    return _cleaned(spark, sf, clean.survey_amount)
 
 
 @query
 def clean_int(spark, sf):
-    return _cleaned(spark, sf, clean.integer, 0)
+    return _cleaned(spark, sf, clean.integer)
 
 
 @query
 def clean_population(spark, sf):
-    return _cleaned(spark, sf, clean.head_count, 0)
+    return _cleaned(spark, sf, clean.head_count)
 
 
 @query
 def rate_weekly_to_monthly(spark, sf):
-    return rates.monthly_rates(rates.weekly_rates(landed.rate_csv(spark, sf).toDF("report_date", "rate_30yr_fixed"), t.FIRST_DAY))
+    return rates.monthly_rates(rates.weekly_rates(landed.rate_csv(spark, sf).toDF("report_date", "rate_30yr_fixed"), date.min))
 
 
 @query
@@ -413,11 +452,8 @@ def filter_metro_semi(spark, sf):
     geo = places(spark, sf)
     label = F.when(F.col("c_mktsegment") == "BUILDING", "Unknown Metro").otherwise(F.col("n_name"))
     c, n = t.read(spark, sf, "customer"), t.read(spark, sf, "nation")
-    labelled = c.join(n, c.c_nationkey == n.n_nationkey).select(label.alias("city_display"), "c_mktsegment", "c_acctbal")
-    kept = labelled.join(geo.select("city_display"), ["city_display"], "left_semi")
-    return kept.groupBy("city_display", "c_mktsegment").agg(
-        F.count("*").alias("customers"), stats.exact_sum("c_acctbal").cast("double").alias("balance")
-    )
+    labelled = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", label.alias("city_display"), "c_mktsegment", "c_acctbal")
+    return labelled.join(geo.select("city_display"), ["city_display"], "left_semi")
 
 
 @query
@@ -543,11 +579,13 @@ def latest_snapshot_correlated(spark, sf):
 
 @query
 def coverage_anti(spark, sf):
-    grid = places(spark, sf).select(
-        "geo_id", F.explode(F.sequence(F.lit(t.FIRST_DAY), F.lit(date(2001, 8, 1)), F.expr("interval 1 month"))).alias("full_date")
-    )
-    found = t.rent(spark, sf).filter(F.col("bedroom_type") == "1br")
-    return grid.join(found.select("geo_id", "full_date"), ["geo_id", "full_date"], "left_anti")
+    """Months without a rent between the first and the last one, for every metro and bedroom type."""
+    rents = materialize(t.rent(spark, sf), "rents")
+    first, last = rents.agg(F.min("full_date"), F.max("full_date")).first()
+    months = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))).alias("full_date")
+    kinds = F.explode(F.array(F.lit(ALL_HOMES), F.lit("1br"))).alias("bedroom_type")
+    grid = places(spark, sf).select("geo_id", months).select("geo_id", "full_date", kinds)
+    return quality.missing_keys(grid, rents, "geo_id", "full_date", "bedroom_type")
 
 
 @query
@@ -623,7 +661,7 @@ def dq_null_counts(spark, sf):
 
 @query
 def dq_unmatched_geo(spark, sf):
-    facts = conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, t.FIRST_DAY, t.LAST_DAY))
+    facts = conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, *t.span(spark, sf)))
     return facts.filter(F.col("geo_id").isNull()).groupBy("city_display").agg(
         F.count("*").alias("row_count"), F.count_if("is_national").alias("national_rows")
     )

@@ -1,13 +1,12 @@
 """A star derived from the TPC-H-like test tables.
 
 Nations stand for metros, regions for price areas; order months give rents,
-shipments give prices, labor and rates. The sources end in different months on
-purpose, so that the fallback joins have work to do.
+shipments give prices, labor and rates, each for every month that the tables have.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +17,6 @@ from hearth.functions.numeric import half_up
 from hearth.seeds import ALL_HOMES, NATIONAL_CITY
 from hearth.session import materialize_all
 
-HOME_END, LABOR_END, RATE_END, INCOME_END = (
-    datetime(2001, 5, 1), datetime(2001, 6, 1), datetime(2001, 7, 1), datetime(2001, 1, 1),
-)
-FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
-MONTHS = [date(y, m, 1) for y in range(1995, 2002) for m in range(1, 13)]
 NATION_KEYS = [f"NATION_{i} Metro" for i in range(25)]
 UNKNOWN_SERIES = "SERIES_X"
 
@@ -38,8 +32,11 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def before(c: str, end: datetime) -> Column:
-    return F.col(c) < F.lit(end).cast("timestamp_ntz")
+def span(spark: SparkSession, sf: str) -> tuple[date, date]:
+    """First day of the first and last day of the last year in which something was ordered or shipped."""
+    days = [read(spark, sf, n).agg(F.min(c).cast("date"), F.max(c).cast("date")).first() for n, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    seen = [d for r in days for d in r if d is not None] or [date(2000, 1, 1)]
+    return date(min(seen).year, 1, 1), date(max(seen).year, 12, 31)
 
 
 def mean(total: str = "s", count: str = "n") -> Column:
@@ -100,8 +97,7 @@ def rent(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFra
 def income(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFrame:
     sums = order_sums(spark, sf) if sums is None else sums
     rows = (
-        sums.filter(F.col("full_date") < F.lit(INCOME_END.date()))
-        .groupBy("geo_id", F.year("full_date").alias("survey_year"))
+        sums.groupBy("geo_id", F.year("full_date").alias("survey_year"))
         .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     )
     return rows.select(
@@ -112,34 +108,28 @@ def income(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataF
     )
 
 
-def supplied(spark: SparkSession, sf: str, *cols: str, how: str = "inner") -> DataFrame:
-    """Shipment lines with their supplier's nation."""
-    line = read(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", *cols)
-    s = read(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("geo_id"))
-    return line.join(s, line.l_suppkey == s.s_suppkey, how).drop("l_suppkey", "s_suppkey")
-
-
 def line_sums(spark: SparkSession, sf: str) -> DataFrame:
     """(geo_id, full_date, price, discount, tax, n) per supplier nation and ship month.
 
-    Lines without a known supplier stay, under a NULL nation: the national rate
+    Lines are summed by supplier and month before they meet their supplier, so partial sums are shuffled
+    and not lines. Lines without a known supplier stay, under a NULL nation: the national rate
     counts them too. Prices, rates, consumer prices and fair-market rents all
     follow from this one pass over the lines.
     """
-    return (
-        supplied(spark, sf, "l_extendedprice", "l_discount", "l_tax", how="left")
-        .groupBy("geo_id", dates.month_of("l_shipdate").alias("full_date"))
-        .agg(
-            stats.exact_sum("l_extendedprice").alias("price"), stats.exact_sum("l_discount").alias("discount"),
-            stats.exact_sum("l_tax").alias("tax"), F.count("*").alias("n"),
-        )
+    line = read(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount", "l_tax")
+    s = read(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("geo_id"))
+    own = line.groupBy("l_suppkey", dates.month_of("l_shipdate").alias("full_date")).agg(
+        stats.exact_sum("l_extendedprice").alias("price"), stats.exact_sum("l_discount").alias("discount"),
+        stats.exact_sum("l_tax").alias("tax"), F.count("*").alias("n"),
     )
+    placed = own.join(s, own.l_suppkey == s.s_suppkey, "left")
+    return placed.groupBy("geo_id", "full_date").agg(*[F.sum(c).alias(c) for c in ("price", "discount", "tax", "n")])
 
 
 def home(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFrame:
     if sums is None:
         sums = line_sums(spark, sf)
-    rows = sums.filter(F.col("geo_id").isNotNull() & (F.col("full_date") < F.lit(HOME_END.date())))
+    rows = sums.filter(F.col("geo_id").isNotNull())
     return rows.select(
         "geo_id", "full_date", half_up(mean("price") * 8, 2).cast("decimal(12,2)").alias("median_home_price"),
         F.lit(ALL_HOMES).alias("home_type"),
@@ -154,7 +144,7 @@ def labor(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("geo_id"))
     placed = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "geo_id")
-    line = read(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag").filter(before("l_shipdate", LABOR_END))
+    line = read(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
     sums = (
         line.join(placed, line.l_orderkey == placed.o_orderkey)
         .groupBy("geo_id", dates.month_of("l_shipdate").alias("full_date"))
@@ -171,15 +161,12 @@ def labor(spark: SparkSession, sf: str) -> DataFrame:
 def rates(spark: SparkSession, sf: str, sums: DataFrame | None = None) -> DataFrame:
     """National monthly rate; from the lines alone when no sums are at hand."""
     if sums is None:
-        line = read(spark, sf, "lineitem").select("l_shipdate", "l_discount").filter(before("l_shipdate", RATE_END))
+        line = read(spark, sf, "lineitem").select("l_shipdate", "l_discount")
         sums = line.groupBy(dates.month_of("l_shipdate").alias("full_date")).agg(
             stats.exact_sum("l_discount").alias("discount"), F.count("*").alias("n")
         )
     else:
-        sums = (
-            sums.filter(F.col("full_date") < F.lit(RATE_END.date()))
-            .groupBy("full_date").agg(F.sum("discount").alias("discount"), F.sum("n").alias("n"))
-        )
+        sums = sums.groupBy("full_date").agg(F.sum("discount").alias("discount"), F.sum("n").alias("n"))
     return sums.select("full_date", half_up(mean("discount") * 130, 4).cast("decimal(6,4)").alias("rate_30yr_fixed"))
 
 

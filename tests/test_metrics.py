@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators import quality
-from hearth.operators.upsert import replace_table, split_rows, upsert
+from hearth.operators import versions
+from hearth.operators.upsert import quarantine
 from hearth.plans import dims, indicators, publish, whatif
 from hearth.plans.metrics import affordability_metrics, latest_snapshot, metrics_exact, snapshot_report
 
@@ -145,30 +146,37 @@ def test_scenarios_and_relocation(spark, facts):
     assert (burden.rent_burden, burden.is_cost_burdened) == (0.3, 0)
 
 
-def test_upsert_is_idempotent(spark, rows, tmp_path):
+def test_merge_is_idempotent(spark, rows, tmp_path):
     old = spark.createDataFrame([("a", 2020, 1.0), ("a", 2021, 2.0)], "entity_id string, fmr_year int, v double")
     new = spark.createDataFrame([("a", 2021, 9.0), ("b", 2021, 3.0)], "entity_id string, fmr_year int, v double")
-    path = str(tmp_path / "t")
-    table = replace_table(old, path)
-    for _ in range(2):
-        table = replace_table(upsert(table, new, ["entity_id", "fmr_year"]), path)
+    for part in (old, new, new):
+        draft = versions.begin(spark, str(tmp_path))
+        table = draft.merge("t", part, ["entity_id", "fmr_year"], "fmr_year")
+        draft.commit()
+        assert rows(table) == rows(versions.read(spark, str(tmp_path), "t"))
     assert rows(table) == [("a", 2020, 1.0), ("a", 2021, 9.0), ("b", 2021, 3.0)]
 
 
-def test_split_keeps_every_row(spark):
+def test_quarantine_keeps_every_row_in_one_pass(spark, tmp_path, rows):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "v int")
-    good, bad = split_rows(df, F.col("v") > 0)
-    assert (good.count(), bad.count()) == (1, 2)
+    good, bad, counts = quarantine(df, F.col("v") > 0, str(tmp_path / "q"))
+    assert rows(good) == [(1,)] and rows(bad) == [(None,), (-1,)] and counts == {"good": 1, "quarantined": 2}
+    assert "PartitionFilters: [isnotnull(outcome" in good._jdf.queryExecution().executedPlan().toString()
+    _, bad, counts = quarantine(df.where("v = 1"), F.col("v") > 0, str(tmp_path / "clean"))
+    assert bad.count() == 0 and counts["quarantined"] == 0
 
 
-def test_gate_holds_back_the_table(spark, tmp_path, facts):
+def test_gate_holds_back_the_tables(spark, tmp_path, facts):
     dup = facts["income"].unionByName(facts["income"].limit(1))
-    checks = {"unique": quality.duplicate_keys(dup, ["geo_id", "survey_year"]), "geo": quality.orphans(facts["rent"], facts["geography"], ["geo_id"])}
-    ok, status = publish.publish(facts["rent"], str(tmp_path / "final"), checks)
-    assert not ok and not (tmp_path / "final").exists()
-    assert {(r.step, r.status, r.failed_rows) for r in status.collect()} == {("unique", "FAILED", 1), ("geo", "FAILED", 1), ("publish", "SKIPPED", 0)}
-    ok, _ = publish.publish(facts["rent"], str(tmp_path / "final"), {"none": dup.filter("false")})
-    assert ok and spark.read.parquet(str(tmp_path / "final")).count() == 6
+    checks = {"geo": quality.orphans(facts["rent"], facts["geography"], ["geo_id"]), "unique": quality.duplicate_keys(dup, ["geo_id", "survey_year"]), "none": dup.filter("false")}
+    path = str(tmp_path / "wh")
+    steps = publish.publish(spark, path, {"final": facts["rent"]}, checks)
+    assert versions.current(spark, path) == (0, {}) and steps.error is not None
+    assert [(r.step, r.status, r.row_count) for r in steps.status(spark).orderBy("step_no").collect()] == [
+        ("check: geo", "FAILED", 1), ("check: unique", "FAILED", 1), ("check: none", "PASSED", 0), ("write final", "SKIPPED", 0), ("publish", "SKIPPED", 0),
+    ]
+    steps = publish.publish(spark, path, {"final": facts["rent"]}, {"none": dup.filter("false")})
+    assert steps.error is None and versions.read(spark, path, "final").count() == 6
 
 
 def test_quality(spark, facts, rows):

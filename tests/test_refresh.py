@@ -6,52 +6,9 @@ from datetime import date
 import pytest
 
 from hearth import seeds
+from hearth.operators import versions
 from hearth.plans import refresh
-
-YEARS = (2018, 2019, 2020)
-
-
-def months():
-    return [date(y, m, 1) for y in YEARS for m in range(1, 13)]
-
-
-def write(path, text):
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text)
-
-
-def wide_csv(base, step):
-    head = "RegionID,SizeRank,RegionName,RegionType,StateName," + ",".join(str(d) for d in months())
-    lines = [
-        f'{i},{i},"{seeds.listing_name(m[2], m[3])}",msa,{m[3]},' + ",".join(str(base * i + step * k) for k, _ in enumerate(months()))
-        for i, m in enumerate(seeds.METROS, start=1)
-    ]
-    return "\n".join([head, *lines, '0,0,United States,country,,' + ",".join("1" for _ in months())])
-
-
-def series_doc(pairs):
-    data = lambda f: [{"year": str(d.year), "period": f"M{d.month:02d}", "value": str(f(d))} for d in months()]
-    return json.dumps({"status": "REQUEST_SUCCEEDED", "message": [], "Results": {"series": [{"seriesID": s, "data": data(f)} for s, f in pairs]}})
-
-
-def land(root):
-    write(root / "rent" / "Metro_zori.csv", wide_csv(100, 1))
-    write(root / "home" / "Metro_zhvi_x.csv", wide_csv(20000, 100))
-    write(root / "rates" / "rates.csv", "d,r\n" + "\n".join(f"{d},6.5" for d in months()))
-    for y in YEARS:
-        rows = [[f"{m[1]} Metro Area", str(40000 + 1000 * m[0] + 500 * (y - 2018)), "30000", "1000000", m[8]] for m in seeds.METROS]
-        write(root / "income" / f"{y}.json", json.dumps([["NAME", "B19013_001E", "B19301_001E", "B01003_001E", "statistical area"], *rows]))
-    code = lambda m, measure: f"LAUMT{m[7]}{m[8]}000000{measure}"
-    pairs = [(code(m, "03"), lambda d, i=m[0]: 3 + i / 10) for m in seeds.METROS] + [(code(m, "05"), lambda d: 1000) for m in seeds.METROS]
-    write(root / "labor" / "2015-2019" / "a.json", series_doc(pairs[:25]))
-    write(root / "labor" / "2020-2025" / "a.json", series_doc(pairs[25:]))
-    write(root / "cpi" / "2015-2019" / "a.json", series_doc([(s, lambda d: 250.5) for s in dict(seeds.CPI_SERIES)]))
-    docs = [
-        json.dumps({"entity_id": m[9], "requested_year": y, "payload": json.dumps({"data": {"basicdata": {"Two-Bedroom": 1000 + m[0]}}})})
-        for m in seeds.METROS for y in (2025, 2026)
-    ]
-    write(root / "fmr" / "a.json", "\n".join(docs))
-
+from landing_files import land, series_doc, write
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
@@ -73,7 +30,7 @@ def test_row_counts(built):
 def test_published(spark, built):
     root, t = built
     assert {r.status for r in t["status"].collect()} == {"PASSED"}
-    final = spark.read.parquet(str(root / "wh" / "affordability_final"))
+    final = versions.read(spark, str(root / "wh"), "affordability_final")
     assert final.count() == 900
     r = final.filter("geo_id = 10 and full_date = DATE'2020-01-01'").first()
     assert float(r.monthly_rent) == 1024.0 and r.income_year == 2020 and float(r.median_household_income) == 51000.0
@@ -93,10 +50,10 @@ def test_second_refresh_changes_nothing_and_keeps_old_rents(spark, built):
     root, _ = built
     docs = [json.dumps({"entity_id": m[9], "requested_year": 2027, "payload": json.dumps({"data": {"basicdata": {"Two-Bedroom": 1}}})}) for m in seeds.METROS]
     write(root / "landing" / "fmr" / "a.json", "\n".join(docs))
-    before = spark.read.parquet(str(root / "wh" / "affordability_final")).toPandas()
+    before = versions.read(spark, str(root / "wh"), "affordability_final").toPandas()
     again = refresh.build_all(spark, str(root / "landing"), str(root / "wh"), date(2026, 6, 1))
     assert again["fact_hud_fmr"].count() == 50
-    after = spark.read.parquet(str(root / "wh" / "affordability_final")).toPandas()
+    after = versions.read(spark, str(root / "wh"), "affordability_final").toPandas()
     key = ["geo_id", "full_date", "bedroom_type"]
     assert before.sort_values(key).reset_index(drop=True).equals(after.sort_values(key).reset_index(drop=True))
 
@@ -106,7 +63,7 @@ def test_missing_source_stops_the_refresh(spark, tmp_path):
     (tmp_path / "landing" / "rent" / "Metro_zori.csv").rename(tmp_path / "landing" / "rent" / "other.txt")
     with pytest.raises(FileNotFoundError):
         refresh.build_all(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), date(2026, 5, 1))
-    assert not (tmp_path / "wh" / "affordability_final").exists()
+    assert versions.current(spark, str(tmp_path / "wh")) == (0, {})
 
 
 def test_landed_years_and_windows_all_count(spark, tmp_path):
@@ -122,19 +79,59 @@ def test_landed_years_and_windows_all_count(spark, tmp_path):
 
 def test_empty_source_leaves_staging_as_it_was(spark, built, tmp_path):
     root, _ = built
-    before = spark.read.parquet(str(root / "wh" / "staging" / "rent")).count()
+    before = versions.read(spark, str(root / "wh"), "staging/rent").count()
     land(tmp_path / "landing")
     write(tmp_path / "landing" / "rent" / "Metro_zori.csv", "RegionID,SizeRank,RegionName,RegionType,StateName,2020-01-01\n0,0,Nowhere,msa,XX,1")
     with pytest.raises(ValueError, match="no rows"):
         refresh.build_all(spark, str(tmp_path / "landing"), str(root / "wh"), date(2026, 5, 1))
-    assert spark.read.parquet(str(root / "wh" / "staging" / "rent")).count() == before == 900
+    assert versions.read(spark, str(root / "wh"), "staging/rent").count() == before == 900
 
 
 def test_a_repeated_month_fails_the_gate(spark, built):
     from hearth.plans import publish
 
     root, t = built
-    t = {k: spark.read.parquet(str(root / "wh" / k)) for k in t if k.startswith(("fact_", "dim_"))}  # as the last refresh left them
+    t = {k: versions.read(spark, str(root / "wh"), k) for k in t if k.startswith(("fact_", "dim_"))}  # as the last refresh left them
     twice = t["fact_mortgage_rates"].union(t["fact_mortgage_rates"].selectExpr("date_id + 7", "rate_30yr_fixed", "data_source"))
     checks = publish.standard_checks({**t, "fact_mortgage_rates": twice}, t["dim_geography"], t["dim_date"])
     assert checks["one row a month in fact_mortgage_rates"].count() == 36 and checks["one row a month in fact_labor"].isEmpty()
+
+
+def test_unreadable_files_are_skipped_and_named(spark, tmp_path):
+    root = tmp_path / "landing"
+    land(root)
+    write(root / "labor" / "2026-2030" / "cut.json", series_doc([("x", lambda d: 1)])[:200])  # a window broken off
+    write(root / "rates" / "observations.json", '{"observations": [{"date": "2018-')
+    write(root / "rent" / "Metro_zori.csv", "no,months\n1,2")  # the first candidate cannot be read, the next one is
+    write(root / "rent" / "Metro_zori_2.csv", (root / "home" / "Metro_zhvi_x.csv").read_text())
+    write(root / "income" / "2021.json", "[[")
+    out = refresh.build_all(spark, str(root), str(tmp_path / "wh"), date(2026, 5, 1))
+    passed = {(r.source, r.file.rsplit("/", 1)[-1], r.reason.split(":")[0]) for r in out["skipped"].collect()}
+    assert passed == {
+        ("home_prices", "Metro_zhvi.csv", "absent"), ("income", "2021", "unreadable"), ("labor", "cut.json", "unreadable"),
+        ("mortgage_rates", "observations.json", "unreadable"), ("rent", "Metro_zori.csv", "unreadable"),
+    }
+    assert versions.read(spark, str(tmp_path / "wh"), "fact_labor").count() == 900 and {r.status for r in out["status"].collect()} == {"PASSED"}
+
+
+def test_wide_files_are_united_by_their_headers(spark, tmp_path, rows):
+    from hearth.sources import wide
+
+    name = seeds.listing_name(seeds.METROS[0][2], seeds.METROS[0][3])
+    head = "RegionID,SizeRank,RegionName,RegionType,StateName,"
+    write(tmp_path / "Metro_zori_1.csv", f'{head}2020-01-01,2020-02-01\n1,1,"{name}",msa,X,100,200')
+    write(tmp_path / "Metro_zori_2.csv", f'{head}2020-03-01,2020-02-01\n1,1,"{name}",msa,X,300,250')
+    write(tmp_path / "Metro_zori_3.csv", f'{head}2020-02-01\n1,1,"{name}",msa,X,')
+    write(tmp_path / "Metro_zori_4.csv", "nothing,here\n1,2")
+    skipped = []
+    raw = wide.read_wide(spark, [f"{tmp_path}/Metro_zori.csv", f"{tmp_path}/Metro_zori_*.csv"], skipped)
+    got = wide.staged_rent(raw, seeds.listing_crosswalk(spark))
+    assert rows(got, "report_date", "monthly_rent") == [(date(2020, 1, 1), 100.0), (date(2020, 2, 1), 250.0), (date(2020, 3, 1), 300.0)]
+    assert [(f.rsplit("/", 1)[1], r.split(":")[0]) for f, r in skipped] == [("Metro_zori_4.csv", "unreadable"), ("Metro_zori.csv", "absent")]
+
+
+def test_every_metro_without_rows_is_named(spark, built):
+    _, t = built
+    assert t["missing_metros"].count() == 0
+    gaps = refresh.missing_metros({**t, "fact_labor": t["fact_labor"].where("geo_id > 2")})
+    assert sorted((r.table_name, r.geo_id) for r in gaps.collect()) == [("fact_labor", 1), ("fact_labor", 2)]
