@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -444,7 +444,7 @@ def clean_population(spark, sf):
 
 @query
 def rate_weekly_to_monthly(spark, sf):
-    return rates.monthly_rates(rates.weekly_rates(landed.rate_csv(spark, sf).toDF("report_date", "rate_30yr_fixed"), date.min))
+    return rates.monthly_rates(rates.weekly_rates(landed.rate_csv(spark, sf).toDF("report_date", "rate_30yr_fixed"), t.span(spark, sf)[0] - timedelta(days=7)))
 
 
 @query
