@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from hearth.session import materialize
+from hearth.session import discard, materialize
 
-__all__ = ["components", "fields", "map_batches", "materialize", "slices", "table", "text_or_empty"]
+__all__ = ["components", "discard", "fields", "map_batches", "materialize", "slices", "table", "text_or_empty"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
+def _successor(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new`` as a written table; ``old``, from which it was made, is deleted."""
+    out = materialize(new, name)
+    discard(old)
+    return out
+
+
 def components(edges: DataFrame, name: str = "component") -> DataFrame:
     """Connected components of the undirected links (a, b): one row (node, root), root being the smallest node.
 
@@ -78,11 +85,11 @@ def components(edges: DataFrame, name: str = "component") -> DataFrame:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        e = materialize(large, name)
+        e = _successor(e, large, name)
         # small star: a node and its smaller neighbours hang on the smallest of them
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         small = e.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        e = materialize(small.distinct(), name)
+        e = _successor(e, small.distinct(), name)
         now = state(e)
         if now == last:
             break

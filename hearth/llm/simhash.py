@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import components, map_batches, materialize
+from hearth.llm.common import components, discard, map_batches, materialize, slices
 
 BITS = 64
 #: Signatures with more fingerprints than this go the way without pairs.
@@ -59,9 +59,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp, k1, k2) of every document; k1 and k2 hash its id and text."""
 
     def make():
-        def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            fps = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2), b.column(3)], names=["id", "fp", "k1", "k2"])
+        def step(batch: pa.RecordBatch):
+            for b in slices(batch, 1):
+                fps = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2), b.column(3)], names=["id", "fp", "k1", "k2"])
 
         return step
 
@@ -147,21 +148,25 @@ def links(fps: DataFrame, distance: int, pair_limit: int = PAIR_LIMIT) -> DataFr
     hot = filed.where(F.col("n") > pair_limit).select("fp").distinct()
     groups = _wildcards(hot, distance).groupBy("k", "v").agg(F.sort_array(F.collect_set("fp")).alias("g")).where(F.size("g") > 1)
     stars = groups.select(F.element_at("g", 1).alias("a"), F.explode(F.slice("g", 2, 1 << distance)).alias("b"))
-    return pairs.union(stars).distinct()
+    out = materialize(pairs.union(stars).distinct(), "simhash-pairs")
+    discard(filed)
+    return out
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """(id, fp, k1, k2, root, component_id) of every document; the component is the smallest id that links reach."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("low")), "simhash-nodes")
-    roots = components(links(nodes.select("fp"), distance), "simhash-links")
+    found = links(nodes.select("fp"), distance)
+    roots = components(found, "simhash-links")
+    discard(found)
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
     named = linked.join(lows, "root").select("fp", "root", "component_id")
     return prints.join(named, "fp").select("id", "fp", "k1", "k2", "root", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 2) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One document of every component: that with the smallest id, nulls last; of several with that id or of repeated rows, one."""
     order = F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2")
     first = classes(docs, id_col, text_col, shingle, distance).groupBy("root").agg(F.min(order).alias("f")).select("f.k1", "f.k2")
