@@ -37,8 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import components, map_batches, materialize, slices
-from hearth.session import discard
+from hearth.llm.common import components, discard, map_batches, materialize, slices
 
 SHINGLE = 3
 #: The similarity as a fraction, so that bounds are whole numbers.
@@ -314,10 +313,15 @@ def links(table: DataFrame, texts_of, size: int = SHINGLE, similarity: tuple[int
     check = lambda pairs: _verified(pairs, nodes, texts, size, similarity)
     joined = lambda found: components(found, "ngram-links")
 
+    def apart_still(groups: DataFrame, roots: DataFrame, key: str, least: int = 3) -> DataFrame:
+        out = _apart_still(groups, roots, key, least)
+        discard(groups)
+        return out
+
     stars = filed.where((F.col("lo") != F.col("node")) & _fits("n", "nlo", similarity)).select(*_ordered("lo", "node"))
     found = check(stars)
     roots = joined(found)
-    groups = _apart_still(filed, roots, "sig")
+    groups = apart_still(filed, roots, "sig")
     found = found.unionByName(check(_pairs(groups, "sig", similarity, pair_limit)))
     large = groups.where(F.col("c") > pair_limit)
     for i in range(PIVOTS):
@@ -327,16 +331,18 @@ def links(table: DataFrame, texts_of, size: int = SHINGLE, similarity: tuple[int
         stars = large.join(pivot, "sig").where((F.col("root") != F.col("p.root")) & _fits("n", "p.n", similarity)).select(*_ordered("node", "p.node"))
         found = found.unionByName(check(stars))
         roots = joined(found)
-        before, large = large, _apart_still(large, roots, "sig")
+        large = _apart_still(large, roots, "sig")
     if not large.isEmpty():
         rare = materialize(_by_rare(large.select("node").distinct(), texts, size, similarity), "ngram-rare")
-        groups = _apart_still(rare, roots, "gram", 2)
+        groups = apart_still(rare, roots, "gram", 2)
         found = found.unionByName(check(_pairs(groups, "gram", similarity, pair_limit)))
         roots = joined(found)
         large = _apart_still(groups.where(F.col("c") > pair_limit), roots, "gram")
         if not large.isEmpty():
             found = found.unionByName(check(_blocks(large, "gram", nodes, similarity)))
-    return joined(found)
+    out = joined(found)
+    discard(nodes, texts, groups, large)
+    return out
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY, pair_limit: int = PAIR_LIMIT) -> DataFrame:

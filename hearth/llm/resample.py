@@ -31,9 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from hearth.llm.common import fields, map_batches, materialize, slices
+from hearth.llm.common import discard, fields, map_batches, materialize, slices
 from hearth.operators.ranking import number_rows
-from hearth.session import discard
 
 BUCKETS = 10000
 GRAMS = 1
