@@ -41,11 +41,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from hearth.llm.common import fields, map_batches, materialize
+from hearth.llm.common import discard, fields, map_batches, materialize, slices
 
 LENGTH = 400
 #: Bytes of a text whose k-grams are hashed at once; parts by which a range of starts is cut, in turn.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 PARTS = (2, 4, 4, 2)
 #: Suffixes in a sorted run, suffixes in a merge range, and sampled suffixes for each range.
 RUN = 20_000
@@ -65,7 +65,7 @@ class Powers:
 
     def upto(self, n: int):
         if n > self.size:
-            self.size = max(n, 2 * self.size, 1 << 14)
+            self.size = max(n, 1 << 14)
             of = lambda b: np.concatenate(([np.uint64(1)], np.cumprod(np.full(self.size, b, np.uint64), dtype=np.uint64)))
             self.up, self.down = [of(b) for b in _BASES], [of(b) for b in _INVERSES]
         return self
@@ -303,30 +303,33 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
     texts = _hashed(docs, text_col).where(F.octet_length("text") >= length)
 
     def scan():
-        def step(b: pa.RecordBatch):
-            ids, cols = [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for a in anchors(t.encode("utf-8", "surrogatepass"), length):
-                    ids += [i] * len(a[0])
-                    cols.append(a)
-            if cols:
-                p, le, ri, g, c, d = (np.concatenate(x) for x in zip(*cols, strict=True))
-                arrays = [pa.array(ids, pa.binary()), *(pa.array(x.astype(np.int32)) for x in (p, le, ri)), *(pa.array(x.view(np.int64)) for x in (g, c, d))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "g", "c", "d"])
+        def step(batch: pa.RecordBatch):
+            for b in slices(batch, 1):
+                ids, cols = [], []
+                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    for a in anchors(t.encode("utf-8", "surrogatepass"), length):
+                        ids += [i] * len(a[0])
+                        cols.append(a)
+                if cols:
+                    p, le, ri, g, c, d = (np.concatenate(x) for x in zip(*cols, strict=True))
+                    arrays = [pa.array(ids, pa.binary()), *(pa.array(x.astype(np.int32)) for x in (p, le, ri)), *(pa.array(x.view(np.int64)) for x in (g, c, d))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "g", "c", "d"])
 
         return step
 
     found = materialize(map_batches(texts, scan, "id binary, pos int, left int, right int, g bigint, c bigint, d bigint"), "suffix-anchors")
     # most k-grams occur once, and their anchors go no further
     often = found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g")
-    found = materialize(found.join(often, "g").withColumn("at", _place("id", "pos")), "suffix-frequent")
+    every, found = found, materialize(found.join(often, "g").withColumn("at", _place("id", "pos")), "suffix-frequent")
+    discard(every)
     key = ["g", "c", "d"]
     class_of = found.groupBy(*key).agg(F.count("*").alias("n"), F.min("at").alias("one"))
     single = (F.col("n") == 1) | F.lit(keep_first)
     grams = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.max(single).alias("open"))
     shared = materialize(found.join(class_of.join(grams, "g"), key), "suffix-classes")
+    discard(found)
     whole = shared.where((F.col("n") > 1) & ((F.col("at") != F.col("one")) | F.lit(not keep_first)))
-    spans = [whole.select("id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))]
+    spans = [materialize(whole.select("id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end")), "suffix-whole")]
 
     members = shared.where((F.col("at") == F.col("one")) & F.expr("classes > 1 and open")).select("id", F.struct("pos", "left", "right", single.alias("need")).alias("m"))
     listed = members.groupBy("id").agg(F.collect_set("m").alias("m"))  # bounded by the text's own length; copies of a text list the same
@@ -346,7 +349,8 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
 
     contexts = map_batches(held, cut, "id binary, pos int, left int, right int, need boolean, around binary")
     contexts = materialize(contexts.select("*", _place("id", "pos").alias("at"), F.monotonically_increasing_id().alias("cid")), "suffix-contexts")
-    todo, width = contexts.withColumn("blocks", F.array(F.lit(0))), reach + 1
+    discard(shared)
+    todo, width, before = contexts.withColumn("blocks", F.array(F.lit(0))), reach + 1, contexts.limit(0)
     for level, parts in enumerate(PARTS):
         finer = _wide(parts, width)
         tested = materialize(_tests(todo, length, width, finer), f"suffix-tests-{level}")
@@ -358,17 +362,23 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
             F.max(kind == 0).alias("core"), F.max((kind == 1) & other).alias("stood_for"),
         )
         state = materialize(state, f"suffix-state-{level}")
+        discard(tested, before)  # this level's tests have read the state of the one before
         settled = state.where("whole").join(contexts.select("cid", "id", "pos"), "cid")
-        spans.append(settled.select("id", (F.col("pos") - F.col("block") - (finer - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end")))
+        settled = settled.select("id", (F.col("pos") - F.col("block") - (finer - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end"))
+        spans.append(materialize(settled, f"suffix-settled-{level}"))
+        before = state
         # of members alike in the whole block one goes on and stands for the others
         left = state.where("core and not stood_for").groupBy("cid").agg(F.collect_list("block").alias("blocks"), F.collect_list(F.when(F.col("need") & ~F.col("whole"), F.col("block"))).alias("open"))
         todo, width = contexts.join(left, "cid"), finer
     last = map_batches(todo.select("id", "pos", "left", "right", "around", "blocks", "open"), lambda: _suffixes(length, width), "id binary, p int, need boolean, s binary")
     last = materialize(last.groupBy("id", "p").agg(F.max("need").alias("need"), F.first("s").alias("s")), "suffix-strings")
+    discard(contexts, before)
     spans.append(repeated(last, length, keep_first).select("id", F.col("p").alias("start"), (F.col("p") + length).alias("end")))
     out = spans[0]
     for s in spans[1:]:
         out = out.union(s)
+    out = materialize(out.distinct(), "suffix-repeats")
+    discard(last, *spans)
     return out
 
 
@@ -377,8 +387,8 @@ def _tests(todo: DataFrame, length: int, width: int, finer: int) -> DataFrame:
 
     def make():
         def step(b: pa.RecordBatch):
-            for first in range(0, b.num_rows, 2000):
-                yield some(b.slice(first, 2000))
+            for first in range(0, b.num_rows, 256):
+                yield some(b.slice(first, 256))
 
         def some(b: pa.RecordBatch) -> pa.RecordBatch:
             around = b.column("around").to_pylist()
@@ -427,7 +437,8 @@ def _suffixes(length: int, width: int):
 def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """``docs`` with spans (array of start, end: the maximal removed runs, in bytes) and kept (binary, the remaining bytes)."""
     spans = repeats(docs, text_col, length, keep_first)
-    listed = materialize(spans.distinct().groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
+    listed = materialize(spans.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
+    discard(spans)
     names = [*docs.columns]
     at = names.index(text_col)
     keyed = _squeezed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("r") if len(names) > 1 else F.lit(0).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), _id(text_col)), "text")
