@@ -29,14 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import components, map_batches, materialize
+from hearth.llm.common import components, discard, map_batches, materialize, slices
 
 THRESHOLD = 1
 #: Lines of fewer characters are joined only when equal: one edit is a large part of them.
 MIN_CHARS = 20
 #: A line that is not blank.
 SOME = "[^\\x20\\x09-\\x0D]"
-PAIR_LIMIT = 512
+PAIR_LIMIT = 16
 #: Forms of a line in a hot group: without a character and with its place, without a character, the line itself.
 PLACED, BARE, WHOLE = 0, 1, 2
 
@@ -107,16 +107,17 @@ def links(lines: DataFrame, threshold: int, pair_limit: int = PAIR_LIMIT) -> Dat
     """Links (a, b) between distinct ``lines`` (lid, line) that connect all within ``threshold`` edits."""
 
     def make():
-        def step(b: pa.RecordBatch):
-            out: tuple[list, ...] = ([], [], [], [])
-            for lid, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                filed, probes = keys(line, threshold)
-                out[0].extend(filed + [k for k, _ in probes])
-                out[1].extend([lid] * (len(filed) + len(probes)))
-                out[2].extend([True] * len(filed) + [False] * len(probes))
-                out[3].extend([True] * len(filed) + [same for _, same in probes])
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "lid", "filed", "same"])
+        def step(batch: pa.RecordBatch):
+            for b in slices(batch, 1):
+                out: tuple[list, ...] = ([], [], [], [])
+                for lid, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    filed, probes = keys(line, threshold)
+                    out[0].extend(filed + [k for k, _ in probes])
+                    out[1].extend([lid] * (len(filed) + len(probes)))
+                    out[2].extend([True] * len(filed) + [False] * len(probes))
+                    out[3].extend([True] * len(filed) + [same for _, same in probes])
+                types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "lid", "filed", "same"])
 
         return step
 
@@ -138,14 +139,20 @@ def links(lines: DataFrame, threshold: int, pair_limit: int = PAIR_LIMIT) -> Dat
 
     found = map_batches(pairs, verify, "a bigint, b bigint")
     if threshold != 1:
-        return found
+        return _written(found, live)
     hot = live.where(F.col("n") > pair_limit).select("lid").distinct().join(text, "lid")
     left_out = map_batches(hot, _left_out, "x binary, lid bigint, kind int")
     # lines that share a form with its place differ there only; of those that share one without, only the line equal to it is one edit away
     whole, low = F.min(F.when(F.col("kind") == WHOLE, F.col("lid"))), F.min(F.when(F.col("kind") == PLACED, F.col("lid")))
     centre = left_out.groupBy("x").agg(F.coalesce(whole, low).alias("a"), F.count("*").alias("n")).where("n > 1 and a is not null")
     stars = left_out.join(centre.select("x", "a"), "x").where("lid <> a").select("a", F.col("lid").alias("b"))
-    return found.union(stars)
+    return _written(found.union(stars), live)
+
+
+def _written(links: DataFrame, made_from: DataFrame) -> DataFrame:
+    out = materialize(links, "line-pairs")
+    discard(made_from)
+    return out
 
 
 def _left_out():
@@ -177,10 +184,13 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each = _keyed(docs, id_col, text_col).select("id", "h", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(F.col("line").rlike(SOME))
     lines = each.groupBy("line").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("lid"), "line", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(7), "line").alias("y"))
     lines = materialize(lines, "lines")  # numbers are fixed from here on
-    roots = components(links(lines.where(F.char_length("line") >= min_chars), threshold), "line-links")
+    found = links(lines.where(F.char_length("line") >= min_chars), threshold)
+    roots = components(found, "line-links")
+    discard(found)
     classes = lines.select("lid", "x", "y").join(roots.withColumnRenamed("node", "lid"), "lid", "left").select("x", "y", F.coalesce("root", "lid").alias("class"))
     slim = each.select("id", "h", "no", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(7), "line").alias("y"))
     placed = materialize(slim.join(classes, ["x", "y"]).select("class", "id", "h", "no"), "line-places")
+    discard(lines)
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h", "no")
     first = placed.groupBy("class").agg(F.count("*").alias("n"), F.min(order).alias("f")).where(F.col("n") >= max(2, min_count))
     dup = F.struct(F.col("no").alias("line"), F.col("f.id").alias("first_id"), F.col("f.no").alias("first_line"), (order == F.col("f")).alias("is_first"))
