@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from tokenizers import Tokenizer
 
 from hearth.llm.common import fields, map_batches
 
-#: Chunks whose ids a task keeps; the cache starts anew when it is full.
-CACHE_CHUNKS = 400_000
+#: Chunks whose ids a worker keeps for its tasks; the cache starts anew when it is full.
+CACHE_CHUNKS = 200_000
 
 # The split of the vocabulary file's pre-tokenizer and the byte alphabet of byte-level BPE.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -165,33 +166,51 @@ class Encoder:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
+@lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)  # for all tasks of a worker
+
+
+@lru_cache(1)
+def _strings(path: str) -> list[str]:
+    """The vocabulary's strings by id, all that decoding needs."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    strings = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    out = [""] * (max(strings.values()) + 1)
+    for s, i in strings.items():
+        out[i] = s
+    return out
+
+
 def _encoded(e: Encoder, texts: pa.Array) -> pa.Array:
     packed = [e.packed(x) for x in texts.to_pylist()]
     offsets = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
 
 
-def _decoded(e: Encoder, ids: pa.Array) -> pa.Array:
+def _decoded(strings: list[str], ids: pa.Array) -> pa.Array:
     flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    return pa.array([e.decode(flat[a:z].tolist()) for a, z in zip([0, *ends[:-1]], ends, strict=True)] if len(ids) else [], pa.string())
+    texts = [" ".join(map(strings.__getitem__, flat[a:z].tolist())) for a, z in zip([0, *ends[:-1]], ends, strict=True)]  # as the library joins them without a decoder
+    return pa.array(texts if len(ids) else [], pa.string())
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with an array column of the ids of each whole text."""
-    return _with(docs, path, text_col, ids_col, "array<int>", _encoded)
+    return _with(docs, path, text_col, ids_col, "array<int>", _encoder, _encoded)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with a column of the text of each array of ids; null ids give an empty text."""
-    return _with(df, path, ids_col, text_col, "string", _decoded)
+    return _with(df, path, ids_col, text_col, "string", _strings, _decoded)
 
 
-def _with(df: DataFrame, path: str, src: str, new: str, kind: str, f) -> DataFrame:
+def _with(df: DataFrame, path: str, src: str, new: str, kind: str, load, f) -> DataFrame:
     names = [c for c in df.columns if c != new]
     at = df.columns.index(src)
 
     def make():
-        e = Encoder(path)
+        e = load(path)
 
         def step(b: pa.RecordBatch):
             for i in range(0, b.num_rows, 256):  # ids take more room than texts

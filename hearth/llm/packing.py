@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from hearth.llm.common import materialize
 WINDOW = 4096
 OPEN_WINDOWS = 32
 FAN_IN = 16
+#: Bytes of ids in finished windows that a task holds before it passes them on.
+BATCH_BYTES = 8 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, sequence_id bigint, offset bigint, open boolean"
 _NAMES = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset", "open"]
 _TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()]
@@ -67,11 +70,16 @@ class _ChunkIds(dict):
         return ids
 
 
+@lru_cache(1)
+def _chunk_ids(path: str) -> _ChunkIds:
+    return _ChunkIds(path)  # for all tasks of a worker
+
+
 def tokens(path: str, end: int) -> Callable[[], Callable[[str | None], bytes]]:
     """Makes a function from a text to its ids and the end token, as little-endian uint32."""
 
     def make():
-        ids = _ChunkIds(path)
+        ids = _chunk_ids(path)
         last = np.array([end], "<u4").tobytes()
         return lambda text: b"".join([*map(ids.__getitem__, chunks(text or "")), last])
 
@@ -85,12 +93,14 @@ class Windows:
         self.next, self.size, self.count = first, size, count
         self.open: dict[int, tuple[int, list[Piece]]] = {}  # sequence: room, pieces
         self.done: list[tuple] = []
+        self.bytes = 0
 
     def _emit(self, sequence: int, pieces: list[Piece], still_open: bool = False) -> None:
         offset = 0
         for doc, start, total, ids in pieces:
             n = len(ids) // 4
             self.done.append((doc, start, n, total, ids, sequence, offset, still_open))
+            self.bytes += len(ids)
             offset += n
 
     def add(self, doc, start: int, total: int, ids: bytes) -> None:
@@ -139,7 +149,7 @@ class Windows:
             left -= size
 
     def batch(self) -> pa.RecordBatch:
-        rows, self.done = self.done, []
+        rows, self.done, self.bytes = self.done, [], 0
         cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_NAMES)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES, strict=True)], names=_NAMES)
 
@@ -164,7 +174,7 @@ def pack(
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 ids = f(text.as_py())
                 w.add(doc, 0, len(ids) // 4, ids)
-                if len(w.done) >= 2000:
+                if w.bytes >= BATCH_BYTES:
                     yield w.batch()
         w.leave_open()
         yield w.batch()
@@ -175,6 +185,8 @@ def pack(
             for b in batches:
                 for doc, start, total, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids")), strict=True):
                     w.add(doc, start, total, ids)
+                    if w.bytes >= BATCH_BYTES:
+                        yield w.batch()
             if last:
                 w.close()
             else:
