@@ -112,6 +112,26 @@ def asof_left(spine: DataFrame, src: DataFrame, keys: Sequence[str], at: str, si
     return spine.join(filled, [*keys, at], "left").select(*spine.columns, *cols)
 
 
+def asof_all(spine: DataFrame, keys: Sequence[str], at: str, sources: Sequence[tuple[DataFrame, str, Sequence[str]]], spread_by: str, copies: int = 8) -> DataFrame:
+    """Add to every row the last row so far of each of several sources: (source, when it became known, its columns).
+
+    Spine and sources are one stream of events, in which one window carries every source's last value forward;
+    the spine is planned, shuffled and sorted once, however many sources there are. The rows of a key are
+    spread over ``copies`` shares by a hash of ``spread_by``; the sources, one row per key and period, are repeated for each.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in spine.columns]).alias("__row")
+    share = F.pmod(F.xxhash64(spread_by), F.lit(copies)).cast("int").alias("__share")
+    events = spine.select(*keys, share, F.col(at).alias("__at"), F.lit(1).alias("__kind"), row)
+    for i, (src, since, cols) in enumerate(sources):
+        known = not_null(src, [*keys, since]).select(
+            *keys, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__share"), F.col(since).alias("__at"), F.lit(0).alias("__kind"), F.struct(*cols).alias(f"__v{i}")
+        )
+        events = events.unionByName(known, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "__share").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    filled = events.withColumns({f"__v{i}": F.last(f"__v{i}", ignorenulls=True).over(w) for i in range(len(sources))}).filter("__kind = 1")
+    return filled.select("__row.*", *[F.col(f"__v{i}.{c}").alias(c) for i, (_, _, cols) in enumerate(sources) for c in cols])
+
+
 def with_prior(df: DataFrame, keys: Sequence[str], index: str, lag: int, value: str, prior: str) -> DataFrame:
     """Add the value that the same key had ``lag`` periods earlier, by period number and not by row.
 

@@ -68,11 +68,12 @@ class Draft:
         seen = Observation()
         return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace a table as a whole; ``df`` may read the table's own current version."""
+    def write(self, name: str, df: DataFrame, part: Sequence[str] = ()) -> DataFrame:
+        """Replace a table as a whole, stored by the columns in ``part``; ``df`` may read the table's own current version."""
         folder = self._fresh(name)
         counted, seen = self._counted(df, name)
-        counted.write.parquet(f"{self.warehouse}/{folder}")
+        writer = counted.hint("rebalance", *part).write.partitionBy(*part) if part else counted.write
+        writer.parquet(f"{self.warehouse}/{folder}")
         self.rows[name] = seen.get["n"]
         self.tables[name] = [folder]
         return _open(self.spark, self.warehouse, [folder], df.schema)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import dates, finance
 from hearth.functions.numeric import half_up
 from hearth.operators.lookup import (
-    asof_left, exact_or_latest, exact_or_latest_scalar, join_per_key, latest_per_key, latest_rows,
+    asof_all, asof_left, exact_or_latest, exact_or_latest_scalar, join_per_key, latest_per_key, latest_rows,
 )
 
 RENT_LIMIT, SEVERE_LIMIT, DOWN_PAYMENT, TERM_YEARS = 0.30, 0.50, 0.20, 30
@@ -94,29 +96,75 @@ def add_metrics(df: DataFrame, down: float = DOWN_PAYMENT, years: int = TERM_YEA
     )
 
 
+#: The sources behind each column that is not the rents' own.
+BEHIND = {
+    **dict.fromkeys([*INCOME_COLS, "income_year", "rent_to_income_ratio", "affordable_monthly_rent", "monthly_rent_gap", "is_cost_burdened", "is_severely_burdened"], {"income"}),
+    **dict.fromkeys(LABOR_COLS, {"labor"}),
+    **dict.fromkeys(["median_home_price", "down_payment_required"], {"home"}),
+    "rate_30yr_fixed": {"rates"}, "home_price_to_income_ratio": {"home", "income"}, "est_monthly_mortgage": {"home", "rates"},
+    "mortgage_to_income_ratio": {"home", "rates", "income"},
+}
+#: The typed NULLs that stand for the columns of a source that is left out.
+_ABSENT = {
+    "income": {**dict.fromkeys(INCOME_COLS[:2], "decimal(12,2)"), "population": "bigint", "income_year": "int"},
+    "labor": {"unemployment_rate": "decimal(5,2)", "employment_level": "bigint"}, "home": {"median_home_price": "decimal(12,2)"}, "rates": {"rate_30yr_fixed": "decimal(6,4)"},
+}
+
+
+def sources_of(columns: Sequence[str] | None) -> set[str]:
+    """The sources that the view joins to its rents for these columns; all of them for None."""
+    return set().union(*BEHIND.values()) if columns is None else set().union(*(BEHIND.get(c, set()) for c in columns))
+
+
+def _with_all_asof(df: DataFrame, sources: Mapping[str, DataFrame], geography: DataFrame) -> DataFrame:
+    """All sources as they were known in each month, in one pass over the rents. The national rates count in every metro."""
+    events = []
+    if "income" in sources:
+        src = sources["income"].select("geo_id", F.col("survey_year").alias("income_year"), *INCOME_COLS)
+        events.append((src.withColumn("__since", F.make_date("income_year", F.lit(1), F.lit(1))), [*INCOME_COLS, "income_year"]))
+    for name, cols in (("labor", LABOR_COLS), ("home", ["median_home_price"])):
+        if name in sources:
+            events.append((_dated(sources[name]).select("geo_id", dates.month_of("full_date").alias("__since"), *cols), cols))
+    if "rates" in sources:
+        known = _dated(sources["rates"]).select(dates.month_of("full_date").alias("__since"), "rate_30yr_fixed").where("__since IS NOT NULL")
+        series = known.agg(F.collect_list(F.struct("__since", "rate_30yr_fixed")).alias("s")).scalar()  # one national value a month
+        events.append((geography.select("geo_id", F.inline(series)), ["rate_30yr_fixed"]))
+    return asof_all(df, ["geo_id"], "__month", [(src, "__since", cols) for src, cols in events], "full_date")
+
+
 def affordability_metrics(
     rent: DataFrame,
-    home: DataFrame,
-    income: DataFrame,
-    labor: DataFrame,
-    rates: DataFrame,
+    home: DataFrame | None,
+    income: DataFrame | None,
+    labor: DataFrame | None,
+    rates: DataFrame | None,
     geography: DataFrame,
     income_mode: str = "latest",
     fallback: str = "latest",
     home_type: str = "All Homes",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per rent observation, with incomes, labor, prices, rates and all metrics.
 
     Where a source has no row for the month, ``fallback`` decides: its newest row
-    ('latest'), its last row so far ('asof') or NULL ('none').
+    ('latest'), its last row so far ('asof') or NULL ('none'). With ``columns``, sources behind none of
+    them are not joined (they may be None), and what rests on these is NULL.
     """
-    prices = home.filter(F.col("home_type") == home_type)
+    prices = None if home is None else home.filter(F.col("home_type") == home_type)
+    sources = {n: s for n, s in (("income", income), ("labor", labor), ("home", prices), ("rates", rates)) if n in sources_of(columns)}
     df = spine(rent, geography)
-    df = with_income(df, income, income_mode)
-    df = _with_monthly(df, labor, LABOR_COLS, fallback)
-    df = _with_monthly(df, prices, ["median_home_price"], fallback)
-    df = with_rate(df, rates, fallback)
-    return add_metrics(df.drop("__month"))
+    if income_mode == fallback == "asof":
+        df = _with_all_asof(df, sources, geography) if sources else df
+    else:
+        if "income" in sources:
+            df = with_income(df, sources["income"], income_mode)
+        for name, cols in (("labor", LABOR_COLS), ("home", ["median_home_price"])):
+            if name in sources:
+                df = _with_monthly(df, sources[name], cols, fallback)
+        if "rates" in sources:
+            df = with_rate(df, sources["rates"], fallback)
+    absent = {c: F.lit(None).cast(kind) for name, cols in _ABSENT.items() if name not in sources for c, kind in cols.items()}
+    return add_metrics(df.drop("__month").withColumns(absent) if absent else df.drop("__month"))
 
 
 def metrics_exact(rent, home, income, labor, rates, geography) -> DataFrame:

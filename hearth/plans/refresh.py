@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hearth import seeds
 from hearth.operators import quality, versions
-from hearth.plans import conform, dims, publish
+from hearth.plans import conform, dims, profiles, publish
 from hearth.plans.metrics import affordability_metrics
 from hearth.plans.steps import Failed, Steps
 from hearth.sources import fmr, income, rates, series, wide
@@ -91,6 +91,8 @@ class Landed:
         return series.fan_out_cpi(staged, seeds.cpi_bridge(self.spark))
 
 
+#: Facts that are stored by the year of their days.
+BY_YEAR = {"fact_rent", "fact_home_prices", "fact_labor", "fact_mortgage_rates"}
 #: The sources in the order of their loads.
 SOURCES = ["hud_fmr", "rent", "home_prices", "income", "labor", "mortgage_rates", "cpi"]
 
@@ -157,6 +159,8 @@ def run(spark: SparkSession, landing: str, warehouse: str, load_date: date, **op
     def table(name: str, df: DataFrame):
         if name == "fact_hud_fmr":
             return draft.merge(name, df, ["entity_id", "fmr_year"], "fmr_year"), draft.rows[name]
+        if name in BY_YEAR:
+            return draft.write(name, conform.by_year(df), part=["year"]), draft.rows[name]
         return draft.write(name, df), draft.rows[name]
 
     for name in SOURCES:
@@ -168,6 +172,7 @@ def run(spark: SparkSession, landing: str, warehouse: str, load_date: date, **op
         publish.run_checks(steps, publish.standard_checks(tables, tables["dim_geography"], tables["dim_date"]))
     final = lambda: publish.affordability_final(tables["metrics"], tables["fact_income"])
     tables["affordability_final"] = steps.run("table affordability_final", lambda: table("affordability_final", final()))
+    steps.run("table profiles", lambda: table("profiles", profiles.of_tables({k: v for k, v in tables.items() if k.startswith("fact_")})))
     steps.run("publish", lambda: (draft.commit(), len(draft.tables)))
     out = {k: v for k, v in tables.items() if v is not None}
     counts = [(k.replace("staging/", "staging."), v) for k, v in draft.rows.items()]

@@ -450,12 +450,10 @@ BODIES = {
     "cross_scalar": """
         SELECT r.geo_id, r.full_date, r.bedroom_type, COALESCE(q.rate_30yr_fixed, (SELECT rate_30yr_fixed FROM newest_rate)) AS rate_30yr_fixed
         FROM rent r LEFT JOIN rates q ON q.full_date = r.full_date""",
-    "latest_snapshot": """
-        SELECT a.geo_id, city_display, a.bedroom_type, full_date, monthly_rent, rent_to_income_ratio, est_monthly_mortgage
-        FROM m a JOIN (SELECT geo_id, bedroom_type, MAX(full_date) AS d FROM m GROUP BY 1, 2) x
-             ON x.geo_id = a.geo_id AND x.bedroom_type = a.bedroom_type AND x.d = a.full_date""",
-    "latest_snapshot_correlated": """
-        SELECT geo_id, city_display, bedroom_type, full_date, monthly_rent, rent_to_income_ratio, est_monthly_mortgage FROM m a
+    "latest_snapshot": f"""
+        SELECT {VIEW_COLS.format(income_year='income_year,')} FROM (SELECT *, RANK() OVER (PARTITION BY geo_id, bedroom_type ORDER BY full_date DESC) AS r FROM m) WHERE r = 1""",
+    "latest_snapshot_correlated": f"""
+        SELECT {VIEW_COLS.format(income_year='income_year,')} FROM m a
         WHERE full_date = (SELECT MAX(full_date) FROM m b WHERE b.geo_id = a.geo_id AND b.bedroom_type = a.bedroom_type)""",
     "coverage_anti": """
         SELECT g.geo_id, d.full_date, k.bedroom_type
@@ -493,6 +491,15 @@ BODIES = {
     "dq_unmatched_geo": """
         SELECT c.city_display, COUNT(*) AS row_count, SUM(CASE WHEN c.city_display = 'United States' THEN 1 ELSE 0 END)::BIGINT AS national_rows
         FROM cpi_city c LEFT JOIN geo g ON g.city_display = c.city_display WHERE g.geo_id IS NULL GROUP BY 1""",
+    "profile_columns": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count FROM {table}"
+        for table, names in (
+            ("customer", "c_custkey c_name c_nationkey c_acctbal c_mktsegment"),
+            ("orders", "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority"),
+            ("lineitem", "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"),
+        )
+        for c in names.split()
+    ),
     "dq_row_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in ("rent", "home", "income", "labor", "rates")
     ),

@@ -15,7 +15,7 @@ from hearth.functions import clean, dates, stats
 from hearth.functions.numeric import half_up
 from hearth.operators import lookup, quality, reshape, versions
 from hearth.operators.upsert import quarantine
-from hearth.plans import conform, dims, indicators, publish, whatif
+from hearth.plans import conform, dims, indicators, profiles, publish, whatif
 from hearth.plans import metrics as view
 from hearth.seeds import ALL_HOMES
 from hearth.session import materialize, scratch_path
@@ -45,19 +45,21 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[one(f) for f in df.schema])
 
 
-def metrics(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return view.affordability_metrics(**t.star(spark, sf), **options)
+def metrics(spark: SparkSession, sf: str, columns=None, **options) -> DataFrame:
+    """The view; with ``columns``, only the sources behind them are built and joined."""
+    return view.affordability_metrics(**t.star(spark, sf, view.sources_of(columns)), columns=columns, **options)
 
 
-def stored_metrics(spark: SparkSession, sf: str) -> DataFrame:
+def stored_metrics(spark: SparkSession, sf: str, columns=None) -> DataFrame:
     """The view written as a table, for indicators that read it more than once."""
-    return materialize(metrics(spark, sf), "metrics")
+    return materialize(metrics(spark, sf, columns), "metrics")
 
 
 def places(spark: SparkSession, sf: str) -> DataFrame:
     return t.geography(spark, sf)
 
 
+PRICE_AND_INCOME = ["median_home_price", "median_household_income"]
 VIEW_COLS = [
     "geo_id", "city_display", "metro_name", "state_abbr", "region", "full_date", "year", "quarter", "month", "month_name",
     "monthly_rent", "annual_rent", "bedroom_type", "median_household_income", "per_capita_income", "population",
@@ -212,7 +214,7 @@ def dim_date(spark, sf):
 
 @query
 def dim_scenario(spark, sf):
-    paid = whatif.scenario_payment(metrics(spark, sf))
+    paid = whatif.scenario_payment(metrics(spark, sf, PRICE_AND_INCOME))
     used = paid.groupBy("scenario_id").agg(
         F.count("*").alias("metric_rows"), half_up(stats.exact_mean("scenario_payment"), 2).alias("mean_payment")
     )
@@ -558,12 +560,9 @@ def cross_scalar(spark, sf):
     return plain(lookup.exact_or_latest_scalar(spine, t.rates(spark, sf), "full_date", "rate_30yr_fixed"))
 
 
-SNAPSHOT_COLS = ["geo_id", "city_display", "bedroom_type", "full_date", "monthly_rent", "rent_to_income_ratio", "est_monthly_mortgage"]
-
-
 @query
 def latest_snapshot(spark, sf):
-    return plain(view.latest_snapshot(metrics(spark, sf)).select(*SNAPSHOT_COLS))
+    return plain(view.latest_snapshot(metrics(spark, sf)).select(*VIEW_COLS))
 
 
 @query
@@ -571,7 +570,7 @@ def latest_snapshot_correlated(spark, sf):
     """The same by a correlated subquery in SQL, over the named view."""
     stored_metrics(spark, sf).createOrReplaceTempView("twin_affordability_metrics")
     return plain(spark.sql(f"""
-        SELECT {", ".join(SNAPSHOT_COLS)} FROM twin_affordability_metrics a
+        SELECT {", ".join(VIEW_COLS)} FROM twin_affordability_metrics a
         WHERE full_date = (SELECT MAX(b.full_date) FROM twin_affordability_metrics b
                            WHERE b.geo_id = a.geo_id AND b.bedroom_type = a.bedroom_type)
     """))
@@ -602,55 +601,32 @@ def _named(df, spark, sf):
 
 @query
 def profile_rent(spark, sf):
-    rows = _named(t.rent(spark, sf).filter(F.col("bedroom_type") == ALL_HOMES), spark, sf)
-    return rows.groupBy("city_display").agg(
-        F.count("*").alias("row_count"), F.min("full_date").alias("earliest"), F.max("full_date").alias("latest"),
-        half_up(stats.exact_mean("monthly_rent"), 2).alias("avg_rent"),
-    ).orderBy("city_display")
+    return profiles.rent(_named(t.rent(spark, sf), spark, sf))
 
 
 @query
 def profile_home(spark, sf):
-    return _named(t.home(spark, sf), spark, sf).groupBy("city_display").agg(
-        F.count("*").alias("row_count"), F.min("full_date").alias("earliest"), F.max("full_date").alias("latest"),
-        half_up(stats.exact_mean("median_home_price"), 2).alias("avg_home_price"),
-    ).orderBy(F.col("avg_home_price").desc())
+    return profiles.home(_named(t.home(spark, sf), spark, sf))
 
 
 @query
 def profile_income(spark, sf):
-    rows = _named(t.income(spark, sf), spark, sf)
-    return plain(rows.groupBy("city_display").agg(
-        F.count("*").alias("year_count"), F.min("survey_year").alias("earliest_year"), F.max("survey_year").alias("latest_year"),
-        F.max("median_household_income").alias("max_income"), F.max_by("median_household_income", "survey_year").alias("latest_income"),
-    ).orderBy(F.col("max_income").desc()))
+    return plain(profiles.income(_named(t.income(spark, sf), spark, sf)))
 
 
 @query
 def profile_labor(spark, sf):
-    rows = _named(t.labor(spark, sf), spark, sf)
-    return plain(rows.groupBy("city_display").agg(
-        F.count("*").alias("row_count"), F.min("full_date").alias("earliest"), F.max("full_date").alias("latest"),
-        half_up(stats.exact_mean("unemployment_rate"), 4).alias("avg_unemp"),
-        F.min("unemployment_rate").alias("min_unemp"), F.max("unemployment_rate").alias("max_unemp"),
-    ).orderBy(F.col("avg_unemp").desc()))
+    return plain(profiles.labor(_named(t.labor(spark, sf), spark, sf)))
 
 
 @query
 def profile_rate(spark, sf):
-    return plain(t.rates(spark, sf).agg(
-        F.min("full_date").alias("earliest"), F.max("full_date").alias("latest"), F.count("*").alias("row_count"),
-        half_up(stats.exact_mean("rate_30yr_fixed", 4), 4).alias("avg_rate"),
-        F.min("rate_30yr_fixed").alias("min_rate"), F.max("rate_30yr_fixed").alias("max_rate"),
-    ))
+    return plain(profiles.rate(t.rates(spark, sf)))
 
 
 @query
 def profile_cpi(spark, sf):
-    return plain(_cpi_cities(spark, sf).groupBy("city_display").agg(
-        F.count("*").alias("months"), F.min("report_date").alias("earliest"), F.max("report_date").alias("latest"),
-        F.min("cpi_index").alias("min_cpi"), F.max("cpi_index").alias("max_cpi"),
-    ).orderBy("city_display").limit(10))
+    return plain(profiles.cpi(_cpi_cities(spark, sf)))
 
 
 @query
@@ -661,10 +637,14 @@ def dq_null_counts(spark, sf):
 
 @query
 def dq_unmatched_geo(spark, sf):
-    facts = conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, *t.span(spark, sf)))
-    return facts.filter(F.col("geo_id").isNull()).groupBy("city_display").agg(
-        F.count("*").alias("row_count"), F.count_if("is_national").alias("national_rows")
-    )
+    return profiles.unmatched(conform.fact_cpi(_cpi_cities(spark, sf), places(spark, sf), dims.date_spine(spark, *t.span(spark, sf))))
+
+
+@query
+def profile_columns(spark, sf):
+    """Every column of the larger tables; distinct values are left to the sketches, whose estimates are no exact counts."""
+    tables = {n: t.read(spark, sf, n) for n in ("customer", "orders", "lineitem")}
+    return profiles.of_tables(tables).select("table_name", "column_name", "row_count", "null_count")
 
 
 @query
@@ -675,9 +655,7 @@ def dq_row_counts(spark, sf):
 
 @query
 def coverage_counts(spark, sf):
-    return t.rent(spark, sf).groupBy("bedroom_type").agg(
-        F.count_distinct("geo_id").alias("metros"), F.count_distinct("full_date").alias("months"), F.count("*").alias("row_count")
-    )
+    return profiles.coverage(t.rent(spark, sf))
 
 
 @query
@@ -710,7 +688,7 @@ def city_classification_median(spark, sf):
 
 @query
 def affordability_zscore(spark, sf):
-    return indicators.zscore(metrics(spark, sf))
+    return indicators.zscore(metrics(spark, sf, ["rent_to_income_ratio"]))
 
 
 @query
@@ -742,7 +720,7 @@ def pressure_score(spark, sf):
 
 @query
 def years_to_save(spark, sf):
-    return plain(indicators.with_years_to_save(metrics(spark, sf)).select("geo_id", "full_date", "bedroom_type", "down_payment_required", "years_to_save"))
+    return plain(indicators.with_years_to_save(metrics(spark, sf, ["down_payment_required", "median_household_income"])).select("geo_id", "full_date", "bedroom_type", "down_payment_required", "years_to_save"))
 
 
 @query
@@ -764,24 +742,24 @@ def signals_join(spark, sf):
 
 @query
 def driver_split(spark, sf):
-    return plain(indicators.driver_split(stored_metrics(spark, sf)))
+    return plain(indicators.driver_split(stored_metrics(spark, sf, ["median_household_income", "monthly_rent", "rent_to_income_ratio"])))
 
 
 @query
 def stress_lead_time(spark, sf):
-    star = t.star(spark, sf)
-    return indicators.stress_lead_time(view.affordability_metrics(**star), star["rent"], star["income"])
+    wanted = ["annual_rent", "median_household_income", "rent_to_income_ratio"]
+    star = t.star(spark, sf, view.sources_of(wanted))
+    return indicators.stress_lead_time(view.affordability_metrics(**star, columns=wanted), star["rent"], star["income"])
 
 
 @query
 def latest_rate(spark, sf):
-    return plain(t.rates(spark, sf).orderBy(F.col("full_date").desc()).limit(1))
+    return plain(profiles.latest_rate(t.rates(spark, sf)))
 
 
 @query
 def top_fmr(spark, sf):
-    cols = ["city", "fmr_year", "fmr_1br", "fmr_2br", "fmr_3br"]
-    return plain(staged_fmr(spark, sf).select(*cols).orderBy(F.col("fmr_2br").desc(), "city", "fmr_year").limit(25))
+    return plain(profiles.top_fmr(staged_fmr(spark, sf)))
 
 
 # --- what-if -----------------------------------------------------------------------
@@ -789,17 +767,17 @@ def top_fmr(spark, sf):
 
 @query
 def scenario_payment(spark, sf):
-    return plain(whatif.scenario_payment(metrics(spark, sf)))
+    return plain(whatif.scenario_payment(metrics(spark, sf, PRICE_AND_INCOME)))
 
 
 @query
 def scenario_rent_burden(spark, sf):
-    return plain(whatif.scenario_rent_burden(metrics(spark, sf), [50000, 75000, 100000]))
+    return plain(whatif.scenario_rent_burden(metrics(spark, sf, ["annual_rent"]), [50000, 75000, 100000]))
 
 
 @query
 def rate_sensitivity(spark, sf):
-    return whatif.rate_sensitivity(metrics(spark, sf), 3.0, 0.5, 11)
+    return whatif.rate_sensitivity(metrics(spark, sf, ["median_home_price"]), 3.0, 0.5, 11)
 
 
 @query

@@ -6,6 +6,7 @@ shipments give prices, labor and rates, each for every month that the tables hav
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -212,22 +213,21 @@ def fmr(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The facts behind the affordability view.
+FACTS = ("rent", "income", "home", "rates", "labor")
+
+
+def star(spark: SparkSession, sf: str, wanted: Iterable[str] = FACTS) -> dict[str, DataFrame | None]:
+    """The facts behind the affordability view; those that are not wanted are None.
 
     The raw tables are read once each for the order sums, the line sums and the
     labor counts; these small results are written, so that the view, which needs
     most facts twice, never goes back to the raw tables.
     """
-    sums = materialize_all(
-        {"order_sums": order_sums(spark, sf), "line_sums": line_sums(spark, sf), "labor": labor(spark, sf)}
-    )
-    orders, lines = sums["order_sums"], sums["line_sums"]
-    return {
-        "rent": rent(spark, sf, orders),
-        "income": income(spark, sf, orders),
-        "home": home(spark, sf, lines),
-        "rates": rates(spark, sf, lines),
-        "labor": sums["labor"],
-        "geography": geography(spark, sf),
+    wanted = {"rent", *wanted}
+    behind = {"order_sums": ({"rent", "income"}, order_sums), "line_sums": ({"home", "rates"}, line_sums), "labor": ({"labor"}, labor)}
+    sums = materialize_all({name: make(spark, sf) for name, (facts, make) in behind.items() if facts & wanted})
+    made = {
+        "rent": lambda: rent(spark, sf, sums["order_sums"]), "income": lambda: income(spark, sf, sums["order_sums"]),
+        "home": lambda: home(spark, sf, sums["line_sums"]), "rates": lambda: rates(spark, sf, sums["line_sums"]), "labor": lambda: sums["labor"],
     }
+    return {name: make() if name in wanted else None for name, make in made.items()} | {"geography": geography(spark, sf)}

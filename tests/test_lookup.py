@@ -128,3 +128,26 @@ def test_discarded_tables_are_deleted(spark, tmp_path):
     assert folder.exists()
     discard(gone, gone, spark.range(2))  # a second time and another frame: nothing happens
     assert not folder.exists() and kept.count() == 3
+
+
+def test_all_sources_as_of_at_once(spark, rows):
+    import random
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    month = lambda: date(2000 + rng.randrange(4), rng.randrange(1, 13), 1)
+    spine = [(1 if i % 3 == 0 else rng.choice([1, 2, 3, None]), month(), i) for i in range(300)]
+    first = list({(k, m): (k, m, rng.choice([None, 1.5, 2.5])) for k, m in ((rng.choice([1, 2, 9]), month()) for _ in range(30))}.values())
+    second = list({(k, m): (k, m, f"s{j}", j) for j, (k, m) in enumerate((rng.choice([1, 3, None]), month()) for _ in range(30))}.values())
+    df = spark.createDataFrame(spine, "k int, at date, id int")
+    a = spark.createDataFrame(first, "k int, since date, x double")
+    b = spark.createDataFrame(second, "k int, since date, y string, z int")
+    got = lookup.asof_all(df, ["k"], "at", [(a, "since", ["x"]), (b, "since", ["y", "z"])], "id")
+    one = lookup.asof_left(lookup.asof_left(df, a, ["k"], "at", "since", ["x"]), b, ["k"], "at", "since", ["y", "z"])
+    assert got.columns == one.columns == ["k", "at", "id", "x", "y", "z"] and rows(got) == rows(one)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1 and "Join" not in plan
+    shares = df.select("k", F.pmod(F.xxhash64("id"), F.lit(8)).alias("s")).where("k = 1").groupBy("s").count().collect()
+    assert len(shares) == 8  # a hot key is dealt over several groups

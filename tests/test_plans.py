@@ -104,3 +104,33 @@ def test_hot_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_sources_that_nobody_asks_for_are_not_read(spark):
+    for name, absent in {"scenario_rent_burden": ["l_shipdate", "o_totalprice#0"], "rate_sensitivity": ["l_returnflag"], "scenario_payment": ["unemployment_rate"]}.items():
+        text = optimized(q.REGISTRY[name](spark, SF))
+        assert not any(a in text for a in absent), name
+    from hearth.plans.metrics import sources_of
+
+    assert sources_of(["annual_rent"]) == set() and sources_of(["est_monthly_mortgage"]) == {"home", "rates"} and len(sources_of(None)) == 4
+    some, all_ = q.metrics(spark, SF, ["median_home_price"]), q.metrics(spark, SF)
+    assert some.columns and set(some.columns) == set(all_.columns)
+    pick = lambda df: sorted(tuple(r) for r in df.select("geo_id", "full_date", "bedroom_type", "median_home_price").collect())
+    assert pick(some) == pick(all_)
+
+
+def test_calendar_filters_prune_the_years_of_a_stored_fact(spark, tmp_path):
+    from hearth.operators import versions
+    from hearth.plans import conform, dims
+
+    geo = t.geography(spark, SF)
+    facts = conform.fact_rent(q.staged_rent(spark, SF), t.listing(geo), geo)
+    draft = versions.begin(spark, str(tmp_path))
+    stored = draft.write("fact_rent", conform.by_year(facts), part=["year"])
+    draft.commit()
+    calendar = dims.date_spine(spark, *t.span(spark, SF))
+    joined = conform.star_join(stored, geo, calendar.where("year = 1996 AND quarter = 2"))
+    assert "dynamicpruning" in plan(joined).lower() or "PartitionFilters: [isnotnull(year" in plan(joined)
+    same = conform.star_join(facts, geo, calendar).where("year = 1996 AND quarter = 2")
+    key = lambda df: sorted((r.geo_id, r.date_id, r.bedroom_type, r.monthly_rent) for r in df.collect())
+    assert key(joined) == key(same) and joined.count() > 0
