@@ -9,10 +9,11 @@ result must reach; every candidate whose upper bound does is scored exactly, in
 double precision, on the original vectors. Nothing is left out of the index, and
 no number of candidates is fixed.
 
-Queries and candidates are packed into blocks of a fixed number of vectors. Each
-candidate block meets each query block once, by an equality join on the block's
-number; a task holds one block of each. Every block gives its best k of each query,
-which are ranked by query. Work grows with queries times rows, as the stated query set does.
+Queries and candidates are packed into blocks of a fixed number of vectors. Candidate blocks are
+numbered, stay in one piece, and are dealt over the tasks; the query blocks, far fewer vectors, are sent to
+every candidate block by an equality join on its number, one after the other. Every
+meeting gives the best k of each query, which are ranked by query. Work grows with queries times
+rows, as the stated query set does.
 
 Vectors that are null, empty or zero, or that hold a null or a number that is not
 finite, take no part, nor do rows without an id. Rows of the query's own id are
@@ -30,9 +31,11 @@ from hearth.llm.common import map_batches, materialize
 
 BLOCK = 4096
 QUERIES = 1024
-#: Standard deviations of the estimate's error that its bounds allow for.
+#: Standard deviations of the estimate's error that bounds allow for: such that they hold, and those of a search, which rescores a third of all candidates with them.
 DEVIATIONS = 4.0
+SEARCH_DEVIATIONS = 2.0
 SEED = 11
+MOST_TASKS = 10_000
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -47,20 +50,20 @@ def codes(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(turned > 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(unit.shape[1])
 
 
-def estimates(bits: np.ndarray, own: np.ndarray, queries: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def estimates(bits: np.ndarray, own: np.ndarray, queries: np.ndarray, turn: np.ndarray, deviations: float = DEVIATIONS) -> tuple[np.ndarray, np.ndarray]:
     """Estimated cosines (query by candidate) and each candidate's error bound."""
     dim = queries.shape[1]
     signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
     with_code = (queries @ turn).astype(np.float32) @ signs.T / np.float32(np.sqrt(dim))
-    error = DEVIATIONS * np.sqrt(np.maximum(0, 1 - own**2)) / own / np.sqrt(max(1, dim - 1)) + 1e-6
+    error = deviations * np.sqrt(np.maximum(0, 1 - own**2)) / own / np.sqrt(max(1, dim - 1)) + 1e-6
     return with_code / own.astype(np.float32), error.astype(np.float32)
 
 
-def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, bits: np.ndarray, own: np.ndarray, k: int):
+def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, bits: np.ndarray, own: np.ndarray, k: int, deviations: float = SEARCH_DEVIATIONS):
     """(query, id, cosine) of each query's k nearest among the candidates ``v``."""
     turn = rotation(q.shape[1])
     q_norm, norm = np.sqrt((q * q).sum(axis=1)), np.sqrt((v * v).sum(axis=1))
-    est, err = estimates(bits, own, q / q_norm[:, None], turn)
+    est, err = estimates(bits, own, q / q_norm[:, None], turn, deviations)
     mine = q_ids[:, None] == ids[None, :]
     low = np.where(mine, -np.inf, est - err)
     k_here = min(k, len(ids))
@@ -111,21 +114,22 @@ def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col: str) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col: str, deviations: float = SEARCH_DEVIATIONS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of every query row, nearest first."""
     x = F.col("v")
     good = vectors.withColumn("__q", is_query).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"), "__q")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     good = good.where(F.col("id").isNotNull() & (F.size(x) > 0) & finite & F.exists(x, lambda c: c != 0))
     queries = materialize(_blocks(good.where("__q").dropDuplicates(["id", "v"]).select("id", "v"), QUERIES, False), "nearest-queries")
-    queries = materialize(queries.withColumn("key", F.monotonically_increasing_id()), "nearest-query-blocks")  # fixed from here on
+    held = materialize(_blocks(good.select("id", "v"), BLOCK, True).withColumn("key", F.monotonically_increasing_id()), "nearest-candidates")  # the keys are fixed from here on
     # one small row for each block is numbered; ids and vectors stay where they are
-    numbers = queries.select("dim", "key").withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("key")))
-    queries = queries.join(numbers, ["dim", "key"]).drop("key")
-    counts = queries.groupBy("dim").agg(F.max("block").alias("blocks"))
-    held = materialize(_blocks(good.select("id", "v"), BLOCK, True), "nearest-candidates")
-    spread = held.join(counts, "dim").withColumn("block", F.explode(F.sequence(F.lit(1), "blocks"))).drop("blocks")
-    met = spread.join(queries.select("dim", "block", F.col("n").alias("qn"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), ["dim", "block"])
+    numbers = held.select("dim", "key").withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("key")))
+    counts = numbers.groupBy("dim").agg(F.max("block").alias("blocks"))
+    total = counts.agg(F.sum("blocks")).first()[0] or 1
+    candidates = held.join(numbers, ["dim", "key"]).drop("key")
+    asked = queries.join(counts, "dim").select("dim", F.explode(F.sequence(F.lit(1), "blocks")).alias("block"), F.col("n").alias("qn"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"))
+    # as many tasks as blocks: by their bytes they would be merged, but each has much to compute
+    met = asked.repartition(min(total, MOST_TASKS), "dim", "block").join(candidates, ["dim", "block"])
 
     def make():
         def step(b: pa.RecordBatch):
@@ -134,7 +138,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col
                 n, qn, dim = r["n"], r["qn"], r["dim"]
                 got = nearest(
                     f("q_ids", np.int64, qn), f("q", np.float64, (qn, dim)), f("ids", np.int64, n), f("vectors", np.float64, (n, dim)),
-                    f("bits", np.uint8, (n, -1)), f("own", np.float64, n), k,
+                    f("bits", np.uint8, (n, -1)), f("own", np.float64, n), k, deviations,
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], names=["query_id", "vec_id", "score"])
 
