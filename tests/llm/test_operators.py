@@ -263,6 +263,35 @@ def test_a_run_of_two_pages_of_a_large_host_is_found(spark):
     assert all(got[3000 + i] == own(5000) for i in range(4)) and got[4000] == shared  # copies are one page, hosts are apart
 
 
+@pytest.mark.parametrize("host_tokens", [10**6, 100, 0])
+def test_boilerplate_by_comparing_all_runs(spark, host_tokens):
+    """Hosts sorted in one task, hosts too large for that, and both: the same text."""
+    rng = random.Random(12)
+    common = [" ".join(rng.choices("abcdefgh", k=rng.randrange(5, 14))) for _ in range(5)]
+    pages = []
+    for i in range(60):
+        parts = [rng.choice(common) if rng.random() < 0.5 else " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(0, 6))]
+        pages.append((i, f"http://h{i % 3 if i % 2 else 0}.x/{i}", "".join(f"<p>{x}</p>" for x in parts)))
+    pages.append((60, "http://h0.x/copy", pages[4][2]))  # a copy is no other page
+    want, streams = {}, {i: (u.split("/")[2], re.findall("<p>(.*?)</p>", h)) for i, u, h in pages}
+    runs = collections.defaultdict(set)
+    for host, parts in streams.values():
+        w = " ".join(parts).split()
+        for k in range(len(w) - 7):
+            runs[host, tuple(w[k : k + 8])].add(tuple(parts))
+    for i, (host, parts) in streams.items():
+        w = " ".join(parts).split()
+        gone = {j for k in range(len(w) - 7) if len(runs[host, tuple(w[k : k + 8])]) > 1 for j in range(k, k + 8)}
+        at, lines = 0, []
+        for x in parts:
+            n = len(x.split())
+            lines.append(" ".join(w[j] for j in range(at, at + n) if j not in gone))
+            at += n
+        want[i] = "\n".join(x for x in lines if x)
+    got = html.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string"), host_tokens=host_tokens).collect()
+    assert {r.page_id: r.text for r in got} == want and sum(len(streams[i][1]) > 0 and not t for i, t in want.items()) >= 1
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_suffixes_by_brute_force(spark, monkeypatch, keep_first):
     monkeypatch.setattr(suffixes, "RUN", 7)

@@ -136,6 +136,21 @@ def test_html_blocks():
     assert html.blocks("plain < text") == ("open", ["plain < text"])
 
 
+def test_the_article_among_others():
+    own = "<article><h1>T</h1><p>The article itself.</p></article>"
+    comment = '<article class="comment">reader says a lot more than the article did</article>'
+    teaser = '<section><article><h2>Other</h2>a teaser of some other story that is longer than the article</article></section>'
+    assert html.blocks(own + comment) == ("article", ["T", "The article itself."]) == html.blocks(teaser + own + teaser)
+    assert html.blocks(own.replace("</article>", comment + "</article>")) == ("article", ["T", "The article itself."])
+    assert html.blocks("<article>short</article><article>the longer one</article>") == ("article", ["the longer one"])
+    for name in ('class="social-science"', 'id="share-prices"', 'class="notice-board x"', "class=commentary"):
+        assert html.blocks(f"<article><h1>T</h1><div {name}>real text</div></article>")[1] == ["T", "real text"], name
+    for name in ('class="x top-nav"', 'id="comment-list"', "class=ad", 'class="ad-slot-2"', 'role="navigation"', 'class="cookie-bar"'):
+        assert html.blocks(f"<article><h1>T</h1><div {name}>other text</div></article>")[1] == ["T"], name
+    long = "<article>" + "<p>word word</p>" * 30000 + "</article>"
+    assert len(html.blocks(long)[1]) == 30000
+
+
 def test_repeated_tokens_by_comparison():
     rng = random.Random(1)
     for _ in range(150):
