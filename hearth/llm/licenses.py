@@ -15,7 +15,12 @@ shingle of their own length and are scanned for with shingles of that length.
 
 The templates are a short list, a parameter; they are held as literals and as a small table.
 Texts are scanned row by row; what is shuffled are windows that retrieved a template, hashed
-by all their columns, so no text or source is hot. Null texts have no words and no matches.
+by all their columns, so no text or source is hot. Texts are read once for all templates of a whole
+shingle or more, and once for each length below it.
+
+Null and empty texts have no words and no matches, nor have rows of an empty table. Repeated rows and ids
+are one document with its best match of each template; ties go to the first window. Very long texts are
+cut into windows whole. Only the two named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -133,14 +138,12 @@ def _scan(docs: DataFrame, k: int, templates: list, id_col: str, text_col: str)
     d = d.select("id", "w", _shingled("w", k).alias("h"))
     # the partition number keeps the filter above the shingles, whose expressions it would repeat if it were pushed below
     d = d.select("id", "w", F.when(F.arrays_overlap("h", known) & (F.spark_partition_id() >= 0), F.col("h")).alias("h")).where("h is not null")
-    windows = None
+    cuts = []
     for width, stride in sorted({(r["width"], r["stride"]) for r in rows}):
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("h") - width + stride), F.lit(stride))
-        cut = F.transform(starts, lambda p: F.struct((p - 1).cast("bigint").alias("word"), F.slice("w", p, width + k - 1).alias("part"), F.slice("h", p, width).alias("hs")))  # noqa: B023
-        made = d.select("id", F.lit(width).alias("width"), F.inline(cut))
-        windows = made if windows is None else windows.union(made)
-    # a window without a shingle of any template matches none
-    windows = windows.select("id", "width", "word", "part", F.when(F.arrays_overlap("hs", known), F.col("hs")).alias("hs")).where("hs is not null")
+        cut = F.transform(starts, lambda p: F.struct(F.lit(width).alias("width"), (p - 1).cast("bigint").alias("word"), F.slice("w", p, width + k - 1).alias("part"), F.slice("h", p, width).alias("hs")))  # noqa: B023
+        cuts.append(F.filter(cut, lambda x: F.arrays_overlap(x["hs"], known)))  # a window without a shingle of any template matches none
+    windows = d.select("id", F.inline(F.concat(*cuts)))  # all widths from one pass over the text
     keyed = windows.select("id", "width", "word", "part", F.posexplode(F.array(*_minhashes(F.col("hs")))).alias("band", "value"))
     got = keyed.join(F.broadcast(banded), ["width", "band", "value"]).dropDuplicates(["id", "width", "word", "part", "license"])
     common = F.size(F.array_intersect(_strings(F.col("part"), k), F.col("shingles")))

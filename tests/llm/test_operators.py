@@ -187,6 +187,37 @@ def test_licenses(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_license_matches_by_comparing_all_windows(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(4))
+    cut = lambda t: re.findall(r"[^\W_]+", t.lower())
+    docs = []
+    for i in range(60):
+        parts = [" ".join(word() for _ in range(rng.randrange(0, 80)))]
+        for name in rng.sample(sorted(licenses.TEMPLATES), 2):
+            w = cut(licenses.TEMPLATES[name])
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                w[rng.randrange(len(w))] = word()
+            parts += [" ".join(w), " ".join(word() for _ in range(rng.randrange(0, 40)))]
+        docs.append((i, "\n".join(parts)))
+    docs += [(100, " ".join(word() for _ in range(30000)) + " " + licenses.TEMPLATES["isc"]), (101, None), (102, "")]
+    want = set()
+    for i, t in docs:
+        w = cut(t or "")
+        for name, text in licenses.TEMPLATES.items():
+            own = cut(text)
+            k = min(5, len(own))
+            shingles = {tuple(own[j : j + k]) for j in range(len(own) - k + 1)}
+            width, stride = licenses.size_class(len(shingles))
+            grams = [tuple(w[j : j + k]) for j in range(len(w) - k + 1)]
+            if any(len(shingles & set(grams[p : p + width])) >= 0.8 * len(shingles) for p in range(0, max(1, len(grams) - width + stride), stride)):
+                want.add((i, name))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {(r.id, r.license) for r in licenses.scan(df).collect()} == want and len(want) > 60
+    scans = licenses.scan(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert scans.count("LogicalRDD [doc_id") == 2  # one for the templates of a shingle or more, one for the shorter one
+
+
 @pytest.mark.parametrize("threshold,limit", [(1, 2), (2, 512)])
 def test_line_links(spark, threshold, limit):
     rng = random.Random(5)
