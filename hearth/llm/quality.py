@@ -1,25 +1,29 @@
 """Quality rules as a short-circuit cascade, built from Spark functions only.
 
 Every rule is a Boolean column that is true where a document is rejected. On a
-sample each rule's cost is timed and the rules' joint outcomes are counted; the
-rules are then ordered greedily by rejected share per second among the documents
-that the earlier rules let through. The order is compiled into one CASE, which
-Spark evaluates lazily, so a document costs no more than the rules up to the
-first that rejects it. The verdict itself does not depend on the order.
+sample of raw texts each rule is timed, with the measures that it needs, and the rules' joint outcomes are
+counted; the rules are then ordered greedily by rejected share per second among the documents
+that the earlier rules let through. ``keep`` applies them one after the other in that order: a rule's
+measures are computed only for the documents that all rules before it let through. ``assess`` reports
+every measure of every document, so there the order, compiled into one lazy CASE, saves only the
+rules themselves. The verdict does not depend on the order; ``rejected_by``, the first rule that rejects, does,
+and as costs are times, ties in it may fall differently in another run.
 
 Null texts count as texts without words. A document without words fails the
-first base rule. Nothing is grouped or shuffled, so no source or key can be hot.
+first base rule. Repeated rows are all kept or all rejected; texts of any length are measured whole. Other
+columns stay, but for ones named like a measure or verdict, which ``assess`` replaces and ``keep`` leaves
+alone. An empty table gives an empty one. Nothing is grouped or shuffled, so no source or key can be hot.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import materialize, text_or_empty
+from hearth.llm.common import discard, materialize, text_or_empty
 
 BLANK = "[\\x20\\x09-\\x0D]+"
 #: Rows of the sample on which costs and selectivities are estimated (expected number).
@@ -33,8 +37,10 @@ MEAN_WORD = (2, 20)
 MAX_BANGS_PER_WORD = 0.2
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words of the whole text.
+def measures(df: DataFrame, text: str = "text", known: Sequence[str] = ()) -> DataFrame:
+    """``df`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words of the whole text, but for those that it has already.
+
+    What is not used of it is not computed.
 
     Repeated three-word windows are found by sorting one integer per window
     (hash in the high bits, position in the low ones); the few candidates are
@@ -68,6 +74,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("bigint"),
         "n_repeat_words": F.aggregate(covered, F.lit(0).cast("bigint"), lambda a, x: a + x),
     }
+    cols = {k: v for k, v in cols.items() if k not in known}
     return d.select(*[F.col(f"`{c}`") for c in keep if c not in cols], *[v.alias(k) for k, v in cols.items()])
 
 
@@ -97,14 +104,15 @@ def plan(docs: DataFrame, text: str, rules: Mapping[str, Column], sample_rows: i
     if not total:
         return list(rules)
     sample = docs if total <= sample_rows else docs.sample(fraction=sample_rows / total, seed=7)
-    sample = materialize(measures(sample.select(F.col(f"`{text}`")), text), "quality-sample")
-    flagged = sample.select(*[F.coalesce(r, F.lit(False)).alias(n) for n, r in rules.items()])
+    sample = materialize(sample.select(F.col(f"`{text}`")), "quality-sample")
+    flagged = measures(sample, text).select(*[F.coalesce(r, F.lit(False)).alias(n) for n, r in rules.items()])
     outcomes = [(r.asDict(), r["__rows"]) for r in flagged.groupBy(*rules).agg(F.count("*").alias("__rows")).collect()]  # 2 ** rules rows at most
     cost = {}
     for n, r in rules.items():
         began = time.perf_counter()
-        sample.agg(F.count_if(r)).collect()
+        measures(sample, text).agg(F.count_if(r)).collect()
         cost[n] = time.perf_counter() - began
+    discard(sample)
     order: list[str] = []
     while len(order) < len(rules):
         alive = [(o, k) for o, k in outcomes if not any(o[n] for n in order)]
@@ -132,8 +140,12 @@ def assess(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS)
 
 def keep(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
+    rules = base_rules() | further_rules("text")
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{text}`").alias("text"))  # names cannot clash
-    # the partition number makes the verdict nondeterministic to the optimizer, which then leaves the filter above
-    # the measures; pushed below them it would repeat their expressions many times over
-    verdict = (F.col("kept") & (F.spark_partition_id() >= 0)).alias("__kept")
-    return assess(boxed, "text", sample_rows).select("__row", verdict).where("__kept").select("__row.*")
+    left = measures(boxed).select("__row", "text", "n_words")  # most rules need the number of words
+    for name in plan(boxed.select("text"), "text", rules, sample_rows):
+        # the partition number makes the verdict nondeterministic to the optimizer, which then leaves the filter above
+        # its measures and below those of the next rule; merged, they would all be computed for every document
+        verdict = (~F.coalesce(rules[name], F.lit(False)) & (F.spark_partition_id() >= 0)).alias("__passed")
+        left = measures(left, "text", ["n_words"]).select("__row", "text", "n_words", verdict).where("__passed").select("__row", "text", "n_words")
+    return left.select("__row.*")
