@@ -9,7 +9,8 @@ The vocabulary file is one of the tokenizers library's JSON files with a BPE mod
 that marks word ends; its path is a parameter. Texts are normalised as it says (NFC,
 white space, lower case by character), special tokens in a text are their own ids.
 White space separates, so a text is encoded chunk by chunk, and a bounded cache keeps
-the ids of frequent chunks. Null texts count as empty and have no ids.
+the ids of frequent chunks. Null texts count as empty and have no ids. Texts of any length are encoded whole.
+Repeated rows and other columns stay; a column named like the new one is replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations

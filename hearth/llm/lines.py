@@ -19,7 +19,9 @@ Linked lines form classes. Of a class with at least ``min_count`` occurrences th
 stays (smallest id, nulls last, then text and line number); the others are removed.
 Equal lines form a class whatever their length; lines shorter than ``min_chars`` are not
 joined with others by edits. Blank lines are left alone. Null texts have no lines. Repeated
-rows (same id and text) are one document and are treated alike.
+rows (same id and text) are one document and are treated alike. Lines of any length are compared whole. ``remove``
+keeps other columns, but for ones named like those that it adds, which are replaced; ``clean`` keeps all. An
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -207,7 +209,7 @@ def remove(
     out = joined.select("r", "text", F.coalesce("dups", F.array().cast(dups.schema["dups"].dataType)).alias("dups")).withColumn("__l", F.split("text", "\n"))
     out = out.withColumn("__gone", F.transform(F.filter("dups", lambda d: ~d["is_first"]), lambda d: d["line"]))
     kept = F.array_join(F.filter("__l", lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    others = [F.col("r")[c].alias(c) for c in docs.columns if c != text_col]
+    others = [F.col("r")[c].alias(c) for c in docs.columns if c not in (text_col, "dups", "n_lines", "n_removed", "removed_chars")]
     return out.select(
         *others, F.when(F.size("__gone") == 0, F.col("r")[text_col]).otherwise(kept).alias(text_col), "dups",
         F.size("__l").alias("n_lines"), F.size("__gone").alias("n_removed"),

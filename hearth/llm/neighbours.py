@@ -17,7 +17,8 @@ rows, as the stated query set does.
 
 Vectors that are null, empty or zero, or that hold a null or a number that is not
 finite, take no part, nor do rows without an id. Rows of the query's own id are
-the query's own. Vectors of different length are not compared. Ties go to the smaller id.
+the query's own. Vectors of different length are not compared. Ties go to the smaller id. A row that
+repeats, id and vector, counts once. Only the named columns are read, so other columns cannot clash. An empty table has no neighbours.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ of power-of-two length, which need no padding.
 
 Every round is written to the shared folder. A task holds its open windows and one
 document; no rows are grouped by key, so no key can be hot. Null texts are empty
-and consist of the end token; repeated ids are packed as documents of their own.
+and consist of the end token; repeated rows and ids are packed as documents of their own. A very long text is
+cut into whole windows as it comes. Only the two named columns are read, so other columns cannot clash. An empty table gives no pieces.
 """
 
 from __future__ import annotations

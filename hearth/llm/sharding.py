@@ -10,7 +10,9 @@ the place of every row in the whole, in bytes and in rows. A row belongs to the
 shard in which the middle of its bytes falls, so a shard misses the ideal size by
 at most half a row at each end.
 
-Null keys come first. Rows may repeat; each keeps its place. Sizes must be at least 1.
+Null keys come first. Rows may repeat; each keeps its place. Sizes must be at least 1. Other columns stay, but for
+ones named shard or slot, which are replaced. An empty table gives an empty one; one row larger than a shard's share
+is not divided, whatever its size.
 """
 
 from __future__ import annotations
@@ -63,12 +65,12 @@ def _ranged(df: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
 
 def shard(df: DataFrame, shards: int, key: str, size: str) -> DataFrame:
     """``df`` with shard (0 to ``shards`` - 1) and slot (gapless from 0 in each shard). ``key`` is a whole number."""
-    names = df.columns
+    names = [c for c in df.columns if c not in ("shard", "slot")]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("r"), F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{size}`").cast("bigint").alias("size"))
     rows = materialize(rows.select("*", F.monotonically_increasing_id().alias("row")), "shard-rows")  # the numbers are fixed from here on
     count, total = rows.agg(F.count("*"), F.sum("size")).first()
     if not count:
-        return df.select("*", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot")).limit(0)
+        return df.select(*[F.col(f"`{c}`") for c in names], F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot")).limit(0)
     lowest = F.lit(-(1 << 63))
     keyed = rows.select(F.coalesce("k", lowest).alias("k"), "row", "size")
     ranges = max(shards * RANGES_PER_SHARD, -(-count // ROWS_PER_RANGE))

@@ -15,7 +15,8 @@ of them linked; that is exact and never forms all pairs of a group.
 
 Null texts count as empty. A text without words has fingerprint zero, one with
 fewer words than a shingle is one shingle. Repeated rows and ids are kept; a
-component is named by its smallest id that is not null.
+component is named by its smallest id that is not null. Very long texts are counted block by block, whole. Only the
+named columns are read, so other columns cannot clash. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -28,6 +28,9 @@ Classes and blocks are counted by grouping with partial sums, so a passage in a
 documents is one row in each task. No pairs are formed. Equal suffixes of a run are one entry
 of a count, the first place and a hash; their owners stay out of the merge and meet the repeated
 strings by that hash in a join. Null texts are empty; nothing is removed there.
+
+``remove`` keeps other columns, but for ones named spans or kept, which are replaced; ``clean`` keeps all. Repeated
+rows are kept, each with its text's result. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -439,7 +442,7 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
     spans = repeats(docs, text_col, length, keep_first)
     listed = materialize(spans.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
     discard(spans)
-    names = [*docs.columns]
+    names = [c for c in docs.columns if c not in ("spans", "kept")]
     at = names.index(text_col)
     keyed = _squeezed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("r") if len(names) > 1 else F.lit(0).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), _id(text_col)), "text")
     joined = keyed.join(listed, "id", "left").select("r", "text", F.coalesce("s", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))

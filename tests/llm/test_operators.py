@@ -4,14 +4,16 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from hearth.llm import bpe, html, licenses, lines, neighbours, packing, quality, sharding, simhash, suffixes
+from hearth.llm import bpe, html, licenses, lines, neighbours, packing, quality, queries, sharding, simhash, suffixes
 from hearth.llm.common import components
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -426,3 +428,72 @@ def test_pipeline_leaves_clean_documents(spark, tmp_path):
     n = len(library.encode(passage, add_special_tokens=False).ids)
     whole = [len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows if i and i >= 30]
     assert sorted(w - total[30 + i] > 0.9 * n for i, w in enumerate(whole)) == [False, True, True]
+
+
+def test_clashing_columns_are_replaced(spark):
+    rows = [(i, f"line {i % 3} of a text that repeats\nand another", "x", "x", "x", "x", "x", "x") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard string, slot string, spans string, kept string, dups string, n_lines string")
+    for got, added in (
+        (sharding.shard(docs.withColumn("size", F.lit(1)), 2, "doc_id", "size"), ["shard", "slot"]),
+        (suffixes.remove(docs, length=10), ["spans", "kept"]),
+        (lines.remove(docs), ["dups", "n_lines", "n_removed", "removed_chars"]),
+    ):
+        assert len(set(got.columns)) == len(got.columns) and got.count() == 9
+        assert all(got.schema[c].dataType.simpleString() != "string" for c in added)
+        assert got.select("doc_id").distinct().count() == 9
+
+
+@pytest.mark.parametrize("name", ["op1_packing", "op3_sharding", "op4_simhash", "op6_line_dedup", "op9_suffix_dedup", "op2_bpe"])
+def test_registered_queries_on_a_small_folder(spark, tmp_path, name, library):
+    """The queries' own columns: hashes, counts and types."""
+    rng = random.Random(2)
+    texts = ["\n".join(" ".join(rng.choices("alpha beta gamma delta epsilon zeta".split(), k=9)) for _ in range(rng.randrange(0, 6))) for _ in range(30)]
+    rows = [(i, texts[i % 30] if i % 3 else texts[0]) for i in range(60)] + [(60, None), (61, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.REGISTRY[name](spark, str(tmp_path))
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    got, text = df.collect(), {i: t or "" for i, t in rows}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    ids = {i: library.encode(t, add_special_tokens=False).ids for i, t in text.items()}
+    if name == "op1_packing":
+        assert types == {"doc_id": "bigint", "start": "bigint", "length": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint", "ids_crc32": "bigint"}
+        for r in got:
+            own = [*ids[r.doc_id], 2]
+            assert r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(np.array(own[r.start : r.start + r.length], "<u4").tobytes())
+        assert sum(r.length for r in got) == sum(len(x) + 1 for x in ids.values())
+    elif name == "op2_bpe":
+        assert types == {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+        for r in got:
+            own = ids[r.doc_id]
+            assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(own), sha(" ".join(map(str, own)).encode()), sha(library.decode(own, skip_special_tokens=False).encode()))
+        assert len(got) == 62
+    elif name == "op3_sharding":
+        assert types == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
+        assert {r.doc_id: (r["size"], r.text_crc32, r.law, r.grown_shard) for r in got} == {i: (len(t.encode()) + 1, zlib.crc32(t.encode()) if i != 60 else r60(got), "bytes", None) for i, t in text.items()}
+    elif name == "op4_simhash":
+        assert types == {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}
+        assert {r.doc_id: r.fingerprint for r in got} == {i: f"{simhash.fingerprint(t) & (1 << 64) - 1:016x}" for i, t in text.items()}
+    elif name == "op6_line_dedup":
+        seen, want = {}, {}
+        for i, t in sorted(text.items()):  # all lines are equal or far apart, or within one edit of none
+            keep, gone = [], []
+            for k, x in enumerate(t.split("\n")):
+                (gone if x.strip() and x in seen else keep).append(k)
+                seen.setdefault(x, (i, k))
+            want[i] = (t.count("\n") + 1, gone, sha("\n".join(t.split("\n")[k] for k in keep).encode()) if gone else sha(t.encode()))
+        assert {r.doc_id: (r.n_lines, list(r.removed_lines), r.kept_sha256) for r in got} == want and types["n_removed"] == types["n_lines"] == "bigint"
+    else:
+        assert types == {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}
+        data, starts = {i: t.encode() for i, t in text.items()}, collections.Counter()
+        for t in data.values():
+            starts.update(t[k : k + 400] for k in range(len(t) - 399))
+        for r in got:
+            t = data[r.doc_id]
+            gone = {j for k in range(len(t) - 399) if starts[t[k : k + 400]] > 1 for j in range(k, k + 400)}
+            left = bytes(c for j, c in enumerate(t) if j not in gone)
+            spans = sum(j in gone and j - 1 not in gone for j in range(len(t)))
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(t), len(gone), spans, sha(left))
+
+
+def r60(rows):
+    return next(r.text_crc32 for r in rows if r.doc_id == 60)  # a null text has no bytes to hash
