@@ -134,3 +134,16 @@ def test_calendar_filters_prune_the_years_of_a_stored_fact(spark, tmp_path):
     same = conform.star_join(facts, geo, calendar).where("year = 1996 AND quarter = 2")
     key = lambda df: sorted((r.geo_id, r.date_id, r.bedroom_type, r.monthly_rent) for r in df.collect())
     assert key(joined) == key(same) and joined.count() > 0
+
+
+def test_entry_survives_a_missing_package_of_an_optional_module(monkeypatch):
+    import sys
+    import warnings
+
+    for name in [n for n in sys.modules if n.startswith("hearth.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)  # as if it were not installed
+    with warnings.catch_warnings(record=True):
+        warnings.simplefilter("always")
+        left = entry.queries()
+    assert set(left) == set(q.REGISTRY) and set(entry.oracle_sql()) <= set(left)
