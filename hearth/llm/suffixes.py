@@ -282,9 +282,10 @@ def _squeezed(df: DataFrame, text_col: str) -> DataFrame:
     def make():
         pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
 
-        def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            z = [None if x is None else pack(x.encode("utf-8", "surrogatepass")) for x in b.column(at).to_pylist()]
-            return pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(z, pa.binary()), *b.columns[at + 1 :]], names=names)
+        def step(batch: pa.RecordBatch):
+            for b in slices(batch, at):
+                z = [None if x is None else pack(x.encode("utf-8", "surrogatepass")) for x in b.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(z, pa.binary()), *b.columns[at + 1 :]], names=names)
 
         return step
 
@@ -483,9 +484,10 @@ def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
     done = remove(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, keep_first=True)  # names cannot clash
 
     def make():
-        def step(b: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
-            return pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+        def step(batch: pa.RecordBatch):
+            for b in slices(batch, 1):
+                texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
         return step
 
