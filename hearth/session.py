@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,25 +49,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/hearth/{name}-{uuid.uuid4().hex[:12]}"
 
 
-#: Shuffle files go when the job that wrote them has ended; else they stay until the driver happens to collect its garbage.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While an intermediate table is written: its job's shuffle files go with the job's end (else they stay until the driver happens
+#: to collect its garbage), and Python workers get rows, whole texts among them, in small batches.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
+@contextmanager
+def _writing(spark: SparkSession):
+    before = {k: spark.conf.get(k) for k in WRITING}
+    try:
+        for k, v in WRITING.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to scratch and read it back.
 
     Cuts lineage at a table that survives the loss of executors, and keeps a
-    frame that is used several times from being computed several times. The job's
-    shuffle files are deleted with its end.
+    frame that is used several times from being computed several times.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _writing(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -84,5 +96,7 @@ def discard(*frames: DataFrame) -> None:
 
 def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Materialize independent frames, their jobs running side by side."""
-    with ThreadPoolExecutor(len(frames)) as pool:
+    if not frames:
+        return {}
+    with _writing(next(iter(frames.values())).sparkSession), ThreadPoolExecutor(len(frames)) as pool:
         return dict(zip(frames, pool.map(materialize, frames.values(), frames.keys())))
