@@ -23,6 +23,8 @@ from hearth.operators.upsert import delete, list_paths, path_exists, upsert
 
 #: Folder of the manifest rows below the warehouse. A row appears whole, as the one file of its write.
 MANIFEST = "versions"
+#: Names of the columns that tables are only stored by end so.
+PART = "_part"
 _ROW = "version bigint, tables map<string, array<string>>"
 
 
@@ -38,17 +40,18 @@ def current(spark: SparkSession, warehouse: str) -> tuple[int, dict[str, list[st
     return newest[0] or 0, {k: list(v) for k, v in (newest[1] or {}).items()}
 
 
-def read(spark: SparkSession, warehouse: str, name: str, schema=None) -> DataFrame:
-    """A table as the newest version has it."""
+def read(spark: SparkSession, warehouse: str, name: str, schema=None, stored: bool = False) -> DataFrame:
+    """A table as the newest version has it; with ``stored``, also the columns that it is only stored by."""
     _, tables = current(spark, warehouse)
     if name not in tables:
         raise FileNotFoundError(f"{warehouse} has no table {name}")
-    return _open(spark, warehouse, tables[name], schema)
+    return _open(spark, warehouse, tables[name], schema, stored)
 
 
-def _open(spark: SparkSession, warehouse: str, folders: Sequence[str], schema=None) -> DataFrame:
+def _open(spark: SparkSession, warehouse: str, folders: Sequence[str], schema=None, stored: bool = False) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*[f"{warehouse}/{f}" for f in folders])
+    df = reader.parquet(*[f"{warehouse}/{f}" for f in folders])
+    return df if stored else df.drop(*[c for c in df.columns if c.endswith(PART)])
 
 
 @dataclass
@@ -69,7 +72,7 @@ class Draft:
         return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
     def write(self, name: str, df: DataFrame, part: Sequence[str] = ()) -> DataFrame:
-        """Replace a table as a whole, stored by the columns in ``part``; ``df`` may read the table's own current version."""
+        """Replace a table as a whole, stored by the columns in ``part``, whose names end in ``PART``; ``df`` may read the table's own current version."""
         folder = self._fresh(name)
         counted, seen = self._counted(df, name)
         writer = counted.hint("rebalance", *part).write.partitionBy(*part) if part else counted.write
@@ -81,7 +84,7 @@ class Draft:
     def merge(self, name: str, df: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
         """Upsert the rows of ``df`` by ``keys``, of which ``part`` is one; only its values that ``df`` has are written."""
         values = [r[0] for r in df.select(F.col(part).cast("string")).distinct().collect()]  # one a partition
-        label = f"{part}_part"
+        label = f"{part}{PART}"
         touched = {f"{label}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in values}
         old = self.tables.get(name, [])
         kept = [f for f in old if f.rsplit("/", 1)[1].startswith(f"{label}=") and f.rsplit("/", 1)[1] not in touched]

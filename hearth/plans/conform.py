@@ -94,15 +94,20 @@ def fact_fmr(staged: DataFrame) -> DataFrame:
     return schemas.conform(staged, schemas.FACT_FMR)
 
 
+YEAR = "year_part"
+
+
 def by_year(fact: DataFrame) -> DataFrame:
     """A dated fact with the year of its days, by which it is stored."""
-    return fact.withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+    return fact.withColumn(YEAR, F.floor(F.col("date_id") / 10000).cast("int"))
 
 
 def star_join(fact: DataFrame, geography: DataFrame, calendar: DataFrame) -> DataFrame:
     """Fact rows with the columns of both dimensions; rows without a match drop out.
 
-    Of a fact that is stored by year, only the years are read that what is left of the calendar has.
+    Of a fact read with the year that it is stored by, only the years are read that what is left of the calendar has.
     """
-    days = calendar.withColumn("year", F.col("year").cast("int")) if "year" in fact.columns else calendar
-    return fact.join(geography, ["geo_id"]).join(days, ["date_id", "year"] if "year" in fact.columns else ["date_id"])
+    placed = fact.join(geography, ["geo_id"])
+    if YEAR not in fact.columns:
+        return placed.join(calendar, ["date_id"])
+    return placed.join(calendar.withColumn(YEAR, F.col("year").cast("int")), ["date_id", YEAR]).drop(YEAR)

@@ -160,7 +160,7 @@ def run(spark: SparkSession, landing: str, warehouse: str, load_date: date, **op
         if name == "fact_hud_fmr":
             return draft.merge(name, df, ["entity_id", "fmr_year"], "fmr_year"), draft.rows[name]
         if name in BY_YEAR:
-            return draft.write(name, conform.by_year(df), part=["year"]), draft.rows[name]
+            return draft.write(name, conform.by_year(df), part=[conform.YEAR]), draft.rows[name]
         return draft.write(name, df), draft.rows[name]
 
     for name in SOURCES:
