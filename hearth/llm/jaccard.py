@@ -278,6 +278,27 @@ def _by_rare(left: DataFrame, texts: DataFrame, size: int, similarity: tuple[int
     return rows.select(F.explode("grams").alias("gram"), "node", "n")
 
 
+def near_pairs(us: np.ndarray, vs: np.ndarray, n: np.ndarray, root: np.ndarray, sketches: list[bytes], similarity: tuple[int, int]) -> list[tuple[int, int]]:
+    """The pairs (of ``us``, of ``vs``: row numbers) of different components whose sizes fit and whose sketches are near enough."""
+    a, b = similarity
+    width = np.array([len(z) // 8 for z in sketches])
+    out: list[tuple[int, int]] = []
+    for wu in np.unique(width[us]):
+        for wv in np.unique(width[vs]):
+            w = int(min(wu, wv))
+            rows, cols = us[width[us] == wu], vs[width[vs] == wv]
+            folded = [np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches[i] for i in part), np.uint64).reshape(len(part), -1, w), axis=1) for part in (rows, cols)]
+            step = max(1, (1 << 20) // (len(cols) * w))  # bounds the table of differences
+            for at in range(0, len(rows), step):
+                r = rows[at : at + step]
+                apart_by = np.bitwise_count(folded[0][at : at + step, None, :] ^ folded[1][None, :, :]).sum(axis=2, dtype=np.int64)
+                nu, nv = n[r][:, None], n[cols][None, :]
+                near = (apart_by <= (nu + nv) * (b - a) // (a + b)) & (np.minimum(nu, nv) * b >= np.maximum(nu, nv) * a) & (root[r][:, None] != root[cols][None, :])
+                i, j = np.nonzero(near)
+                out += zip(r[i].tolist(), cols[j].tolist(), strict=True)
+    return out
+
+
 def _blocks(groups: DataFrame, key: str, nodes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs of different components in large groups, compared block by block; only those with near sketches are returned."""
     dealt = groups.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -287,12 +308,13 @@ def _blocks(groups: DataFrame, key: str, nodes: DataFrame, similarity: tuple[int
     meets = meets.select(key, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("x"), "node", "n", "root", "sketch")
 
     def compare(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_pylist() for c in ("x", "node", "n", "root", "sketch")}
-        same = not any(cols["x"])
-        rows = list(zip(*cols.values(), strict=True))
-        us, vs = (rows, rows) if same else ([r for r in rows if not r[0]], [r for r in rows if r[0]])
-        found = [(u[1], v[1]) for u in us for v in vs if u[3] != v[3] and (u[1] < v[1] or not same) and min(u[2], v[2]) * similarity[1] >= max(u[2], v[2]) * similarity[0] and apart(u[4], v[4]) <= most_apart(u[2], v[2], similarity)]
-        return pa.table({"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
+        x, node, n, root = (table.column(c).to_numpy() for c in ("x", "node", "n", "root"))
+        sketches = table.column("sketch").to_pylist()
+        same = not x.any()
+        first, second = (np.arange(len(x)),) * 2 if same else (np.flatnonzero(x == 0), np.flatnonzero(x == 1))
+        found = [p for p in near_pairs(first, second, n, root, sketches, similarity) if not same or p[0] < p[1]]
+        a, b = (np.array([node[p[i]] for p in found], np.int64) for i in (0, 1))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return meets.groupBy(key, "i", "j").applyInArrow(compare, "a bigint, b bigint")
 

@@ -269,3 +269,18 @@ def test_sketches_bound_the_distance_and_share_a_part(seed):
                 assert s == t or set(jaccard.signatures(u).tolist()) & set(jaccard.signatures(v).tolist())
             else:
                 assert not jaccard.similar(u, v)
+
+
+def test_near_pairs_of_blocks_are_those_found_one_by_one():
+    rng = random.Random(4)
+    sets = []
+    for _ in range(6):
+        base = [rng.getrandbits(64) for _ in range(rng.choice([9, 60, 63, 66, 130, 700]))]
+        for _ in range(12):
+            sets.append(np.array(sorted({x if rng.random() < 0.95 else rng.getrandbits(64) for x in base}), np.uint64))
+    n, root = np.array([len(s) for s in sets]), np.array([rng.randrange(30) for _ in sets])
+    sketches = [jaccard.sketch(s) for s in sets]
+    us, vs = np.arange(0, len(sets), 2), np.arange(1, len(sets), 3)
+    want = {(u, v) for u in us for v in vs if root[u] != root[v] and 10 * min(n[u], n[v]) >= 9 * max(n[u], n[v]) and jaccard.apart(sketches[u], sketches[v]) <= jaccard.most_apart(int(n[u]), int(n[v]))}
+    got = jaccard.near_pairs(us, vs, n, root, sketches, (9, 10))
+    assert len(got) == len(set(got)) and set(got) == want and len(want) >= 20
