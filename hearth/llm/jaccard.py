@@ -10,7 +10,7 @@ similar only if those are few (a nineteenth of both sizes for a similarity of 0.
    bits, which others share by chance; at least one part of a similar pair is equal and filed by both.
 2. Equal parts meet in an equality join. First every set is compared with the smallest set of
    its part only. Parts whose sets have not become one component by that go on: all pairs
-   of different components in parts of up to ``PAIR_LIMIT`` sets, a few more common partners in larger ones.
+   of different components in parts of up to ``PAIR_LIMIT`` sets, another common partner in larger ones.
 3. Sets of large parts that are still apart (documents that share most of their text, but not enough) are filed
    by their rarest n-grams, of which similar sets share one (prefix filter). N-grams with more than
    ``PAIR_LIMIT`` of them are compared in blocks, which return only the pairs whose sketches are near.
@@ -47,8 +47,6 @@ PART_BITS = 1024
 BAND = (4, 3)
 SLACK = 10
 PAIR_LIMIT = 16
-#: Common partners with which the sets of a large part are compared, one after the other.
-PIVOTS = 2
 #: Sets (expected number) whose n-grams are known to be common in step 3, and how many. They set the order only.
 SAMPLE_ROWS = 5000
 COMMON = 100000
@@ -346,24 +344,21 @@ def links(table: DataFrame, texts_of, size: int = SHINGLE, similarity: tuple[int
     groups = apart_still(filed, roots, "sig")
     found = found.unionByName(check(_pairs(groups, "sig", similarity, pair_limit)))
     large = groups.where(F.col("c") > pair_limit)
-    for i in range(PIVOTS):
-        if large.isEmpty():
-            break
-        pivot = large.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("x"), "node", "n", "root")).alias("p"))
-        stars = large.join(pivot, "sig").where((F.col("root") != F.col("p.root")) & _fits("n", "p.n", similarity)).select(*_ordered("node", "p.node"))
-        found = found.unionByName(check(stars))
-        roots = joined(found)
-        large = _apart_still(large, roots, "sig")
     if not large.isEmpty():
-        rare = materialize(_by_rare(large.select("node").distinct(), texts, size, similarity), "ngram-rare")
-        groups = apart_still(rare, roots, "gram", 2)
-        found = found.unionByName(check(_pairs(groups, "gram", similarity, pair_limit)))
+        pivot = large.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node").alias("x"), "node", "n", "root")).alias("p"))
+        again = large.join(pivot, "sig").where((F.col("root") != F.col("p.root")) & _fits("n", "p.n", similarity)).select(*_ordered("node", "p.node"))
+        found = found.unionByName(check(again))
         roots = joined(found)
-        large = _apart_still(groups.where(F.col("c") > pair_limit), roots, "gram")
+        large = _apart_still(large, roots, "sig")
         if not large.isEmpty():
-            found = found.unionByName(check(_blocks(large, "gram", nodes, similarity)))
+            rare = materialize(_by_rare(large.select("node").distinct(), texts, size, similarity), "ngram-rare")
+            grams = apart_still(rare, roots, "gram", 2)
+            blocks = _blocks(grams.where(F.col("c") > pair_limit), "gram", nodes, similarity)
+            found = found.unionByName(check(_pairs(grams, "gram", similarity, pair_limit).union(blocks)))
+            discard(grams)
+        discard(large)
     out = joined(found)
-    discard(nodes, texts, groups, large)
+    discard(nodes, texts, groups)
     return out
 
 
