@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.common import components, discard, map_batches, materialize, slices
+from hearth.operators.lookup import join_per_key
 
 THRESHOLD = 1
 #: Lines of fewer characters are joined only when equal: one edit is a large part of them.
@@ -196,7 +197,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h", "no")
     first = placed.groupBy("class").agg(F.count("*").alias("n"), F.min(order).alias("f")).where(F.col("n") >= max(2, min_count))
     dup = F.struct(F.col("no").alias("line"), F.col("f.id").alias("first_id"), F.col("f.no").alias("first_line"), (order == F.col("f")).alias("is_first"))
-    return placed.join(first, "class").groupBy("id", "h").agg(F.sort_array(F.collect_set(dup)).alias("dups"))  # bounded by the document's lines
+    met = join_per_key(placed, first, ["class"], ["h", "no"]).where("n IS NOT NULL")  # a class that holds much of all lines is spread
+    return met.groupBy("id", "h").agg(F.sort_array(F.collect_set(dup)).alias("dups"))  # bounded by the document's lines
 
 
 def remove(
