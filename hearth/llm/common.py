@@ -59,9 +59,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
-def _successor(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
-    """``new`` as a written table; ``old``, from which it was made, is deleted."""
-    out = materialize(new, name)
+#: Links that one file holds at least, if there are as many.
+LINKS_PER_FILE = 200_000
+
+
+def _successor(old: DataFrame, new: DataFrame, name: str, rows: int) -> DataFrame:
+    """``new`` (of about ``rows`` rows) as a written table, few links in few files; ``old``, from which it was made, is deleted."""
+    out = materialize(new.coalesce(1 + rows // LINKS_PER_FILE), name)
     discard(old)
     return out
 
@@ -85,11 +89,11 @@ def components(edges: DataFrame, name: str = "component") -> DataFrame:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        e = _successor(e, large, name)
+        e = _successor(e, large, name, last[0])
         # small star: a node and its smaller neighbours hang on the smallest of them
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         small = e.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        e = _successor(e, small.distinct(), name)
+        e = _successor(e, small.distinct(), name, last[0])
         now = state(e)
         if now == last:
             break
