@@ -77,7 +77,8 @@ def src_wide_rent(spark, sf):
     """Two files that share some months, the older one outdated there, behind a candidate that is absent and one that cannot be read."""
     rents = t.rent(spark, sf).filter(F.col("bedroom_type") == ALL_HOMES)
     folder = scratch_path(spark, "rent_files")
-    for name, part in zip(("rent_1", "rent_2"), landed.overlapping(landed.wide(spark, sf, rents, "monthly_rent")), strict=True):
+    table = materialize(landed.wide(spark, sf, rents, "monthly_rent"), "wide_rent")
+    for name, part in zip(("rent_1", "rent_2"), landed.overlapping(table), strict=True):
         part.write.option("header", True).csv(f"{folder}/{name}")
     t.read(spark, sf, "region").select("r_name").write.option("header", True).csv(f"{folder}/other")
     raw = wide.read_wide(spark, [f"{folder}/absent*", f"{folder}/other*", f"{folder}/rent_*"])
