@@ -492,5 +492,6 @@ def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> Data
         return step
 
     some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
-    left = map_batches(done.where(some), make, fields(done.schema["row"], "text string"))
+    # written here, where Python workers get small batches: passing whole texts and what is left of them takes memory
+    left = materialize(map_batches(done.where(some), make, fields(done.schema["row"], "text string")), "suffix-clean")
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
