@@ -55,6 +55,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
         for b in batches:
             out = step(b)
             yield from [out] if isinstance(out, pa.RecordBatch) else out
+        pa.default_memory_pool().release_unused()  # a worker waits for its next task with what it holds
 
     return df.mapInArrow(run, schema)
 

@@ -440,6 +440,12 @@ def _suffixes(length: int, width: int):
 
 def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """``docs`` with spans (array of start, end: the maximal removed runs, in bytes) and kept (binary, the remaining bytes)."""
+    done, others = _removed(docs, text_col, length, keep_first)
+    return done.select(*others, "spans", "kept")
+
+
+def _removed(docs: DataFrame, text_col: str, length: int, keep_first: bool) -> tuple[DataFrame, list[Column]]:
+    """(r, text, spans, kept, left) of every row, ``left`` being kept as text without characters that were cut; and the columns of ``docs``."""
     spans = repeats(docs, text_col, length, keep_first)
     listed = materialize(spans.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
     discard(spans)
@@ -452,7 +458,7 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
         unpack = zstandard.ZstdDecompressor().decompress
 
         def step(b: pa.RecordBatch):
-            texts, spans, kept = [], [], []
+            texts, spans, kept, left = [], [], [], []
             for z, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 data, runs = b"" if z is None else unpack(z), []
                 texts.append(None if z is None else data)
@@ -464,13 +470,14 @@ def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_f
                 spans.append([{"start": a, "end": z} for a, z in runs])
                 edges = [0, *(e for r in runs for e in r), len(data)]
                 kept.append(b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
+                left.append(kept[-1].decode("utf-8", "ignore").encode() if runs else None if z is None else data)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["r", "text", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(left, pa.binary()).cast(pa.string())], names=["r", "text", "spans", "kept", "left"])
 
         return step
 
-    done = map_batches(joined, make, fields(joined.schema["r"], "text string, spans array<struct<start:int,end:int>>, kept binary"))
-    return done.select(*[F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names)], "spans", "kept")
+    done = map_batches(joined, make, fields(joined.schema["r"], "text string, spans array<struct<start:int,end:int>>, kept binary, left string"))
+    return done, [F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names)]
 
 
 def _id(text_col: str):
@@ -480,18 +487,9 @@ def _id(text_col: str):
 
 def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` without strings that occurred before, cut at whole characters, and without documents of which nothing is left."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    done = remove(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, keep_first=True)  # names cannot clash
-
-    def make():
-        def step(batch: pa.RecordBatch):
-            for b in slices(batch, 1):
-                texts = [x if not s else k.decode("utf-8", "ignore") for x, s, k in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "text"])
-
-        return step
-
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # names cannot clash
+    done, _ = _removed(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, keep_first=True)
     some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
     # written here, where Python workers get small batches: passing whole texts and what is left of them takes memory
-    left = materialize(map_batches(done.where(some), make, fields(done.schema["row"], "text string")), "suffix-clean")
+    left = materialize(done.where(some).select(F.col("r.row").alias("row"), F.col("left").alias("text")), "suffix-clean")
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
