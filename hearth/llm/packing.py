@@ -27,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.bpe import CACHE_CHUNKS, byte_alphabet, chunks, parts
+from hearth.llm.bpe import byte_alphabet, chunks, parts
 from hearth.llm.common import materialize
 
 WINDOW = 4096
 OPEN_WINDOWS = 32
 FAN_IN = 16
+#: Chunks whose ids a worker keeps for its tasks; the cache starts anew when it is full.
+CACHE_CHUNKS = 100_000
 #: Bytes of ids in finished windows that a task holds before it passes them on.
 BATCH_BYTES = 8 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, sequence_id bigint, offset bigint, open boolean"
