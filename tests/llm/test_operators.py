@@ -296,6 +296,15 @@ def test_a_run_of_two_pages_of_a_large_host_is_found(spark):
     assert all(got[3000 + i] == own(5000) for i in range(4)) and got[4000] == shared  # copies are one page, hosts are apart
 
 
+@pytest.mark.parametrize("host_tokens", [10**6, 0])
+def test_an_open_page_is_compared_with_what_marked_pages_have_around_their_text(spark, host_tokens):
+    notice, news = "this unmarked notice stands on all pages of the host", "a report that is printed on a page of its own too"
+    pages = [(i, "http://h.x/a", f"<div>{notice}</div><article><p>{news} {i}</p></article>") for i in (1, 2)]
+    pages += [(3, "http://h.x/b", f"<div>{notice}</div><main>{news} 3</main>"), (4, "http://h.x/c", f"<div>{notice}</div><p>{news} 1</p>"), (5, "http://o.x/", f"<p>{notice}</p>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string"), host_tokens=host_tokens).collect()}
+    assert got == {1: f"{news} 1", 2: f"{news} 2", 3: f"{news} 3", 4: f"{news} 1", 5: notice}
+
+
 @pytest.mark.parametrize("host_tokens", [10**6, 100, 0])
 def test_boilerplate_by_comparing_all_runs(spark, host_tokens):
     """Hosts sorted in one task, hosts too large for that, and both: the same text."""
