@@ -58,18 +58,21 @@ def segments(n: int, parts: int) -> list[tuple[int, int]]:
 def keys(line: str, threshold: int) -> tuple[list[int], list[tuple[int, bool]]]:
     """Hashes under which a line is filed, and those it looks up; the latter with whether they are of its own length."""
     n, hash_ = len(line), xxhash.xxh3_64_intdigest
+    data = line.encode("utf-8", "surrogatepass")
+    plain = len(data) == n  # characters are bytes
 
-    def of(length: int, part: int, s: str) -> int:
-        return hash_(f"{length} {part} {s}".encode("utf-8", "surrogatepass")) - (1 << 63)
+    def of(length: int, part: int, start: int, width: int) -> int:
+        s = data[start : start + width] if plain else line[start : start + width].encode("utf-8", "surrogatepass")
+        return hash_(s, length << 16 | part) - (1 << 63)
 
-    filed = [of(n, i, line[a : a + w]) for i, (a, w) in enumerate(segments(n, threshold + 1))]
+    filed = [of(n, i, a, w) for i, (a, w) in enumerate(segments(n, threshold + 1))]
     probes = []
     for length in range(max(0, n - threshold), n + 1):
         more = n - length
         for i, (a, w) in enumerate(segments(length, threshold + 1)):
             first = max(0, a - i, a + more - (threshold - i))
             last = min(n - w, a + i, a + more + (threshold - i))
-            probes += [(of(length, i, line[s : s + w]), more == 0) for s in range(first, last + 1)]
+            probes += [(filed[i] if not more and s == a else of(length, i, s, w), more == 0) for s in range(first, last + 1)]
     return filed, probes
 
 
@@ -115,6 +118,7 @@ def links(lines: DataFrame, threshold: int, pair_limit: int = PAIR_LIMIT) -> Dat
                 out: tuple[list, ...] = ([], [], [], [])
                 for lid, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     filed, probes = keys(line, threshold)
+                    probes = [p for p in probes if not (p[1] and p[0] in filed)]  # a filed row looks up its own key
                     out[0].extend(filed + [k for k, _ in probes])
                     out[1].extend([lid] * (len(filed) + len(probes)))
                     out[2].extend([True] * len(filed) + [False] * len(probes))
@@ -124,12 +128,13 @@ def links(lines: DataFrame, threshold: int, pair_limit: int = PAIR_LIMIT) -> Dat
 
         return step
 
-    every = map_batches(lines.select("lid", "line"), make, "key bigint, lid bigint, filed boolean, same boolean")
+    every = materialize(map_batches(lines.select("lid", "line"), make, "key bigint, lid bigint, filed boolean, same boolean"), "line-every")
     # only keys with a filed line and someone else's probe can link
     met = every.groupBy("key").agg(F.count_if("filed").alias("n"), F.min("lid").alias("lo"), F.max("lid").alias("hi")).where("n > 0 and lo < hi").select("key", "n")
     live = materialize(every.join(met, "key"), "line-keys")
+    discard(every)
     usual = live.where(F.col("n") <= pair_limit) if threshold == 1 else live
-    filed, probes = usual.where("filed").select("key", F.col("lid").alias("a")), usual.where("not filed").select("key", F.col("lid").alias("b"), "same")
+    filed, probes = usual.where("filed").select("key", F.col("lid").alias("a")), usual.select("key", F.col("lid").alias("b"), "same")
     pairs = filed.join(probes, "key").where((F.col("a") < F.col("b")) | (~F.col("same") & (F.col("a") != F.col("b")))).select("a", "b").distinct()
     text = lines.select("lid", "line")
     pairs = pairs.join(text.withColumnsRenamed({"lid": "a", "line": "la"}), "a").join(text.withColumnsRenamed({"lid": "b", "line": "lb"}), "b")

@@ -261,6 +261,20 @@ def test_every_line_link_is_within_the_threshold(spark, limit):
     assert all(got[i] == got[j] for i, j in want)
 
 
+def test_a_line_is_filed_and_looked_up_by_the_same_row(spark, monkeypatch):
+    seen, plain = {}, lines.materialize
+
+    def watched(df, name):
+        out = plain(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "materialize", watched)
+    rows = [(i, f"line number {i:03d} of some that differ") for i in range(50)]
+    found = lines.links(spark.createDataFrame(rows, "lid bigint, line string"), 1)
+    assert found.count() and seen["line-every"] == 4 * len(rows)  # two segments, and two of a line that is shorter by one
+
+
 def test_equal_short_lines_are_repeats(spark):
     rows = [(1, "Les.\n\nA first line of that document."), (2, "Les.\n\nLet.\nThe other one has more text."), (3, " \n\n ")]
     got = {r.doc_id: (r.text, r.n_removed) for r in lines.remove(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
