@@ -8,20 +8,23 @@ place and queues the pairs on both sides, so a word of n symbols takes O(n log n
 The vocabulary file is one of the tokenizers library's JSON files with a BPE model
 that marks word ends; its path is a parameter. Texts are normalised as it says (NFC,
 white space, lower case by character), special tokens in a text are their own ids.
-White space separates, so a text is encoded chunk by chunk, and a bounded cache keeps
-the ids of frequent chunks. Null texts count as empty and have no ids. Texts of any length are encoded whole.
+White space separates, so a text is encoded chunk by chunk and a chunk word by word, and a bounded cache keeps
+the ids of recent chunks and words. Null texts count as empty and have no ids. Texts of any length are encoded whole.
 Repeated rows and other columns stay; a column named like the new one is replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +32,7 @@ from tokenizers import Tokenizer
 
 from hearth.llm.common import fields, map_batches
 
-#: Chunks whose ids a worker keeps for its tasks; the cache starts anew when it is full.
+#: Chunks of each of the two generations whose ids a worker keeps for its tasks.
 CACHE_CHUNKS = 200_000
 
 # The split of the vocabulary file's pre-tokenizer and the byte alphabet of byte-level BPE.
@@ -53,36 +56,41 @@ def chunks(text: str) -> list[str]:
 
 
 def parts(chunk: str) -> tuple[str, ...]:
-    """Commoner chunks whose ids, one after the other, are the chunk's: lower case, and a last punctuation mark by itself.
+    """Commoner chunks whose ids, one after the other, are the chunk's: its words in lower case.
 
     Only within the Latin letters, where lower case does not depend on the neighbours.
     """
     if "<|" in chunk or len(chunk) > 64 or not (chunk.isascii() or max(chunk) < "\u0250"):
         return (chunk,)
     low = chunk.lower()
-    if len(low) > 1 and low[-1] in ".,:;!?" and low[-2].isalnum():
-        return low[:-1], low[-1]
-    return (low,)
+    return (low,) if low.isalpha() else tuple(WORDS.findall(low))
 
 
-class _Cache(dict):
-    """Ids by chunk, as bytes of 32-bit numbers; a chunk that is not there is encoded."""
+class Cache(dict):
+    """Ids by chunk, as bytes of 32-bit numbers; a chunk that is not there is encoded.
 
-    def __init__(self, encode):
+    When it holds ``size`` chunks they become the older generation, from which those that come again are taken over.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], size: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.size = encode, size
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        found = parts(chunk)
-        if found == (chunk,):
-            ids = np.array(self.encode(chunk), "<i4").tobytes()
-        else:
-            seen = found[0] in self
-            ids = self[found[0]] if len(found) == 1 else self[found[0]] + self[found[1]]
-            if not seen:
-                return ids  # only forms of a word that comes back are worth keeping
+        ids = self.older.get(chunk)
+        if ids is None:
+            found = parts(chunk)
+            if found == (chunk,):
+                ids = self.encode(chunk)
+            else:
+                seen = not found or found[0] in self or found[0] in self.older
+                ids = b"".join(map(self.__getitem__, found))
+                if not seen:
+                    return ids  # only forms of a word that comes back are worth keeping
         if len(chunk) <= 64:
-            if len(self) >= CACHE_CHUNKS:
+            if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
@@ -99,43 +107,50 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_re = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.pairs = [self.vocab[a] << 20 | self.vocab[b] for a, b in merges]  # by rank: the two ids in one number
         self.joined = [self.vocab[a + b] for a, b in merges]
-        self.ranks = {p: i for i, p in enumerate(self.pairs)}
+        self.ranks = {self.vocab[a] << 20 | self.vocab[b]: i for i, (a, b) in enumerate(merges)}  # the two ids in one number
         marks, end = byte_alphabet(), model["end_of_word_suffix"] or ""
         self.first, self.final = [self.vocab[m] for m in marks], [self.vocab[m + end] for m in marks]
         strings = self.vocab | self.special
         self.strings = [""] * (max(strings.values()) + 1)
         for s, i in strings.items():
             self.strings[i] = s
-        self.cache = _Cache(self.chunk)
+        self.cache = Cache(lambda chunk: np.array(self.chunk(chunk), "<i4").tobytes(), CACHE_CHUNKS)
         self.library = Tokenizer.from_file(path)
 
     def word(self, word: str) -> list[int]:
         """Ids of one word: merges by rank over a linked list of symbols."""
         data = word.encode("utf-8", "surrogatepass")
-        ids = [self.first[b] for b in data]
+        ids = list(map(self.first.__getitem__, data))
         ids[-1] = self.final[data[-1]]
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        rank, pairs, joined = self.ranks.get, self.pairs, self.joined
-        # an entry is a rank and the place of the left symbol in one number
-        queue = [r << 32 | i for i in range(n - 1) if (r := rank(ids[i] << 20 | ids[i + 1])) is not None]
-        heapq.heapify(queue)
+        rank, joined = self.ranks.get, self.joined
+        live = [rank(a << 20 | b) for a, b in pairwise(ids)]  # ranks of the pairs as they are now, by the place of the left symbol
+        # an entry is a rank and that place in one number
+        queue = [r << 32 | i for i, r in enumerate(live) if r is not None]
+        live.append(None)
+        heapify(queue)
         while queue:
-            entry = heapq.heappop(queue)
+            entry = heappop(queue)
             r, i = entry >> 32, entry & 0xFFFFFFFF
-            j = after[i]
-            if j < 0 or ids[i] << 20 | ids[j] != pairs[r]:
+            if live[i] != r:
                 continue  # stale
-            ids[i], ids[j] = joined[r], -1
+            j = after[i]
+            ids[i] = new = joined[r]
+            ids[j], live[j] = -1, None
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if (r := rank(ids[i] << 20 | ids[k])) is not None:
-                    heapq.heappush(queue, r << 32 | i)
-            if (h := before[i]) >= 0 and (r := rank(ids[h] << 20 | ids[i])) is not None:
-                heapq.heappush(queue, r << 32 | h)
+                live[i] = r = rank(new << 20 | ids[k])
+                if r is not None:
+                    heappush(queue, r << 32 | i)
+            else:
+                live[i] = None
+            if (h := before[i]) >= 0:
+                live[h] = r = rank(ids[h] << 20 | new)
+                if r is not None:
+                    heappush(queue, r << 32 | h)
         return [x for x in ids if x >= 0]
 
     def _plain(self, part: str) -> list[int]:
@@ -149,6 +164,8 @@ class Encoder:
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.word(chunk.lower())
         out, at = [], 0
         for m in self.special_re.finditer(chunk) if self.special_re else ():
             out += self._plain(chunk[at : m.start()]) + [self.special[m[0]]]
@@ -173,7 +190,7 @@ def _encoder(path: str) -> Encoder:
 
 
 @lru_cache(1)
-def _strings(path: str) -> list[str]:
+def _strings(path: str) -> pa.Array:
     """The vocabulary's strings by id, all that decoding needs."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -181,7 +198,7 @@ def _strings(path: str) -> list[str]:
     out = [""] * (max(strings.values()) + 1)
     for s, i in strings.items():
         out[i] = s
-    return out
+    return pa.array(out, pa.string())
 
 
 def _encoded(e: Encoder, texts: pa.Array) -> pa.Array:
@@ -190,10 +207,10 @@ def _encoded(e: Encoder, texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
 
 
-def _decoded(strings: list[str], ids: pa.Array) -> pa.Array:
-    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-    texts = [" ".join(map(strings.__getitem__, flat[a:z].tolist())) for a, z in zip([0, *ends[:-1]], ends, strict=True)]  # as the library joins them without a decoder
-    return pa.array(texts if len(ids) else [], pa.string())
+def _decoded(strings: pa.Array, ids: pa.Array) -> pa.Array:
+    ends = np.cumsum([0, *ids.value_lengths().fill_null(0).to_pylist()], dtype=np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), strings.take(ids.flatten()))
+    return pc.binary_join(lists, " ")  # as the library joins them without a decoder
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

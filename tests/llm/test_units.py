@@ -42,6 +42,14 @@ def test_ids_equal_the_library(library, encoder):
     assert encoder.encode(None) == encoder.encode("") == []
 
 
+def test_chunks_that_come_again_outlive_a_full_cache():
+    asked = []
+    cache = bpe.Cache(lambda w: asked.append(w) or w.encode(), 3)
+    for i in range(40):
+        assert cache["Often,***"] == b"often,***" and cache[f"rare{chr(97 + i % 26)}"]
+    assert asked.count("often") == asked.count(",***") == 1 and len(cache) + len(cache.older) <= 6
+
+
 def test_every_character_of_the_first_planes(library, encoder):
     for c in range(0, 0x20000, 7):
         if not 0xD800 <= c < 0xE000:
