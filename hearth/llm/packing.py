@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.bpe import byte_alphabet, chunks, parts
+from hearth.llm.bpe import Cache, byte_alphabet, chunks
 from hearth.llm.common import materialize
 
 WINDOW = 4096
 OPEN_WINDOWS = 32
 FAN_IN = 16
-#: Chunks whose ids a worker keeps for its tasks; the cache starts anew when it is full.
-CACHE_CHUNKS = 100_000
+#: Chunks of each of the two generations whose ids a worker keeps for its tasks.
+CACHE_CHUNKS = 200_000
 #: Bytes of ids in finished windows that a task holds before it passes them on.
 BATCH_BYTES = 8 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, sequence_id bigint, offset bigint, open boolean"
@@ -44,33 +44,21 @@ _TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(
 Piece = tuple[int | None, int, int, bytes]  # id, start, tokens of the document, ids as little-endian uint32
 
 
-class _ChunkIds(dict):
+class _ChunkIds(Cache):
     """Ids of a chunk of text as bytes, by the tokenizers library; bounded."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(self._library_ids, CACHE_CHUNKS)
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_alphabet()
 
-    def __missing__(self, chunk: str) -> bytes:
-        found = parts(chunk)
-        if found == (chunk,) and chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0250"):  # one word, normalised already: only the model is needed
+    def _library_ids(self, chunk: str) -> bytes:
+        if chunk.isalpha() and len(chunk) <= 64 and (chunk.isascii() or max(chunk) < "\u0250"):  # one word, normalised already: only the model is needed
             word = chunk if chunk.isascii() else "".join([self.letters[b] for b in chunk.encode()])
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-        elif found == (chunk,):
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            seen = found[0] in self
-            ids = b"".join([self[p] for p in found])
-            if not seen:
-                return ids  # only forms of a word that comes back are worth keeping
-        if len(chunk) <= 64:
-            if len(self) >= CACHE_CHUNKS:
-                self.clear()
-            self[chunk] = ids
-        return ids
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @lru_cache(1)
