@@ -52,6 +52,8 @@ SAMPLE_ROWS = 5000
 COMMON = 100000
 #: Sets of a block in step 3.
 BLOCK = 512
+#: Bits of the bitmap that keeps other texts out of a shuffle: for each text asked for, and at most (8 MB).
+BITS_EACH, MOST_BITS = 16, 1 << 26
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -174,6 +176,20 @@ def prints(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: t
     return map_batches(source, make, "id bigint, r bigint, node bigint, n bigint, sketch binary, sigs array<bigint>")
 
 
+def passing(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The ``rows`` whose ``key``, a hash, may be one of ``wanted``: all that are and a few others, for a join to drop.
+
+    Instead of every row only these need a shuffle. A bitmap of bounded size tells them, so it may go to all tasks; one that is too full lets more pass.
+    """
+    bits = min(MOST_BITS, max(1 << 15, 1 << (BITS_EACH * wanted.count()).bit_length()))
+    spot = F.pmod(F.col(key), F.lit(bits)) + 1  # these functions count from 1
+    bucket, at = F.bitmap_bucket_number(spot), F.bitmap_bit_position(spot)
+    marks = wanted.select(bucket.alias("bucket"), at.alias("at")).distinct().groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("marks"))
+    byte = F.conv(F.hex(F.substring("marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    met = rows.withColumn("bucket", bucket).join(F.broadcast(marks), "bucket")
+    return met.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def _near(pairs: DataFrame, nodes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose sketches are near enough."""
     for x in "ab":
@@ -367,7 +383,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     table = materialize(prints(docs, id_col, text_col, size, similarity), "ngram-prints")
     i, t = F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`").cast("string")
     keyed = docs.select(F.xxhash64(i, t).alias("r"), t.alias("text"))
-    texts_of = lambda nodes: keyed.join(nodes, "r").dropDuplicates(["r"]).select("node", "text")  # noqa: E731  repeated rows have the same r
+    texts_of = lambda nodes: passing(keyed, nodes, "r").join(nodes, "r").dropDuplicates(["r"]).select("node", "text")  # noqa: E731  repeated rows have the same r
     roots = links(table, texts_of, size, similarity, pair_limit)
     linked = table.select("id", "n", "node").join(roots, "node", "left").withColumn("root", F.when(F.col("n") > 0, F.coalesce("root", "node")))
     lows = linked.where("n > 0").groupBy("root").agg(F.min("id").alias("low"))

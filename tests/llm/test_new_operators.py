@@ -284,3 +284,25 @@ def test_near_pairs_of_blocks_are_those_found_one_by_one():
     want = {(u, v) for u in us for v in vs if root[u] != root[v] and 10 * min(n[u], n[v]) >= 9 * max(n[u], n[v]) and jaccard.apart(sketches[u], sketches[v]) <= jaccard.most_apart(int(n[u]), int(n[v]))}
     got = jaccard.near_pairs(us, vs, n, root, sketches, (9, 10))
     assert len(got) == len(set(got)) and set(got) == want and len(want) >= 20
+
+
+def test_texts_of_others_stay_out_of_the_join(spark, monkeypatch):
+    rows = spark.range(-20000, 20000).selectExpr("xxhash64(id) r", "id text")
+    wanted = spark.range(50, 1050).selectExpr("xxhash64(id) r")
+    asked = {r.r for r in wanted.collect()}
+    got = jaccard.passing(rows, wanted, "r").collect()
+    assert asked <= {r.r for r in got} and 1000 <= len(got) < 1000 + 39000 // 8
+    assert jaccard.passing(rows, wanted.limit(0), "r").count() == 0
+    monkeypatch.setattr(jaccard, "MOST_BITS", 64)  # a bitmap that is too full still loses none
+    assert asked <= {r.r for r in jaccard.passing(rows, wanted, "r").collect()}
+
+
+def test_ngram_join_sends_few_texts_through_the_shuffle(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnopqrst", k=40))) for i in range(900)]
+    rows += [(900 + i, f"{rows[i][1]} z") for i in range(40)]
+    joined, plain = [], jaccard.passing
+    monkeypatch.setattr(jaccard, "passing", lambda *a: joined.append(plain(*a).count()) or plain(*a))
+    got = {r.id: r.component_id for r in jaccard.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: c for i, _, c in components_by_pairs(rows)}
+    assert len(joined) == 1 and 80 <= joined[0] < 300
