@@ -49,6 +49,8 @@ from hearth.llm.common import discard, fields, map_batches, materialize, slices
 LENGTH = 400
 #: Bytes of a text whose k-grams are hashed at once; parts by which a range of starts is cut, in turn.
 STRETCH = 1 << 18
+#: Bytes of short texts that are scanned as one.
+TOGETHER = 1 << 16
 PARTS = (2, 4, 4, 2)
 #: Suffixes in a sorted run, suffixes in a merge range, and sampled suffixes for each range.
 RUN = 20_000
@@ -83,11 +85,20 @@ class Hashes:
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.p = _powers.upto(n + 1)
-        self.sums = [np.concatenate(([np.uint64(0)], np.cumsum(_RANDOM[i][data] * self.p.up[i][:n], dtype=np.uint64))) for i in (0, 1)]
+        self.sums, at = [], data.astype(np.intp)
+        for i in (0, 1):
+            s = np.empty(n + 1, np.uint64)
+            s[0], rest = 0, s[1:]
+            np.take(_RANDOM[i], at, out=rest, mode="clip")
+            rest *= self.p.up[i][:n]
+            np.cumsum(rest, out=rest)
+            self.sums.append(s)
 
     def of(self, start, end, which: int) -> np.ndarray:
+        """Hashes of the substrings from ``start`` to ``end``, both arrays or slices."""
         s = self.sums[which]
-        h = (s[end] - s[start]) * self.p.down[which][start]
+        h = s[end] - s[start]
+        h *= self.p.down[which][start]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         return h ^ (h >> np.uint64(32))
@@ -99,6 +110,17 @@ def reach_of(length: int) -> tuple[int, int]:
     return k, length - k
 
 
+def _lowest(grams: np.ndarray, w: int) -> np.ndarray:
+    """The place of the lowest value of each window of ``w`` hashes, the leftmost of equal ones."""
+    mask = np.uint64((1 << 22) - 1)
+    value = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
+    padded = np.concatenate((value, np.full(-len(value) % w, np.iinfo(np.uint64).max))).reshape(-1, w)
+    ahead = np.minimum.accumulate(padded, axis=1).ravel()
+    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
+    starts = len(grams) - w + 1
+    return (np.minimum(behind[:starts], ahead[w - 1 : w - 1 + starts]) & mask).astype(np.int64)
+
+
 def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(pos, left, right, gram, c1, c2) arrays: anchors of a text, the bytes at hand on each side, and hashes."""
     k, reach = reach_of(length)
@@ -108,16 +130,8 @@ def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         data = np.frombuffer(text, np.uint8, high - low, low)
         hashes = Hashes(data)
         first, stop = at - low, min(at + STRETCH, n - length + 1) - low  # starts of strings
-        grams = hashes.of(np.arange(first, stop + reach), np.arange(first, stop + reach) + k, 0)
-        index = np.arange(len(grams), dtype=np.uint64)
-        mask = np.uint64((1 << 22) - 1)
-        value = (grams & ~mask) | index  # the leftmost of equal ones
-        w = reach + 1
-        padded = np.concatenate((value, np.full(-len(value) % w, np.iinfo(np.uint64).max))).reshape(-1, w)
-        ahead = np.minimum.accumulate(padded, axis=1).ravel()
-        behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-        starts = stop - first
-        place = (np.minimum(behind[:starts], ahead[reach : reach + starts]) & mask).astype(np.int64)
+        grams = hashes.of(slice(first, stop + reach), slice(first + k, stop + reach + k), 0)
+        place = _lowest(grams, reach + 1)
         place = place[np.concatenate(([True], place[1:] != place[:-1]))] + first
         place = place[place + low > last]
         if len(place):
@@ -126,6 +140,41 @@ def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
             yield place + low, left, right, grams[place - first], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1) ^ (left * 65536 + right).astype(np.uint64)
 
 
+def anchors_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """What ``anchors`` finds in each text, after the text's number; short texts are scanned together."""
+    some: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        if len(t) < TOGETHER:
+            some.append(i)
+            size += len(t)
+        else:
+            for a in anchors(t, length):
+                yield np.full(len(a[0]), i), *a
+        if some and (size >= TOGETHER or i == len(texts) - 1):
+            yield from _together(np.array(some), [texts[j] for j in some], length)
+            some, size = [], 0
+
+
+def _together(number: np.ndarray, texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    k, reach = reach_of(length)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    n, starts = len(data), len(data) - length + 1
+    inside = np.arange(length, n + 1) <= np.repeat(ends, sizes)[: max(0, starts)]  # strings that lie in one text
+    if not inside.any():
+        return
+    hashes = Hashes(data)
+    grams = hashes.of(slice(0, n - k + 1), slice(k, n + 1), 0)
+    place = _lowest(grams, reach + 1)[inside]
+    place = place[np.concatenate(([True], place[1:] != place[:-1]))]
+    of = np.searchsorted(ends, place, "right")
+    pos = place - (ends - sizes)[of]
+    left, right = np.minimum(pos, reach), np.minimum(ends[of] - place, length)
+    yield number[of], pos, left, right, grams[place], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1) ^ (left * 65536 + right).astype(np.uint64)
+
+
 def common(a: bytes, b: bytes, start: int) -> int:
     """Length of the common prefix, of which ``start`` bytes are known."""
     end = min(len(a), len(b))
@@ -280,7 +329,7 @@ def _squeezed(df: DataFrame, text_col: str) -> DataFrame:
     at, names = df.columns.index(text_col), df.columns
 
     def make():
-        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+        pack = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
 
         def step(batch: pa.RecordBatch):
             for b in slices(batch, at):
@@ -309,14 +358,10 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
     def scan():
         def step(batch: pa.RecordBatch):
             for b in slices(batch, 1):
-                ids, cols = [], []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    for a in anchors(t.encode("utf-8", "surrogatepass"), length):
-                        ids += [i] * len(a[0])
-                        cols.append(a)
+                cols = list(anchors_of([t.encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()], length))
                 if cols:
-                    p, le, ri, g, c, d = (np.concatenate(x) for x in zip(*cols, strict=True))
-                    arrays = [pa.array(ids, pa.binary()), *(pa.array(x.astype(np.int32)) for x in (p, le, ri)), *(pa.array(x.view(np.int64)) for x in (g, c, d))]
+                    i, p, le, ri, g, c, d = (np.concatenate(x) for x in zip(*cols, strict=True))
+                    arrays = [b.column(0).take(pa.array(i)), *(pa.array(x.astype(np.int32)) for x in (p, le, ri)), *(pa.array(x.view(np.int64)) for x in (g, c, d))]
                     yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "g", "c", "d"])
 
         return step

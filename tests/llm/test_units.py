@@ -186,3 +186,17 @@ def test_estimates_keep_to_their_bounds():
     est, err = neighbours.estimates(*neighbours.codes(v, turn), q, turn)
     assert np.mean(np.abs(est - q @ v.T) <= err) > 0.9995
     assert abs(np.mean(est - q @ v.T)) < 0.005
+
+
+def test_texts_scanned_together_have_the_anchors_of_each(monkeypatch):
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"ab", k=rng.randrange(0, 90))) for _ in range(60)] + [b"", b"a" * 200, bytes(rng.choices(b"abc", k=3000)), b"b" * 16]
+    scans, plain = [], suffixes.Hashes
+    monkeypatch.setattr(suffixes, "Hashes", lambda data: scans.append(len(data)) or plain(data))
+    for length in (1, 4, 16):
+        want = sorted((i, *map(int, r)) for i, t in enumerate(texts) for a in suffixes.anchors(t, length) for r in zip(*a, strict=True))
+        for size in (1, 300, 1 << 16):
+            monkeypatch.setattr(suffixes, "TOGETHER", size)
+            scans.clear()
+            assert sorted(tuple(map(int, r)) for a in suffixes.anchors_of(texts, length) for r in zip(*a, strict=True)) == want
+        assert len(scans) == 1  # of all these texts
