@@ -10,10 +10,11 @@ that cannot decide anything are left out first, without loss:
 
 1. Anchors. Every string of ``length`` bytes has the smallest hash among its k-grams,
    k = length / 4, at the same place wherever it occurs. Only places that are smallest
-   for some string are anchors, and only anchors whose k-gram occurs twice go on.
-2. Contexts. Anchors with the same bytes around them, as far as a string can reach, are
+   for some string are anchors, and only anchors whose k-gram occurs twice go on. A string
+   is told by this anchor alone, not by others that it covers.
+2. Contexts. Anchors with the same bytes around them, as far as their strings reach, are
    one class; a class of two or more is repeated as a whole. Of each class one member goes on.
-3. Blocks. The starts of strings around an anchor are cut into ranges. If the bytes that a
+3. Blocks. The starts of an anchor's strings are cut into ranges. If the bytes that a
    range covers in all recur around another anchor, the whole range is repeated; if those
    that all its strings share do not recur, none of it is. Only the rest is cut finer.
 4. Suffixes. What remains, a few starts at the ends of each repeat, is decided by sorting.
@@ -35,6 +36,7 @@ rows are kept, each with its text's result. An empty table gives an empty one.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from hearth.llm.common import discard, fields, map_batches, materialize, slices
+from hearth.llm.common import SLICE_BYTES, discard, fields, map_batches, materialize, parted, slices
 
 LENGTH = 400
 #: Bytes of a text whose k-grams are hashed at once; parts by which a range of starts is cut, in turn.
@@ -57,6 +59,7 @@ RUN = 20_000
 RANGE = 50_000
 SAMPLES = 16
 
+_PLACE = np.uint64((1 << 22) - 1)
 _RANDOM = np.random.default_rng(5).integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
 _BASES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]  # odd, so each has an inverse modulo 2 ** 64
 _INVERSES = [pow(b, -1, 1 << 64) for b in _BASES]
@@ -111,33 +114,44 @@ def reach_of(length: int) -> tuple[int, int]:
 
 
 def _lowest(grams: np.ndarray, w: int) -> np.ndarray:
-    """The place of the lowest value of each window of ``w`` hashes, the leftmost of equal ones."""
-    mask = np.uint64((1 << 22) - 1)
-    value = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
+    """The lowest value of each window of ``w`` hashes, the leftmost of equal ones, with its place in the low bits."""
+    value = grams & ~_PLACE
+    value |= np.arange(len(grams), dtype=np.uint64)
     padded = np.concatenate((value, np.full(-len(value) % w, np.iinfo(np.uint64).max))).reshape(-1, w)
     ahead = np.minimum.accumulate(padded, axis=1).ravel()
     behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
     starts = len(grams) - w + 1
-    return (np.minimum(behind[:starts], ahead[w - 1 : w - 1 + starts]) & mask).astype(np.int64)
+    return np.minimum(behind[:starts], ahead[w - 1 : w - 1 + starts])
+
+
+def _described(hashes: Hashes, place: np.ndarray, left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(left, right, gram, c1, c2) of anchors at those places of the hashed bytes."""
+    size = (left * 65536 + right).astype(np.uint64)
+    start, end = place - left, place + right
+    return left, right, hashes.of(place, place + k, 0), hashes.of(start, end, 0), hashes.of(start, end, 1) ^ size
 
 
 def anchors(text: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(pos, left, right, gram, c1, c2) arrays: anchors of a text, the bytes at hand on each side, and hashes."""
+    """(pos, left, right, gram, c1, c2) arrays: anchors of a text, the bytes on each side that their strings cover, and hashes."""
     k, reach = reach_of(length)
-    n, last = len(text), -1
-    for at in range(0, max(0, n - length + 1), STRETCH):
-        low, high = max(0, at - reach), min(n, at + STRETCH + length + length)
-        data = np.frombuffer(text, np.uint8, high - low, low)
-        hashes = Hashes(data)
-        first, stop = at - low, min(at + STRETCH, n - length + 1) - low  # starts of strings
-        grams = hashes.of(slice(first, stop + reach), slice(first + k, stop + reach + k), 0)
-        place = _lowest(grams, reach + 1)
-        place = place[np.concatenate(([True], place[1:] != place[:-1]))] + first
-        place = place[place + low > last]
-        if len(place):
-            last = int(place[-1]) + low
-            left, right = np.minimum(place + low, reach), np.minimum(n - low - place, length)
-            yield place + low, left, right, grams[place - first], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1) ^ (left * 65536 + right).astype(np.uint64)
+    n, strings = len(text), len(text) - length + 1
+    held: list[int] = []  # place of the last stretch's last anchor, and the first of its strings
+    for at in range(0, max(0, strings), STRETCH):
+        low, high = max(0, at - reach - 1), min(n, at + STRETCH + length)
+        hashes = Hashes(np.frombuffer(text, np.uint8, high - low, low))
+        first, stop = at - low, min(at + STRETCH, strings) - low  # starts of strings
+        lowest = _lowest(hashes.of(slice(first, stop + reach), slice(first + k, stop + reach + k), 0), reach + 1)
+        begin = np.concatenate(([0], np.flatnonzero(lowest[1:] != lowest[:-1]) + 1))
+        place, begin = (lowest[begin] & _PLACE).astype(np.int64) + first, begin + first
+        if held and place[0] + low == held[0]:
+            begin[0] = held[1] - low
+        elif held:
+            place, begin = np.concatenate(([held[0] - low], place)), np.concatenate(([held[1] - low], begin))
+        last = np.concatenate((begin[1:], [stop])) - 1
+        if stop + low < strings:  # the next stretch tells how far the strings of the last one go
+            held = [int(place[-1]) + low, int(begin[-1]) + low]
+            place, begin, last = place[:-1], begin[:-1], last[:-1]
+        yield place + low, *_described(hashes, place, place - begin, length - (place - last), k)
 
 
 def anchors_of(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -161,18 +175,20 @@ def _together(number: np.ndarray, texts: list[bytes], length: int) -> Iterator[t
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes)
-    n, starts = len(data), len(data) - length + 1
-    inside = np.arange(length, n + 1) <= np.repeat(ends, sizes)[: max(0, starts)]  # strings that lie in one text
-    if not inside.any():
+    n = len(data)
+    if not (sizes >= length).any():
         return
     hashes = Hashes(data)
     grams = hashes.of(slice(0, n - k + 1), slice(k, n + 1), 0)
-    place = _lowest(grams, reach + 1)[inside]
-    place = place[np.concatenate(([True], place[1:] != place[:-1]))]
-    of = np.searchsorted(ends, place, "right")
-    pos = place - (ends - sizes)[of]
-    left, right = np.minimum(pos, reach), np.minimum(ends[of] - place, length)
-    yield number[of], pos, left, right, grams[place], hashes.of(place - left, place + right, 0), hashes.of(place - left, place + right, 1) ^ (left * 65536 + right).astype(np.uint64)
+    lowest = _lowest(grams, reach + 1)
+    # strings that begin a text, or whose lowest is another than that of the string before
+    begin = np.union1d(np.flatnonzero(lowest[1:] != lowest[:-1]) + 1, (ends - sizes)[sizes >= length])
+    of = np.searchsorted(ends, begin, "right")
+    inside = begin + length <= ends[of]  # the string lies in one text
+    begin, of = begin[inside], of[inside]
+    place = (lowest[begin] & _PLACE).astype(np.int64)
+    last = np.minimum(np.concatenate((begin[1:] - 1, [n])), ends[of] - length)
+    yield number[of], place - (ends - sizes)[of], *_described(hashes, place, place - begin, length - (place - last), k)
 
 
 def common(a: bytes, b: bytes, start: int) -> int:
@@ -333,7 +349,7 @@ def _squeezed(df: DataFrame, text_col: str) -> DataFrame:
 
         def step(batch: pa.RecordBatch):
             for b in slices(batch, at):
-                z = [None if x is None else pack(x.encode("utf-8", "surrogatepass")) for x in b.column(at).to_pylist()]
+                z = [None if x is None else pack(x) for x in b.column(at).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(z, pa.binary()), *b.columns[at + 1 :]], names=names)
 
         return step
@@ -351,14 +367,14 @@ def _wide(part: int, width: int) -> int:
 
 
 def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
-    """(id, start, end): stretches of repeated strings of every text that has any; id is the text's hash."""
+    """(id, s): stretches of repeated strings of every text that has any, sorted, each as start * 2 ** 32 + end; id is the text's hash."""
     k, reach = reach_of(length)
     texts = _hashed(docs, text_col).where(F.octet_length("text") >= length)
 
     def scan():
         def step(batch: pa.RecordBatch):
             for b in slices(batch, 1):
-                cols = list(anchors_of([t.encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()], length))
+                cols = list(anchors_of(b.column(1).cast(pa.binary()).to_pylist(), length))
                 if cols:
                     i, p, le, ri, g, c, d = (np.concatenate(x) for x in zip(*cols, strict=True))
                     arrays = [b.column(0).take(pa.array(i)), *(pa.array(x.astype(np.int32)) for x in (p, le, ri)), *(pa.array(x.view(np.int64)) for x in (g, c, d))]
@@ -372,15 +388,17 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
     every, found = found, materialize(found.join(often, "g").withColumn("at", _place("id", "pos")), "suffix-frequent")
     discard(every)
     key = ["g", "c", "d"]
-    class_of = found.groupBy(*key).agg(F.count("*").alias("n"), F.min("at").alias("one"))
+    class_of = materialize(found.groupBy(*key).agg(F.count("*").alias("n"), F.min("at").alias("one")), "suffix-class-of")
     single = (F.col("n") == 1) | F.lit(keep_first)
-    grams = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.max(single).alias("open"))
-    shared = materialize(found.join(class_of.join(grams, "g"), key), "suffix-classes")
-    discard(found)
+    # written, so that the join reads both sides from plain shuffles, of which a k-gram of very many classes can be split
+    several = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.max(single).alias("open")).where("classes > 1 and open")
+    several = materialize(several.select("g", F.lit(True).alias("several")), "suffix-grams")
+    shared = materialize(found.join(class_of.join(several, "g", "left").where("several or n > 1"), key), "suffix-classes")
+    discard(found, class_of, several)
     whole = shared.where((F.col("n") > 1) & ((F.col("at") != F.col("one")) | F.lit(not keep_first)))
-    spans = [materialize(whole.select("id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end")), "suffix-whole")]
+    whole = materialize(whole.select("id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end")), "suffix-whole")
 
-    members = shared.where((F.col("at") == F.col("one")) & F.expr("classes > 1 and open")).select("id", F.struct("pos", "left", "right", single.alias("need")).alias("m"))
+    members = shared.where((F.col("at") == F.col("one")) & F.col("several")).select("id", F.struct("pos", "left", "right", single.alias("need")).alias("m"))
     listed = members.groupBy("id").agg(F.collect_set("m").alias("m"))  # bounded by the text's own length; copies of a text list the same
     held = _squeezed(texts, "text").join(listed, "id").groupBy("id").agg(F.first("text").alias("text"), F.first("m").alias("m"))
 
@@ -388,18 +406,27 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
         unpack = zstandard.ZstdDecompressor().decompress
 
         def step(b: pa.RecordBatch):
-            for i, t, ms in zip(*(b.column(c).to_pylist() for c in ("id", "text", "m")), strict=True):
-                data = unpack(t)
-                rows = [(i, m["pos"], m["left"], m["right"], m["need"], data[m["pos"] - m["left"] : m["pos"] + m["right"]]) for m in ms]
-                arrays = [pa.array(x, y) for x, y in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "need", "around"])
+            m = b.column("m").flatten()
+            pos, left, right = (m.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "left", "right"))
+            start, end = (pos - left).tolist(), (pos + right).tolist()
+            n = b.column("m").value_lengths().to_numpy(zero_copy_only=False)
+            row, first, around, size = pa.array(np.repeat(np.arange(b.num_rows), n)), 0, [], 0
+            for i, (t, stop) in enumerate(zip(b.column("text").to_pylist(), np.cumsum(n).tolist(), strict=True)):
+                data, at = unpack(t), first + len(around)
+                around += [data[x:y] for x, y in zip(start[at:stop], end[at:stop], strict=True)]
+                size += sum(end[at:stop]) - sum(start[at:stop])
+                if size >= SLICE_BYTES or i == b.num_rows - 1:
+                    part = slice(first, stop)
+                    arrays = [b.column("id").take(row[part]), *(m.field(c)[part] for c in ("pos", "left", "right", "need")), pa.array(around, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "pos", "left", "right", "need", "around"])
+                    first, around, size = stop, [], 0
 
         return step
 
     contexts = map_batches(held, cut, "id binary, pos int, left int, right int, need boolean, around binary")
     contexts = materialize(contexts.select("*", _place("id", "pos").alias("at"), F.monotonically_increasing_id().alias("cid")), "suffix-contexts")
     discard(shared)
-    todo, width, before = contexts.withColumn("blocks", F.array(F.lit(0))), reach + 1, contexts.limit(0)
+    todo, width, states, settled = contexts.withColumn("blocks", F.array(F.lit(0))), reach + 1, [], []
     for level, parts in enumerate(PARTS):
         finer = _wide(parts, width)
         tested = materialize(_tests(todo, length, width, finer), f"suffix-tests-{level}")
@@ -411,23 +438,21 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
             F.max(kind == 0).alias("core"), F.max((kind == 1) & other).alias("stood_for"),
         )
         state = materialize(state, f"suffix-state-{level}")
-        discard(tested, before)  # this level's tests have read the state of the one before
-        settled = state.where("whole").join(contexts.select("cid", "id", "pos"), "cid")
-        settled = settled.select("id", (F.col("pos") - F.col("block") - (finer - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end"))
-        spans.append(materialize(settled, f"suffix-settled-{level}"))
-        before = state
+        discard(tested)
+        states.append(state)
+        settled.append(state.where("whole").select("cid", "block", F.lit(finer).alias("width")))
         # of members alike in the whole block one goes on and stands for the others
         left = state.where("core and not stood_for").groupBy("cid").agg(F.collect_list("block").alias("blocks"), F.collect_list(F.when(F.col("need") & ~F.col("whole"), F.col("block"))).alias("open"))
         todo, width = contexts.join(left, "cid"), finer
     last = map_batches(todo.select("id", "pos", "left", "right", "around", "blocks", "open"), lambda: _suffixes(length, width), "id binary, p int, need boolean, s binary")
-    last = materialize(last.groupBy("id", "p").agg(F.max("need").alias("need"), F.first("s").alias("s")), "suffix-strings")
-    discard(contexts, before)
-    spans.append(repeated(last, length, keep_first).select("id", F.col("p").alias("start"), (F.col("p") + length).alias("end")))
-    out = spans[0]
-    for s in spans[1:]:
-        out = out.union(s)
-    out = materialize(out.distinct(), "suffix-repeats")
-    discard(last, *spans)
+    last = materialize(last, "suffix-strings")  # each start once, as only one anchor has its string
+    blocks = functools.reduce(DataFrame.union, settled).join(contexts.select("cid", "id", "pos"), "cid")
+    blocks = materialize(blocks.select("id", (F.col("pos") - F.col("block") - (F.col("width") - 1)).alias("start"), (F.col("pos") - F.col("block") + length).alias("end")), "suffix-settled")
+    discard(contexts, *states)
+    spans = whole.union(blocks).union(repeated(last, length, keep_first).select("id", F.col("p").alias("start"), (F.col("p") + length).alias("end")))
+    span = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("end").cast("bigint"))
+    out = materialize(spans.groupBy("id").agg(F.sort_array(F.collect_set(span)).alias("s")), "suffix-repeats")  # copies of a text give the same
+    discard(last, whole, blocks)
     return out
 
 
@@ -450,6 +475,7 @@ def _tests(todo: DataFrame, length: int, width: int, finer: int) -> DataFrame:
             # distances d before the anchor, in steps of the finer width, that lie in the wider blocks
             steps = np.arange(0, width, finer)
             row, d = np.repeat(row, len(steps)), (block[:, None] + steps[None, :]).ravel()
+            row, d = np.divmod(np.unique(row * (4 * length) + d), 4 * length)  # wider blocks may overlap; a test that comes twice would find itself
             top = d + finer - 1
             inside = (d < length) & (d <= left[row]) & (length - top <= right[row])
             row, d, top = row[inside], d[inside], top[inside]
@@ -472,10 +498,11 @@ def _suffixes(length: int, width: int):
     def step(b: pa.RecordBatch):
         rows = []
         for i, pos, left, right, around, blocks, open_ in zip(*(b.column(c).to_pylist() for c in ("id", "pos", "left", "right", "around", "blocks", "open")), strict=True):
-            open_ = set(open_)
-            for block in blocks:
+            open_, needs = set(open_), {}
+            for block in blocks:  # the last one of a wider block may reach into the next
                 for d in range(max(block, length - right), min(block + width - 1, left) + 1):
-                    rows.append((i, pos - d, block in open_, around[left - d : left - d + length]))
+                    needs[d] = needs.get(d, False) or block in open_
+            rows += [(i, pos - d, need, around[left - d : left - d + length]) for d, need in needs.items()]
         types = (pa.binary(), pa.int32(), pa.bool_(), pa.binary())
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["id", "p", "need", "s"])
@@ -483,46 +510,59 @@ def _suffixes(length: int, width: int):
     return step
 
 
-def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_first: bool = False) -> DataFrame:
-    """``docs`` with spans (array of start, end: the maximal removed runs, in bytes) and kept (binary, the remaining bytes)."""
-    done, others = _removed(docs, text_col, length, keep_first)
+def remove(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_first: bool = False, with_text: bool = True) -> DataFrame:
+    """``docs`` with spans (array of start, end: the maximal removed runs, in bytes) and kept (binary, the remaining bytes); the text may be left out."""
+    done, others = _removed(docs, text_col, length, keep_first, (*["text"] * with_text, "spans", "kept"))
     return done.select(*others, "spans", "kept")
 
 
-def _removed(docs: DataFrame, text_col: str, length: int, keep_first: bool) -> tuple[DataFrame, list[Column]]:
-    """(r, text, spans, kept, left) of every row, ``left`` being kept as text without characters that were cut; and the columns of ``docs``."""
-    spans = repeats(docs, text_col, length, keep_first)
-    listed = materialize(spans.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s")), "suffix-spans")
-    discard(spans)
+_SPANS = "array<struct<start:int,end:int>>"
+_KINDS = {"text": "string", "spans": _SPANS, "kept": "binary", "left": "string"}
+
+
+def _removed(docs: DataFrame, text_col: str, length: int, keep_first: bool, wanted: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """(r, and those ``wanted`` of text, spans, kept, left) of every row, ``left`` being kept as text without characters that were cut; and the columns of ``docs``, text if wanted."""
+    listed = repeats(docs, text_col, length, keep_first)
     names = [c for c in docs.columns if c not in ("spans", "kept")]
     at = names.index(text_col)
-    keyed = _squeezed(docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("r") if len(names) > 1 else F.lit(0).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), _id(text_col)), "text")
-    joined = keyed.join(listed, "id", "left").select("r", "text", F.coalesce("s", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("r") if len(names) > 1 else F.lit(0).alias("r"), F.col(f"`{text_col}`").cast("string").alias("text"), _id(text_col))
+    some, others = parted(rows, listed, "id")  # a text without spans needs no shuffle
+    joined = _squeezed(some, "text").join(listed, "id", "left").select("r", "text", "s")
 
     def make():
         unpack = zstandard.ZstdDecompressor().decompress
 
         def step(b: pa.RecordBatch):
-            texts, spans, kept, left = [], [], [], []
-            for z, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            made: dict[str, list] = {c: [] for c in wanted}
+            for z, found in zip(b.column(1).to_pylist(), b.column(2), strict=True):
                 data, runs = b"" if z is None else unpack(z), []
-                texts.append(None if z is None else data)
-                for x in found:
-                    if runs and x["start"] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], x["end"])
-                    else:
-                        runs.append([x["start"], x["end"]])
-                spans.append([{"start": a, "end": z} for a, z in runs])
+                if found.is_valid:
+                    x = found.values.to_numpy()
+                    start, end = x >> 32, np.maximum.accumulate(x & 0xFFFFFFFF)
+                    new = np.flatnonzero(start[1:] > end[:-1]) + 1
+                    runs = list(zip(start[[0, *new]].tolist(), end[[*(new - 1), -1]].tolist(), strict=True))
                 edges = [0, *(e for r in runs for e in r), len(data)]
-                kept.append(b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)))
-                left.append(kept[-1].decode("utf-8", "ignore").encode() if runs else None if z is None else data)
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind), pa.array(kept, pa.binary()), pa.array(left, pa.binary()).cast(pa.string())], names=["r", "text", "spans", "kept", "left"])
+                kept = b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True)) if runs else data
+                for c, out in made.items():
+                    if c == "spans":
+                        out.append([{"start": a, "end": z} for a, z in runs])
+                    elif c == "kept":
+                        out.append(kept)
+                    elif c == "left" and runs:
+                        out.append(kept.decode("utf-8", "ignore").encode())
+                    else:
+                        out.append(None if z is None else data)
+            kinds = {"spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))}
+            arrays = [pa.array(x, kinds.get(c, pa.binary())) for c, x in made.items()]
+            arrays = [x.cast(pa.string()) if _KINDS[c] == "string" else x for c, x in zip(made, arrays, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=["r", *made])
 
         return step
 
-    done = map_batches(joined, make, fields(joined.schema["r"], "text string, spans array<struct<start:int,end:int>>, kept binary, left string"))
-    return done, [F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names)]
+    done = map_batches(joined, make, fields(joined.schema["r"], ", ".join(f"{c} {_KINDS[c]}" for c in wanted)))
+    plain = {"text": F.col("text"), "spans": F.array().cast(_SPANS), "kept": F.coalesce(F.col("text").cast("binary"), F.lit(b"")), "left": F.col("text")}
+    done = done.union(others.select("r", *(plain[c].alias(c) for c in wanted)))
+    return done, [F.col("text").alias(c) if i == at else F.col("r")[c].alias(c) for i, c in enumerate(names) if i != at or "text" in wanted]
 
 
 def _id(text_col: str):
@@ -533,7 +573,7 @@ def _id(text_col: str):
 def clean(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` without strings that occurred before, cut at whole characters, and without documents of which nothing is left."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # names cannot clash
-    done, _ = _removed(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, keep_first=True)
+    done, _ = _removed(docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text", length, True, ("spans", "kept", "left"))
     some = (F.size("spans") == 0) | (F.octet_length("kept") > 0)
     # written here, where Python workers get small batches: passing whole texts and what is left of them takes memory
     left = materialize(done.where(some).select(F.col("r.row").alias("row"), F.col("left").alias("text")), "suffix-clean")

@@ -395,6 +395,51 @@ def test_suffix_merge_gets_no_owners(spark, monkeypatch):
     assert 0 < watched[0] <= 6 * (300 + 900 // 50 + 8)  # six values of each string of a run, however many places have it
 
 
+def test_texts_without_repeats_need_no_shuffle(spark, monkeypatch):
+    """Only those that may have spans are packed for the join that brings them; the others pass as they are."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(60))
+    shared = word()
+    docs = [(i, word() + (f"{chr(65 + i // 50)}{shared}{chr(65 + i // 50)}" if i % 50 == 0 else "") + "\u00e9") for i in range(400)] + [(400, None), (401, "")]
+    packed, plain = [], suffixes._squeezed
+    monkeypatch.setattr(suffixes, "_squeezed", lambda df, c: packed.append(df) or plain(df, c))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in suffixes.remove(df, length=40).collect()}
+    assert packed[-1].count() < 40
+    for i, x in docs:
+        gone = 60 if i < 400 and i % 50 == 0 else 0
+        assert got[i].text == x and sum(s.end - s.start for s in got[i].spans) == gone
+        assert bytes(got[i].kept) == (x or "").replace(shared, "").encode()
+    assert suffixes.remove(df, length=40, with_text=False).columns == ["doc_id", "spans", "kept"]
+    (one, *_) = [r for r in suffixes.clean(df, length=40).collect() if r.doc_id == 0]
+    assert one.text in (docs[0][1], docs[0][1].replace(shared, ""))
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("size", [9, 13, 22])
+def test_suffixes_of_other_lengths_by_brute_force(spark, size, keep_first):
+    rng = random.Random(size)
+    base = ["".join(rng.choice("abcd") for _ in range(70)) for _ in range(3)]
+    docs = []
+    for i in range(60):
+        b, cut = list(rng.choice(base)), rng.randrange(50)
+        b[rng.randrange(70)] = "Q"
+        docs.append((i, rng.choice(["".join(b), "".join(b[cut : cut + size + rng.randrange(3)]) + str(i)])))
+    name = lambda x: hashlib.sha256(x.encode()).digest()[:16]
+    places = collections.defaultdict(list)
+    for i, x in docs:
+        for p in range(len(x) - size + 1):
+            places[x[p : p + size]].append((name(x) if keep_first else i, p))
+    got = {r.doc_id: r for r in suffixes.remove(spark.createDataFrame(docs, "doc_id bigint, text string"), length=size, keep_first=keep_first).collect()}
+    for i, x in docs:
+        gone = set()
+        for p in range(len(x) - size + 1):
+            v = places[x[p : p + size]]
+            if (name(x), p) != min(v) if keep_first else len(v) > 1:
+                gone.update(range(p, p + size))
+        assert bytes(got[i].kept).decode() == "".join(c for q, c in enumerate(x) if q not in gone)
+
+
 def test_suffixes_on_odd_rows(odd, none):
     got = suffixes.clean(odd, length=100)
     assert got.columns == odd.columns and (None, None) in {(r.doc_id, r.text) for r in got.collect()}

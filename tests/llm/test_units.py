@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -200,3 +201,32 @@ def test_texts_scanned_together_have_the_anchors_of_each(monkeypatch):
             scans.clear()
             assert sorted(tuple(map(int, r)) for a in suffixes.anchors_of(texts, length) for r in zip(*a, strict=True)) == want
         assert len(scans) == 1  # of all these texts
+
+
+def test_each_string_belongs_to_one_anchor(monkeypatch):
+    rng = random.Random(1)
+    for length in (1, 4, 16):
+        texts = [bytes(rng.choice(b"abc") for _ in range(rng.choice((0, 3, length, length + 1, 40, 300)))) for _ in range(40)]
+        found = sorted((i, *map(int, r)) for a in suffixes.anchors_of(texts, length) for i, *r in zip(*a, strict=True))
+        starts = [(i, p - d) for i, p, left, right, *_ in found for d in range(length - right, left + 1)]
+        assert sorted(starts) == [(i, p) for i, t in enumerate(texts) for p in range(len(t) - length + 1)]
+        for size in (1, 7, 37):
+            monkeypatch.setattr(suffixes, "STRETCH", size)
+            assert sorted((i, *map(int, r)) for i, t in enumerate(texts) for a in suffixes.anchors(t, length) for r in zip(*a, strict=True)) == found
+
+
+def test_overlapping_blocks_give_each_start_once():
+    class Plain:
+        mapInArrow = staticmethod(lambda run, schema: run)
+
+    around, length = bytes(range(40)), 16
+    types = {"cid": pa.int64(), "at": pa.int64(), "need": pa.bool_(), "left": pa.int32(), "right": pa.int32(), "around": pa.binary(), "blocks": pa.list_(pa.int32())}
+    row = {"cid": 1, "at": 2, "need": True, "left": 12, "right": 16, "around": around, "blocks": [6, 7]}
+    batch = pa.RecordBatch.from_arrays([pa.array([row[c]], t) for c, t in types.items()], names=list(types))
+    (tested,) = suffixes._tests(Plain, length, 2, 1)(iter([batch]))
+    assert sorted(zip(tested["block"].to_pylist(), tested["kind"].to_pylist(), strict=True)) == [(d, kind) for d in (6, 7, 8) for kind in (0, 1)]
+    last = [b"i" * 16, 50, 12, 16, around, [6, 7], [7]]
+    names = ["id", "pos", "left", "right", "around", "blocks", "open"]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    (strings,) = suffixes._suffixes(length, 2)(pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(last, kinds, strict=True)], names=names))
+    assert sorted(zip(strings["p"].to_pylist(), strings["need"].to_pylist(), strict=True)) == [(42, True), (43, True), (44, False)]
