@@ -383,14 +383,14 @@ def repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, keep_
         return step
 
     found = materialize(map_batches(texts, scan, "id binary, pos int, left int, right int, g bigint, c bigint, d bigint"), "suffix-anchors")
-    # most k-grams occur once, and their anchors go no further
-    often = found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g")
+    # most k-grams occur once, and their anchors go no further; the others are written, so that the join reads
+    # both sides from plain shuffles, of which a k-gram in very many texts can be split
+    often = materialize(found.groupBy("g").agg(F.count("*").alias("all")).where("all > 1").select("g"), "suffix-often")
     every, found = found, materialize(found.join(often, "g").withColumn("at", _place("id", "pos")), "suffix-frequent")
-    discard(every)
+    discard(every, often)
     key = ["g", "c", "d"]
     class_of = materialize(found.groupBy(*key).agg(F.count("*").alias("n"), F.min("at").alias("one")), "suffix-class-of")
     single = (F.col("n") == 1) | F.lit(keep_first)
-    # written, so that the join reads both sides from plain shuffles, of which a k-gram of very many classes can be split
     several = class_of.groupBy("g").agg(F.count("*").alias("classes"), F.max(single).alias("open")).where("classes > 1 and open")
     several = materialize(several.select("g", F.lit(True).alias("several")), "suffix-grams")
     shared = materialize(found.join(class_of.join(several, "g", "left").where("several or n > 1"), key), "suffix-classes")
