@@ -129,27 +129,45 @@ def _wildcards(fps: DataFrame, distance: int) -> DataFrame:
     return map_batches(fps, make, "fp bigint, k int, v bigint")
 
 
-def links(fps: DataFrame, distance: int, pair_limit: int = PAIR_LIMIT) -> DataFrame:
-    """Links (a, b) between distinct fingerprints: enough of them to connect all that differ in at most ``distance`` bits.
+def shared_signatures(fps: DataFrame, distance: int) -> DataFrame:
+    """(sig, value, fp, n): the signatures that n > 1 fingerprints have.
 
-    Below ``pair_limit`` they are all such pairs; above it, each member of a
-    wildcard group is linked to the smallest.
+    Spark sizes the signatures as the fingerprints they were expanded from, some dozens of times too low, and would
+    send all of them to the driver for a broadcast; so this join sorts.
     """
     sigs = signatures(fps, distance)
     shared = sigs.groupBy("sig", "value").agg(F.count("*").alias("n")).where("n > 1")
-    filed = materialize(sigs.join(shared, ["sig", "value"]), "simhash-filed")
-    a, b = (filed.where(F.col("n") <= pair_limit).select("sig", "value", F.col("fp").alias(x)) for x in "ab")
+    return sigs.join(shared.hint("merge"), ["sig", "value"])
+
+
+def pairs(filed: DataFrame, distance: int) -> DataFrame:
+    """(a, b): the fingerprints of ``filed`` (sig, value, fp) that share a signature and differ in at most ``distance`` bits.
+
+    Filed rows repeat a fingerprint dozens of times, which their files hold packed; by the files' size Spark would
+    broadcast many times as much, so this join sorts.
+    """
+    a, b = (filed.select("sig", "value", F.col("fp").alias(x)) for x in "ab")
     # a pair whose segments are equal shares every wildcard of the segment; the one with the lowest bit stands for all
     wild = F.pmod(F.col("sig"), F.lit(100))
     lowest = F.lit(False)
     for first, _ in _segments(distance):
         lowest = lowest | (wild == first)
     at_wild = (wild == BITS) | lowest | (F.expr("shiftright(a ^ b, pmod(sig, 100)) & 1") == 1)
-    pairs = a.join(b, ["sig", "value"]).where((F.col("a") < F.col("b")) & at_wild & (_differing("a", "b") <= distance)).select("a", "b")
+    return a.join(b.hint("merge"), ["sig", "value"]).where((F.col("a") < F.col("b")) & at_wild & (_differing("a", "b") <= distance)).select("a", "b")
+
+
+def links(fps: DataFrame, distance: int, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+    """Links (a, b) between distinct fingerprints: enough of them to connect all that differ in at most ``distance`` bits.
+
+    Below ``pair_limit`` they are all such pairs; above it, each member of a
+    wildcard group is linked to the smallest.
+    """
+    filed = materialize(shared_signatures(fps, distance), "simhash-filed")
+    near = pairs(filed.where(F.col("n") <= pair_limit), distance)
     hot = filed.where(F.col("n") > pair_limit).select("fp").distinct()
     groups = _wildcards(hot, distance).groupBy("k", "v").agg(F.sort_array(F.collect_set("fp")).alias("g")).where(F.size("g") > 1)
     stars = groups.select(F.element_at("g", 1).alias("a"), F.explode(F.slice("g", 2, 1 << distance)).alias("b"))
-    out = materialize(pairs.union(stars).distinct(), "simhash-pairs")
+    out = materialize(near.union(stars).distinct(), "simhash-pairs")
     discard(filed)
     return out
 
