@@ -9,9 +9,9 @@ result must reach; every candidate whose upper bound does is scored exactly, in
 double precision, on the original vectors. Nothing is left out of the index, and
 no number of candidates is fixed.
 
-Queries and candidates are packed into blocks of a fixed number of vectors. Candidate blocks are
-numbered, stay in one piece, and are dealt over the tasks; the query blocks, far fewer vectors, are sent to
-every candidate block by an equality join on its number, one after the other. Every
+Queries and candidates are packed into blocks of a fixed number of vectors, in 32 bits where these hold them exactly. Candidate blocks are
+numbered, stay in one piece, and are dealt over the tasks in groups; the query blocks, far fewer vectors, are sent to
+every group by an equality join on its number, one after the other. Neither side passes the driver. Every
 meeting gives the best k of each query, which are ranked by query. Work grows with queries times
 rows, as the stated query set does.
 
@@ -37,6 +37,8 @@ DEVIATIONS = 4.0
 SEARCH_DEVIATIONS = 2.0
 SEED = 11
 MOST_TASKS = 10_000
+#: Candidate blocks that the query blocks are sent to together, at most, and groups of them, if there are as many blocks.
+GROUP, LEAST_GROUPS = 16, 32
 
 
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
@@ -81,6 +83,16 @@ def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, bi
     return q_ids[i[keep]], ids[j[keep]], score[keep]
 
 
+def _packed(v: np.ndarray) -> bytes:
+    """The numbers in 32 bits each if all of them fit exactly, else in 64."""
+    short = v.astype(np.float32)
+    return (short if (short == v).all() else v).tobytes()
+
+
+def _unpacked(data: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, np.float32 if len(data) == 4 * n * dim else np.float64).reshape(n, dim).astype(np.float64)
+
+
 def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
     """Rows (dim, n, ids, vectors, bits, own): up to ``rows`` vectors of one length in each."""
     schema = "dim int, n int, ids binary, vectors binary, bits binary, own binary"
@@ -95,7 +107,7 @@ def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
             v = np.array(vectors, np.float64)
             v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])  # a power of two leaves the cosine as it is and keeps squares finite
             bits, own = codes(v / np.sqrt((v * v).sum(axis=1))[:, None], rotation(dim)) if coded else (np.empty(0, np.uint8), np.empty(0))
-            cols = [pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (np.array(ids, np.int64), v, bits, own))]
+            cols = [pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32()), *(pa.array([x], pa.binary()) for x in (np.array(ids, np.int64).tobytes(), _packed(v), bits.tobytes(), own.tobytes()))]
             return pa.RecordBatch.from_arrays(cols, names=["dim", "n", "ids", "vectors", "bits", "own"])
 
         for b in batches:
@@ -115,6 +127,23 @@ def _blocks(df: DataFrame, rows: int, coded: bool) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _met(queries: DataFrame, held: DataFrame) -> DataFrame:
+    """Every block of ``queries`` (dim, n, ids, vectors) beside every one of ``held`` (besides: bits, own, key) of its length."""
+    # one small row for each block is numbered, and written, so that Spark knows how small they are; ids and vectors stay where they are
+    number = F.row_number().over(Window.partitionBy("dim").orderBy("key")) - 1
+    numbers = materialize(held.select("dim", "key").withColumn("number", number), "nearest-numbers")
+    total = numbers.count()
+    each = min(GROUP, max(1, total // max(LEAST_GROUPS, 4 * held.sparkSession.sparkContext.defaultParallelism)))
+    group = F.floor(F.col("number") / each).cast("int")
+    candidates = held.join(numbers.select("dim", "key", group.alias("group")), ["dim", "key"]).drop("key")
+    groups = numbers.groupBy("dim").agg(F.max(group).alias("last"))  # one row for each length of vectors
+    asked = queries.join(F.broadcast(groups), "dim").select("dim", F.explode(F.sequence(F.lit(0), "last")).alias("group"), F.col("n").alias("qn"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"))
+    # more tasks than groups: by their bytes they would be merged, but each has much to compute
+    asked = asked.repartition(min(4 * max(1, -(-total // each)), MOST_TASKS), "dim", "group")
+    # Spark sizes the asked blocks as the queries before they were sent to every group, and would broadcast them; so this join sorts
+    return asked.join(candidates.hint("merge"), ["dim", "group"])
+
+
 def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col: str, deviations: float = SEARCH_DEVIATIONS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of every query row, nearest first."""
     x = F.col("v")
@@ -123,23 +152,15 @@ def search(vectors: DataFrame, is_query: Column, k: int, id_col: str, vector_col
     good = good.where(F.col("id").isNotNull() & (F.size(x) > 0) & finite & F.exists(x, lambda c: c != 0))
     queries = materialize(_blocks(good.where("__q").dropDuplicates(["id", "v"]).select("id", "v"), QUERIES, False), "nearest-queries")
     held = materialize(_blocks(good.select("id", "v"), BLOCK, True).withColumn("key", F.monotonically_increasing_id()), "nearest-candidates")  # the keys are fixed from here on
-    # one small row for each block is numbered; ids and vectors stay where they are
-    numbers = held.select("dim", "key").withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("key")))
-    counts = numbers.groupBy("dim").agg(F.max("block").alias("blocks"))
-    total = counts.agg(F.sum("blocks")).first()[0] or 1
-    candidates = held.join(numbers, ["dim", "key"]).drop("key")
-    asked = queries.join(counts, "dim").select("dim", F.explode(F.sequence(F.lit(1), "blocks")).alias("block"), F.col("n").alias("qn"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q"))
-    # as many tasks as blocks: by their bytes they would be merged, but each has much to compute
-    met = asked.repartition(min(total, MOST_TASKS), "dim", "block").join(candidates, ["dim", "block"])
+    met = _met(queries, held)
 
     def make():
         def step(b: pa.RecordBatch):
             for r in b.to_pylist():
-                f = lambda c, t, shape: np.frombuffer(r[c], t).reshape(shape)  # noqa: B023, E731
                 n, qn, dim = r["n"], r["qn"], r["dim"]
                 got = nearest(
-                    f("q_ids", np.int64, qn), f("q", np.float64, (qn, dim)), f("ids", np.int64, n), f("vectors", np.float64, (n, dim)),
-                    f("bits", np.uint8, (n, -1)), f("own", np.float64, n), k, deviations,
+                    np.frombuffer(r["q_ids"], np.int64), _unpacked(r["q"], qn, dim), np.frombuffer(r["ids"], np.int64), _unpacked(r["vectors"], n, dim),
+                    np.frombuffer(r["bits"], np.uint8).reshape(n, -1), np.frombuffer(r["own"], np.float64), k, deviations,
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], names=["query_id", "vec_id", "score"])
 

@@ -484,6 +484,25 @@ def test_nearest_by_brute_force(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding").count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 0.1])  # numbers that 32 bits hold exactly, and others
+def test_nearest_over_many_blocks(spark, monkeypatch, scale):
+    monkeypatch.setattr(neighbours, "BLOCK", 30)
+    monkeypatch.setattr(neighbours, "QUERIES", 4)
+    v = np.random.default_rng(4).standard_normal((6000, 8)).astype(np.float32).astype(float) * scale
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    found = neighbours.search(df, F.col("vec_id") % 500 == 0, 3, "vec_id", "embedding", neighbours.DEVIATIONS)
+    # the query blocks are many more once they are sent to every group than Spark takes them for; 615,000 vectors gave a broadcast of 1,074 MB
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\w+Join", plan[plan.index("MapInArrow") :])[0] == "SortMergeJoin", plan
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()}
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    for q in range(0, 6000, 500):
+        score = unit @ unit[q]
+        want = [i for i in np.argsort(-score) if i != q][:3]
+        assert [got[q, k][0] for k in (1, 2, 3)] == want and np.allclose([got[q, k][1] for k in (1, 2, 3)], score[want])
+    assert len(got) == 36
+
+
 def test_repeated_rows_do_not_displace_neighbours(spark):
     from pyspark.sql import functions as F
 
