@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -363,6 +364,46 @@ def test_boilerplate_by_comparing_all_runs(spark, host_tokens):
     assert {r.page_id: r.text for r in got} == want and sum(len(streams[i][1]) > 0 and not t for i, t in want.items()) >= 1
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_sorted_suffixes_compared_by_ranges(size):
+    """Batches and ranges cut anywhere: the suffixes whose run another page has, or what says so for a run that ranges cut."""
+    rng = random.Random(size)
+    data = sorted({(rng.choice("hk"), rng.choice("abcdefgh"), rng.randrange(6), rng.randrange(3)) for _ in range(60)})
+    pages = collections.defaultdict(set)
+    for host, run, page, _ in data:
+        pages[host, run].add(page)
+    cuts = sorted(rng.sample(range(1, len(data)), 5))
+    got, edges = [], []
+    for a, z in zip([0, *cuts], [*cuts, len(data)], strict=True):
+        columns = [pa.array(c, t) for c, t in zip(zip(*data[a:z], strict=True), (pa.string(), pa.string(), pa.int64(), pa.int32()), strict=True)]
+        part = pa.RecordBatch.from_arrays(columns, names=["host", "run", "page", "at"])
+        for b in html._compared(part.slice(i, size) for i in range(0, z - a, size)):
+            got += [(r["page"], r["at"]) for r in b.to_pylist() if r["run"] is None]
+            edges += [r for r in b.to_pylist() if r["run"] is not None]
+    named = collections.defaultdict(set)
+    for r in edges:
+        named[r["host"], r["run"]].add(r["page"])
+    got += [(r["page"], r["at"]) for r in edges if r["at"] is not None and len(named[r["host"], r["run"]]) > 1]
+    assert sorted(got) == sorted((p, at) for h, r, p, at in data if len(pages[h, r]) > 1) and list(html._compared(iter([]))) == []
+
+
+def test_a_large_host_has_a_suffix_array_too(spark, monkeypatch):
+    """Its suffixes are sorted over all tasks; a run that all pages share goes to several of them."""
+    seen, write = {}, html.materialize
+
+    def planned(df, name):
+        seen[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(html, "materialize", planned)
+    shared = "all the pages of this large host share these"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(9))
+    pages = [(i, "http://h.x/", f"<p>{own(i)}</p><p>{shared}</p>") for i in range(400)] + [(900, "http://o.x/", f"<p>{shared}</p>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string"), host_tokens=0).collect()}
+    assert got == {i: own(i) for i in range(400)} | {900: shared}
+    assert re.search(r"rangepartitioning\(host#\d+ ASC NULLS FIRST, run#\d+ ASC NULLS FIRST, page#", seen["html-runs"]) and "Sort [host" in seen["html-runs"]
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_suffixes_by_brute_force(spark, monkeypatch, keep_first):
     monkeypatch.setattr(suffixes, "RUN", 7)
